@@ -70,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         else:
             current = tempfile.mkdtemp(prefix="tierline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
