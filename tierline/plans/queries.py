@@ -30,27 +30,40 @@ TREND_AIRPORT_NAMES = ("NATION_3", "NATION_15", "NATION_16", "NATION_20", "NATIO
 
 
 class Layers:
-    """Lazy layer DataFrames of one test directory."""
+    """Lazy layer DataFrames of one test directory.
+
+    Each layer's plan is built once per query (the broadcast size checks run
+    while building), and reused by every part of the query that reads it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def _get(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if key not in self._memo:
+            self._memo[key] = build()
+        return self._memo[key]
 
     def raw(self) -> DataFrame:
-        return V.flights_raw(self.spark, self.sf_dir)
+        return self._get("raw", lambda: V.flights_raw(self.spark, self.sf_dir))
 
     def airlines(self) -> DataFrame:
-        return V.airlines(self.spark, self.sf_dir)
+        return self._get("airlines", lambda: V.airlines(self.spark, self.sf_dir))
 
     def airports(self) -> DataFrame:
-        return V.airports(self.spark, self.sf_dir)
+        return self._get("airports", lambda: V.airports(self.spark, self.sf_dir))
 
     def silver(self) -> DataFrame:
-        return T.clean(self.raw())
+        return self._get("silver", lambda: T.clean(self.raw()))
 
     def gold(self, check_unique: bool = False) -> DataFrame:
         # Reports read the fact as the gold job writes it; the key check
         # itself runs in ``gold_fact`` and in the pipeline.
-        return T.fact(self.silver(), self.airlines(), check_unique=check_unique)
+        return self._get(
+            f"gold{check_unique}",
+            lambda: T.fact(self.silver(), self.airlines(), check_unique=check_unique),
+        )
 
 
 def _q(fn: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

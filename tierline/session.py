@@ -23,6 +23,14 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what is proven small.  Static estimates are guesses (a
+    # join's estimate is the product of its inputs, so the *fact* side can look
+    # smaller than the dimension), so estimate-based broadcast is off; a join
+    # is broadcast either after a bounded row count of the dimension
+    # (``operators.joins``) or by adaptive execution from measured shuffle
+    # sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     # Dates are composed from parts and compared as DATE; keep the session
     # clock fixed so nothing depends on the machine's zone.
     "spark.sql.session.timeZone": "UTC",
