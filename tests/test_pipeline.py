@@ -76,3 +76,32 @@ def test_malformed_flight_rows_go_to_quarantine(spark, tmp_path):
     r = P.ingest(spark, f"file:{tmp_path}/lake", "airlines", str(p), log=lambda s: None)
     assert r["malformed"] == 1 and r["rows_written"] == 2
     assert spark.table("bronze._quarantine_airlines").count() == 1
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_malformed_rows_split_one_pass_or_staged(spark, tmp_path, staged):
+    p = tmp_path / "airports.csv"
+    p.write_text(
+        "IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\n"
+        "A1,One,C,S,US,1.0,2.0\nA2,Two,C,S,US,north,2.0\nA3,Three\nA4,Four,C,S,US,,\n"
+    )
+    r = P.ingest(spark, f"file:{tmp_path}/lake", "airports", str(p), staged=staged, log=lambda s: None)
+    assert (r["rows_read"], r["malformed"], r["rows_written"]) == (4, 2, 4)
+    q = sorted(x["_corrupt_record"] for x in spark.table("bronze._quarantine_airports").collect())
+    assert q == ["A2,Two,C,S,US,north,2.0", "A3,Three"]
+    r2 = P.ingest(spark, f"file:{tmp_path}/lake2", "airports", str(p), keep_malformed=False, staged=staged,
+                  log=lambda s: None)
+    assert r2["rows_written"] == 2
+
+
+def test_not_null_violation_publishes_nothing(spark, tmp_path):
+    base = f"file:{tmp_path}/lake"
+    good = tmp_path / "good.csv"
+    good.write_text("IATA_CODE,AIRLINE\nAA,Air A\n")
+    P.ingest(spark, base, "airlines", str(good), log=lambda s: None)
+    before = spark.table("bronze.airlines").collect()
+    bad = tmp_path / "bad.csv"
+    bad.write_text("IATA_CODE,AIRLINE\nBB,\n")
+    with pytest.raises(P.ContractViolation):
+        P.ingest(spark, base, "airlines", str(bad), log=lambda s: None)
+    assert spark.table("bronze.airlines").collect() == before

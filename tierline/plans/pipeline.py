@@ -3,9 +3,9 @@
 Each stage reads its input once.  Its checks ride on that pass as observed
 metrics instead of extra count jobs:
 
-* raw: one parse of each CSV into a staged copy observes rows, malformed
-  rows and every column's null count; the layer table and the quarantine are
-  then written from the staged copy;
+* raw: one full-width parse of each CSV writes the layer and observes rows,
+  malformed rows and every column's null count; the file is read again for
+  the quarantine only when malformed rows exist;
 * clean: rows, invalid dates and out-of-range rows are observed on the write;
 * fact: rows and unmatched rows are observed on the write; only when some
   rows are unmatched does a second, small job list the distinct codes.
@@ -16,9 +16,10 @@ and every stage raises on error (the source ingest printed and went on).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -53,26 +54,48 @@ def ingest(
     path: str,
     contract: Contract | None = None,
     keep_malformed: bool = True,
+    staged: bool = False,
     log: Log = print,
 ) -> dict:
-    """One CSV into ``bronze.<name>`` plus ``bronze._quarantine_<name>`` when malformed rows exist."""
+    """One CSV into ``bronze.<name>`` plus ``bronze._quarantine_<name>`` when malformed rows exist.
+
+    One pass parses the file at full width and writes the layer while
+    observing rows, malformed rows and every column's null count.  The
+    contract's not-null rule is checked from those counts before the new
+    version is published.  Only when malformed rows were seen is the file read
+    again for the quarantine.  ``staged`` parses once into a staged copy first
+    (for sources that may change between two reads).
+    """
     contract = contract or CONTRACTS[name]
-    staged, metrics = C.stage_csv(spark, path, contract, name)
+    if staged:
+        source, stage_metrics = C.stage_csv(spark, path, contract, name)
+    else:
+        source, stage_metrics = C.read_csv(spark, path, contract), None
+
+    def check(metrics: Mapping) -> None:
+        broken = [c for c in contract.not_null if metrics.get(f"null:{c}", 0)]
+        if broken:
+            raise ContractViolation(f"{name}: nulls in columns declared not null: {broken}")
+
+    if stage_metrics:
+        check(stage_metrics)
+        rows, validate = C.layer_rows(source, keep=keep_malformed), None
+    else:
+        # Observed on the full-width read, before the corrupt-record column is dropped.
+        obs = Observation(f"ingest-{name}-{uuid.uuid4().hex[:8]}")
+        observed = source.observe(obs, *C.ingest_metrics(source, contract.names))
+        rows, validate = C.layer_rows(observed, keep=keep_malformed), lambda _: check(obs.get)
+    written = write_layer(rows, base, "bronze", name, validate=validate)
+    metrics = stage_metrics or obs.get
     report = {"dataset": name, "rows_read": metrics["rows"], "malformed": metrics["malformed"],
-              "nulls": null_report(metrics, contract)}
+              "nulls": null_report(metrics, contract), "rows_written": written["rows"],
+              "location": written["location"]}
     log(f"{name}: {metrics['rows']:,} rows read, {metrics['malformed']:,} malformed")
     for item in report["nulls"]:
         log(f"  - {item['column_name']}: {item['null_count']:,} / {metrics['rows']:,} ({item['null_pct']:.2f}%)")
-    broken = [c for c in contract.not_null if metrics.get(f"null:{c}", 0)]
-    if broken:
-        raise ContractViolation(f"{name}: nulls in columns declared not null: {broken}")
-    good, bad = C.split_corrupt(staged, keep=keep_malformed)
     if metrics["malformed"]:
-        q = write_layer(bad, base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
+        q = write_layer(C.quarantine_rows(source), base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
         report["quarantine"] = q["location"]
-    written = write_layer(good, base, "bronze", name)
-    report["rows_written"] = written["rows"]
-    report["location"] = written["location"]
     return report
 
 

@@ -6,9 +6,14 @@ header that does not match the contract's names fails the read
 PERMISSIVE mode a malformed line keeps its parsed fields with the bad ones null
 and carries its text in a corrupt-record column.
 
-The corrupt-record flag is only reliable on a full-width read (column pruning
-drops it), so the quarantine split stages the parse once, at full width, as a
-parquet table under the session's checkpoint folder, and splits from there.
+The corrupt-record flag is only reliable on a full-width read: column pruning
+drops it, and a query that reads the flag alone is refused.  A layer write
+reads every column, so the flag is exact there and ingest needs one pass
+(``layer_rows`` + ``ingest_metrics``); the quarantine re-reads the file at
+full width only when malformed rows were seen (``quarantine_rows``).  For
+sources that may change between two reads, ``stage_csv`` parses once into a
+staged parquet copy under the session's checkpoint folder and ``split_corrupt``
+splits from there.
 """
 
 from __future__ import annotations
@@ -85,6 +90,17 @@ def stage_csv(
     return spark.read.parquet(target), metrics
 
 
+def layer_rows(df: DataFrame, keep: bool = True, corrupt_col: str = CORRUPT) -> DataFrame:
+    """Contract columns of a full-width read; malformed rows removed unless ``keep``."""
+    out = df if keep else df.filter(F.col(corrupt_col).isNull())
+    return out.drop(corrupt_col)
+
+
+def quarantine_rows(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
+    """Malformed rows of a full-width read: every parsed field plus the line text."""
+    return df.filter(F.col(corrupt_col).isNotNull())
+
+
 def split_corrupt(staged: DataFrame, keep: bool = True, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
     """(rows for the layer, quarantined rows) from a staged full-width parse.
 
@@ -92,6 +108,4 @@ def split_corrupt(staged: DataFrame, keep: bool = True, corrupt_col: str = CORRU
     as the source job does, *and* are copied to quarantine; without it they
     are removed from the layer.
     """
-    good = staged if keep else staged.filter(F.col(corrupt_col).isNull())
-    bad = staged.filter(F.col(corrupt_col).isNotNull())
-    return good.drop(corrupt_col), bad
+    return layer_rows(staged, keep, corrupt_col), quarantine_rows(staged, corrupt_col)

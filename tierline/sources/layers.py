@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,10 +108,13 @@ def write_layer(
     overwrite_schema: bool = False,
     partition_by: Sequence[str] | None = None,
     metrics: Sequence[Column] = (),
+    validate: Callable[[dict], None] | None = None,
 ) -> dict:
     """Full refresh of ``layer.table`` (S5, S6); returns the observed metrics.
 
     ``rows`` is always observed; ``metrics`` adds named aggregate columns.
+    ``validate`` sees the metrics after the data is written and before the
+    catalog is switched; if it raises, the new version is removed unpublished.
     """
     spark = df.sparkSession
     ensure_layer(spark, base, layer)
@@ -131,6 +134,12 @@ def write_layer(
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
     result = dict(obs.get)
+    if validate is not None:
+        try:
+            validate(result)
+        except Exception:
+            fs.delete(spark, target)
+            raise
     register_table(spark, layer, table, target, fmt, replace=exists and overwrite_schema)
     result["location"] = target
     return result
