@@ -31,6 +31,21 @@ def test_compose_date_edges(spark):
     assert got == [e for _, e in rows]
 
 
+def test_compose_date_equals_pattern_parse_brute_force(spark):
+    import itertools
+
+    from tierline.functions.dates import compose_date_by_pattern
+
+    ys = [-10000, -9999, -2016, -2015, -1000, -999, -1, 0, 1, 15, 999, 1000, 1582, 1900, 2000, 2015, 2016,
+          9999, 10000, 12015, None]
+    ms = [-12, -1, 0, 1, 2, 9, 10, 11, 12, 13, 20, 99, 100, 110, 123, 999, 1000, None]
+    ds = [-5, -1, 0, 1, 9, 10, 28, 29, 30, 31, 32, 99, 100, 290, 310, None]
+    df = spark.createDataFrame(list(itertools.product(ys, ms, ds)), YMD)
+    out = df.select(compose_date("YEAR", "MONTH", "DAY").alias("f"), compose_date_by_pattern("YEAR", "MONTH", "DAY").alias("s"))
+    assert out.filter(~F.col("f").eqNullSafe(F.col("s"))).count() == 0
+    assert out.filter(F.col("s").isNotNull()).count() > 1000
+
+
 def test_compose_date_strict_rejects_truncation(spark):
     df = spark.createDataFrame([(2015, 123, 1), (2015, 1, 5)], YMD)
     got = [r[0] for r in df.select(compose_date("YEAR", "MONTH", "DAY", strict=True)).collect()]

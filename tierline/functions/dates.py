@@ -5,25 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PATTERN = "yyyy-MM-dd"
+
+
+def _parts(year, month, day) -> tuple[Column, Column, Column]:
+    return tuple(F.col(c) if isinstance(c, str) else c for c in (year, month, day))
+
+
+def date_text(y: Column, m: Column, d: Column) -> Column:
+    """``year-MM-dd``; ``lpad`` also truncates and ``concat_ws`` skips nulls."""
+    return F.concat_ws("-", y.cast("string"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
+
+
+def compose_date_by_pattern(year: str | Column, month: str | Column, day: str | Column) -> Column:
+    """The definition: the padded text parsed with ``yyyy-MM-dd``, null when it does not parse."""
+    return F.try_to_date(date_text(*_parts(year, month, day)), PATTERN)
+
 
 def compose_date(year: str | Column, month: str | Column, day: str | Column, strict: bool = False) -> Column:
     """DATE from year, month and day parts; any invalid combination gives null.
 
-    Text is ``year-MM-dd`` with month and day left-padded to two characters.
-    As in the source job, ``lpad`` also *truncates* (month 123 reads as 12) and
-    ``concat_ws`` skips a null part, after which the text no longer parses.
-    ``try_to_date`` returns null instead of failing under ANSI mode.  With
-    ``strict`` a month outside 1-12 or a day outside 1-31 is null before
+    Same result as ``compose_date_by_pattern``: as in the source job, ``lpad``
+    *truncates* (month 123 reads as 12), a null part makes the text unparsable,
+    and ``try_*`` returns null instead of failing under ANSI mode.
+
+    Pattern parsing costs about a microsecond per row, so for four-digit years
+    (every real date) the text goes through the plain DATE cast, guarded so it
+    accepts exactly what the pattern accepts there: all three parts present
+    (the cast would read ``2015-01`` as a date).  Other years keep the pattern
+    parse; ``CASE WHEN`` evaluates only the branch a row takes.  The
+    equivalence is checked by brute force in the tests.
+
+    With ``strict`` a month outside 1-12 or a day outside 1-31 is null before
     padding, so truncation cannot turn it into a valid date.
     """
-    y, m, d = (F.col(c) if isinstance(c, str) else c for c in (year, month, day))
+    y, m, d = _parts(year, month, day)
     if strict:
         m = F.when(m.between(1, 12), m)
         d = F.when(d.between(1, 31), d)
-    text = F.concat_ws(
-        "-",
-        y.cast("string"),
-        F.lpad(m.cast("string"), 2, "0"),
-        F.lpad(d.cast("string"), 2, "0"),
-    )
-    return F.try_to_date(text, "yyyy-MM-dd")
+    text = date_text(y, m, d)
+    fast = F.when(m.isNotNull() & d.isNotNull(), text.try_cast("date"))
+    return F.when(y.between(1000, 9999), fast).otherwise(F.try_to_date(text, PATTERN))
