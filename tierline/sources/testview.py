@@ -6,11 +6,13 @@ view that Spark derives from ``lineitem``, ``orders``, ``supplier`` and
 (airports).  The work grows with the test tables: one row of flights per
 lineitem row.
 
-Plan shape: ``lineitem`` joins ``orders`` on the order key (the one big-big
-shuffle join; the order side is first narrowed to the two keys needed and
-joined to ``customer``), then ``supplier``.  Customer and supplier are broadcast
-only behind a bounded row count (``operators.joins``); beyond it they are
-shuffle-joined.
+Plan shape: ``orders`` is narrowed to the two keys needed and joined to
+``customer``; ``lineitem`` joins that on the order key, then ``supplier``.  So
+the largest table is shuffled at most once, by order key, and the order side
+(not lineitem) carries the customer attribute.  Customer and supplier are
+broadcast only behind a bounded row count (``operators.joins``); beyond it,
+and for the lineitem-orders join, Spark shuffles and adaptive execution
+re-plans from measured sizes.
 """
 
 from __future__ import annotations
@@ -108,6 +110,9 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_nation = join_dimension(orders, customer, "o_custkey").select(
         F.col("o_orderkey").alias("l_orderkey"), "c_nationkey"
     )
+    # Both sides grow with the data: a shuffle join.  Adaptive execution turns
+    # it into a broadcast when the measured order side is small, and splits a
+    # skewed order key otherwise.
     rows = lineitem.join(order_nation, "l_orderkey")
     rows = join_dimension(rows, supplier, "l_suppkey")
     return rows.select(*_typed(flight_columns(), FLIGHTS_SCHEMA))

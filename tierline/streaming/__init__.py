@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The source system has no stream: no stream reader, watermark, trigger or
+state.  Its pipeline is a daily full refresh of every layer, which
+``plans.pipeline`` reproduces as batch jobs.  This package stays empty on
+purpose rather than adding operators the source does not have.
+"""
