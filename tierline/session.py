@@ -67,16 +67,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, choosing one only when unset.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; we never
-    override it.  Without one (local tests) a fresh folder under the layer base
-    or the system temp folder is used.
+    override it.  When it is unset, the layer base URI's ``_checkpoints``
+    folder is used (shared storage); only a ``local`` master (tests) may fall
+    back to a fresh machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         base = spark.conf.get(BASE_URI_CONF, None)
         if base:
             current = base.rstrip("/") + "/_checkpoints"
-        else:
+        elif spark.sparkContext.master.startswith("local"):
             current = tempfile.mkdtemp(prefix="tierline-ckpt-")
+        else:
+            raise ValueError(
+                "spark.checkpoint.dir is unset: name a folder on shared storage "
+                f"(or set {BASE_URI_CONF})"
+            )
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
