@@ -71,9 +71,9 @@ def main() -> None:
         timings[key] = round(time.perf_counter() - t0, 3)
         return out
 
-    timed("ingest", lambda: P.run_bronze(spark, base, src, log=quiet))
-    timed("clean", lambda: P.run_silver(spark, base, log=quiet))
-    timed("enrich", lambda: P.run_gold(spark, base, log=quiet))
+    bronze = timed("ingest", lambda: P.run_bronze(spark, base, src, log=quiet))
+    silver = timed("clean", lambda: P.run_silver(spark, base, log=quiet))
+    gold = timed("enrich", lambda: P.run_gold(spark, base, log=quiet))
     timed("register", lambda: register_layers(spark, base))
     pipeline_total = sum(timings[k] for k in ("ingest", "clean", "enrich", "register"))
 
@@ -83,11 +83,19 @@ def main() -> None:
 
     timings["pipeline_total"] = round(pipeline_total, 3)
     timings["queries_total"] = round(query_total, 3)
+    flights = next(b["rows_written"] for b in bronze if b["dataset"] == "flights")
+    rates = {
+        "flight_rows": flights,
+        "ingest_rows_per_sec": round(flights / timings["ingest"]),
+        "clean_rows_per_sec": round(silver["rows"] / timings["clean"]),
+        "enrich_rows_per_sec": round(gold["rows"] / timings["enrich"]),
+    }
     print(json.dumps({
         "metric": "tierline_total_sec",
         "value": round(pipeline_total + query_total, 3),
         "unit": "sec",
         "queries": timings,
+        "rates": rates,
         "sf": _sf(sf_dir),
         "cpus": cpus,
     }))
