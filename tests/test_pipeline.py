@@ -105,3 +105,43 @@ def test_not_null_violation_publishes_nothing(spark, tmp_path):
     with pytest.raises(P.ContractViolation):
         P.ingest(spark, base, "airlines", str(bad), log=lambda s: None)
     assert spark.table("bronze.airlines").collect() == before
+
+
+def test_stages_as_separate_processes(spark, tmp_path):
+    """Each stage in its own process: hand-over through storage, schema enforced across sessions."""
+    import subprocess
+    import sys
+
+    from .conftest import ROOT
+
+    src = {}
+    for name, df in [("airlines", V.airlines(spark, SF001)), ("airports", V.airports(spark, SF001)),
+                     ("flights", V.flights_raw(spark, SF001))]:
+        p = str(tmp_path / "csv" / name)
+        df.write.option("header", "true").csv(p)
+        src[name] = p
+    base = f"file:{tmp_path}/lake"
+    env_args = ["--base", base]
+
+    def run(*args):
+        return subprocess.run([sys.executable, "-m", "tierline", *args, *env_args], cwd=ROOT,
+                              capture_output=True, text=True, timeout=300)
+
+    r = run("raw", *[f"--source={k}={v}" for k, v in src.items()])
+    assert r.returncode == 0, r.stderr[-2000:]
+    for stage in ("clean", "fact", "register"):
+        r = run(stage)
+        assert r.returncode == 0, r.stderr[-2000:]
+    from tierline.sources.layers import current_version
+
+    fact = spark.read.parquet(current_version(spark, base, "gold", "fact_flights_delay"))
+    assert fact.count() == 6000
+    # a drifted raw file is refused by a fresh process too
+    bad = tmp_path / "csv" / "airlines_v2.csv"
+    bad.write_text("IATA_CODE,AIRLINE,EXTRA\nAA,Air A,x\n")
+    r = subprocess.run([sys.executable, "-c", (
+        "import sys; from tierline.session import build_session; from tierline.sources.layers import write_layer;"
+        f"s = build_session('t', base_uri='{base}');"
+        "df = s.createDataFrame([('AA', 'Air A', 'x')], 'IATA_CODE string, AIRLINE string, EXTRA string');"
+        f"write_layer(df, '{base}', 'bronze', 'airlines')")], cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert r.returncode != 0 and "SchemaMismatchError" in r.stderr

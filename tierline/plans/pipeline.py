@@ -130,8 +130,14 @@ def run_silver(spark: SparkSession, base: str, strict_dates: bool = False, log:
     return m
 
 
-def run_gold(spark: SparkSession, base: str, log: Log = print, show_codes: int = 20) -> dict:
-    """L3: clean flights + airlines -> fact table, with the FK integrity report."""
+def run_gold(
+    spark: SparkSession, base: str, log: Log = print, show_codes: int = 20, preview_rows: int = 5
+) -> dict:
+    """L3: clean flights + airlines -> fact table, with the FK integrity report.
+
+    The preview (P14) reads a few rows of the version just written, not the
+    job's input again.
+    """
     flights = read_layer(spark, "silver", "flights", base)
     airlines = read_layer(spark, "bronze", "airlines", base)
     fact = T.fact(flights, airlines, check_unique=True)
@@ -146,6 +152,10 @@ def run_gold(spark: SparkSession, base: str, log: Log = print, show_codes: int =
         codes = Q.unmatched_codes(flights, airlines).limit(show_codes).collect()
         m["unmatched_codes"] = [r["airline_code"] for r in codes]
         log(f"[WARN] flights with unmatched airline codes: {m['unmatched']:,}, e.g. {m['unmatched_codes']}")
+    if preview_rows:
+        m["preview"] = [r.asDict() for r in Q.preview(spark.read.parquet(m["location"]), preview_rows).collect()]
+        for row in m["preview"]:
+            log(f"  {row}")
     return m
 
 

@@ -124,8 +124,14 @@ def write_layer(
     ensure_layer(spark, base, layer)
     qualified = f"{layer}.{table}"
     exists = spark.catalog.tableExists(qualified)
-    if exists and not overwrite_schema:
-        diff = schema_diff(spark.table(qualified).schema, df.schema)
+    if not overwrite_schema:
+        # The registered table, else (a fresh session) the newest committed version.
+        if exists:
+            previous = spark.table(qualified).schema
+        else:
+            loc = current_version(spark, base, layer, table)
+            previous = spark.read.format(fmt).load(loc).schema if loc else None
+        diff = schema_diff(previous, df.schema) if previous is not None else []
         if diff:
             raise SchemaMismatchError(
                 f"{qualified}: schema differs from the registered table ({'; '.join(diff)}); "
