@@ -25,16 +25,19 @@ def compose_date_by_pattern(year: str | Column, month: str | Column, day: str |
 def compose_date(year: str | Column, month: str | Column, day: str | Column, strict: bool = False) -> Column:
     """DATE from year, month and day parts; any invalid combination gives null.
 
-    Same result as ``compose_date_by_pattern``: as in the source job, ``lpad``
-    *truncates* (month 123 reads as 12), a null part makes the text unparsable,
-    and ``try_*`` returns null instead of failing under ANSI mode.
-
-    Pattern parsing costs about a microsecond per row, so for four-digit years
-    (every real date) the text goes through the plain DATE cast, guarded so it
-    accepts exactly what the pattern accepts there: all three parts present
-    (the cast would read ``2015-01`` as a date).  Other years keep the pattern
-    parse; ``CASE WHEN`` evaluates only the branch a row takes.  The
-    equivalence is checked by brute force in the tests.
+    Same result as ``compose_date_by_pattern`` under the default parser policy
+    for every year from 0 up: as in the source job, ``lpad`` *truncates*
+    (month 123 reads as 12) and a null part makes the text unparsable.
+
+    Pattern parsing costs about a microsecond per row and depends on the
+    session's ``timeParserPolicy`` (EXCEPTION raises on short years, LEGACY
+    reads ``15`` as year 15).  So the text goes through the plain DATE cast,
+    guarded to accept exactly what the pattern accepts: a four-digit year
+    (1000-9999) and all three parts present (the cast alone would read
+    ``2015-01`` as a date).  Any other year is invalid and gives null, under
+    every policy; that includes negative years, which the pattern would turn
+    into dates before the common era.  The tests check the equivalence by
+    brute force.
 
     With ``strict`` a month outside 1-12 or a day outside 1-31 is null before
     padding, so truncation cannot turn it into a valid date.
@@ -43,6 +46,5 @@ def compose_date(year: str | Column, month: str | Column, day: str | Column, str
     if strict:
         m = F.when(m.between(1, 12), m)
         d = F.when(d.between(1, 31), d)
-    text = date_text(y, m, d)
-    fast = F.when(m.isNotNull() & d.isNotNull(), text.try_cast("date"))
-    return F.when(y.between(1000, 9999), fast).otherwise(F.try_to_date(text, PATTERN))
+    ok = y.between(1000, 9999) & m.isNotNull() & d.isNotNull()
+    return F.when(ok, date_text(y, m, d).try_cast("date"))
