@@ -145,3 +145,25 @@ def test_stages_as_separate_processes(spark, tmp_path):
         "df = s.createDataFrame([('AA', 'Air A', 'x')], 'IATA_CODE string, AIRLINE string, EXTRA string');"
         f"write_layer(df, '{base}', 'bronze', 'airlines')")], cwd=ROOT, capture_output=True, text=True, timeout=300)
     assert r.returncode != 0 and "SchemaMismatchError" in r.stderr
+
+
+def test_sql_over_registered_tables(spark, lake):
+    """SQL text with bound values over the registered layers agrees with the report operators."""
+    from tierline.functions.filters import FactFilter
+    from tierline.operators import reports as R
+    from tierline.sources.catalog import query
+
+    sql = """
+        SELECT a.airline AS airline,
+               COUNT(*) AS num_flights,
+               ROUND(AVG(f.arrival_delay), 2) AS avg_arrival_delay,
+               ROUND(CAST(COUNT_IF(f.arrival_delay > 15) AS DOUBLE) * 100 / COUNT(*), 2) AS delay_pct
+        FROM gold.fact_flights_delay f
+        JOIN bronze.airlines a ON f.airline_code = a.iata_code
+        WHERE f.flight_date >= :since
+        GROUP BY a.airline
+    """
+    got = {tuple(r) for r in query(spark, sql, {"since": "1997-01-01"}).collect()}
+    fact = FactFilter(date_from="1997-01-01").apply(spark.table("gold.fact_flights_delay"))
+    want = {tuple(r) for r in R.airline_leaderboard(fact, spark.table("bronze.airlines")).collect()}
+    assert got == want and len(got) > 0

@@ -96,3 +96,12 @@ def test_register_layers_is_idempotent(spark, workdir):
     assert ("bronze", "airlines") in names
     got = query(spark, "SELECT airline FROM bronze.airlines WHERE iata_code = :c", {"c": "AA"}).collect()
     assert [r.airline for r in got] == ["Air A"]
+
+
+def test_cluster_conf_scales_partitions():
+    from tierline.session import cluster_conf
+
+    big = cluster_conf(100 << 40, total_cores=8000)  # 100 TB
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    small = cluster_conf(1 << 20, total_cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"

@@ -96,6 +96,24 @@ def base_uri(spark: SparkSession, default: str | None = None) -> str:
     return value
 
 
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and split sizes for a cluster reading ``input_bytes``.
+
+    Starts shuffles with about one partition per ``partition_bytes`` of input
+    (at least two per core) and lets adaptive execution coalesce them to the
+    same advisory size, so partitions stay spill-friendly at any scale.  File
+    splits use the same size.  Pass the result as ``build_session(conf=...)``.
+    """
+    shuffle = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def local_session(cores: int | None = None, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local benchmark (``local[N]``)."""
     n = cores or int(os.environ.get("BENCH_CPUS", "8"))
