@@ -43,3 +43,20 @@ def test_enrich_keeps_rows_and_matched_plus_unmatched_is_total(spark, rows):
     unmatched = fact.filter("AIRLINE_NAME IS NULL").count()
     matched = sum(1 for r in rows if r[3] in ("AA", "BB"))
     assert matched + unmatched == len(rows)
+
+
+part = st.one_of(st.none(), st.integers(-5, 2100))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(part, part, part, delay, delay, st.sampled_from([0, 1, None])), min_size=0, max_size=30))
+def test_clean_keeps_rows_and_neutralises(spark, rows):
+    ddl = "YEAR int, MONTH int, DAY int, DEPARTURE_DELAY double, ARRIVAL_DELAY double, CANCELLED int"
+    raw = spark.createDataFrame(rows, ddl)
+    out = T.clean(raw)
+    got = out.collect()
+    assert len(got) == len(rows)
+    assert "YEAR" not in out.columns and out.columns[-1] == "FLIGHT_DATE"
+    for r in got:
+        if r.CANCELLED == 1:
+            assert r.DEPARTURE_DELAY == 0.0 and r.ARRIVAL_DELAY == 0.0
