@@ -151,8 +151,10 @@ def test_sql_over_registered_tables(spark, lake):
     """SQL text with bound values over the registered layers agrees with the report operators."""
     from tierline.functions.filters import FactFilter
     from tierline.operators import reports as R
-    from tierline.sources.catalog import query
+    from tierline.sources.catalog import query, register_layers
 
+    base, _, _ = lake
+    register_layers(spark, base)  # other tests point the session catalog elsewhere
     sql = """
         SELECT a.airline AS airline,
                COUNT(*) AS num_flights,

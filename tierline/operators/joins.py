@@ -52,6 +52,21 @@ def duplicate_keys(dim: DataFrame, key: list[str] | tuple[str, ...]) -> DataFram
     )
 
 
+def profile_dimension(dim: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[int, int]:
+    """(rows, keys that repeat) of a dimension in one aggregate job.
+
+    Serves both checks a dimension join needs: the key must be unique (else
+    the join fans out) and the row count bounds the broadcast.  Partial
+    aggregation by key keeps a repeated hot key cheap.
+    """
+    per_key = dim.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
+    row = per_key.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.count_if(F.col("_copies") > 1).alias("repeated"),
+    ).first()
+    return int(row["rows"]), int(row["repeated"])
+
+
 def assert_unique_key(dim: DataFrame, key: list[str] | tuple[str, ...], name: str = "dimension") -> None:
     """Raise when a dimension key repeats: a left join would fan out fact rows."""
     dup = duplicate_keys(dim, key).limit(1).collect()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import compose_date
 from ..schemas import DATE_PARTS, DELAY_COLUMNS, FACT_COLUMNS
-from .joins import assert_unique_key, maybe_broadcast
+from .joins import broadcast_bound, maybe_broadcast, profile_dimension
 
 
 def with_flight_date(raw: DataFrame, name: str = "FLIGHT_DATE", strict: bool = False) -> DataFrame:
@@ -54,13 +54,16 @@ def enrich(
         F.col("IATA_CODE").alias("_DIM_CODE"), F.col("AIRLINE").alias("AIRLINE_NAME")
     )
     if check_unique:
-        assert_unique_key(dim, ["_DIM_CODE"], "airlines")
+        # One job gives both the uniqueness verdict and the broadcast bound.
+        rows, repeated = profile_dimension(dim, ["_DIM_CODE"])
+        if repeated:
+            raise ValueError(f"airlines: key ('IATA_CODE',) is not unique ({repeated} codes repeat)")
+        bound = broadcast_bound(dim) if max_broadcast_rows is None else max_broadcast_rows
+        dim_side = F.broadcast(dim) if rows <= bound else dim
+    else:
+        dim_side = maybe_broadcast(dim, max_broadcast_rows)
     flights = clean_df.withColumnRenamed("AIRLINE", "AIRLINE_CODE")
-    joined = flights.join(
-        maybe_broadcast(dim, max_broadcast_rows),
-        F.col("AIRLINE_CODE") == F.col("_DIM_CODE"),
-        "left",
-    )
+    joined = flights.join(dim_side, F.col("AIRLINE_CODE") == F.col("_DIM_CODE"), "left")
     return joined
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from ..operators import transforms as T
 from ..schemas import CONTRACTS, FLIGHTS, Contract
 from ..sources import csv as C
 from ..sources.catalog import register_layers
-from ..sources.layers import read_layer, write_layer
+from ..sources.layers import ensure_layer, read_layer, write_layer
 
 Log = Callable[[str], None]
 
@@ -105,12 +106,29 @@ def run_bronze(
     sources: Mapping[str, str],
     keep_malformed: bool = True,
     log: Log = print,
+    parallel: bool = True,
 ) -> list[dict]:
-    """L1: every source CSV (name -> path) to its raw table."""
+    """L1: every source CSV (name -> path) to its raw table.
+
+    The datasets are independent, so their jobs run concurrently (Spark
+    schedules jobs from several threads side by side): the small dimension
+    loads overlap the large fact load instead of queueing behind it.  Reports
+    come back in the order airlines, airports, flights, then any others; the
+    first failure is raised.
+    """
     order = [n for n in ("airlines", "airports", "flights") if n in sources] + [
         n for n in sources if n not in ("airlines", "airports", "flights")
     ]
-    return [ingest(spark, base, n, sources[n], keep_malformed=keep_malformed, log=log) for n in order]
+    ensure_layer(spark, base, "bronze")
+
+    def one(name: str) -> dict:
+        return ingest(spark, base, name, sources[name], keep_malformed=keep_malformed, log=log)
+
+    if not parallel or len(order) < 2:
+        return [one(n) for n in order]
+    with ThreadPoolExecutor(max_workers=len(order)) as pool:
+        futures = [pool.submit(one, n) for n in order]
+        return [f.result() for f in futures]
 
 
 def silver_metrics() -> list:
@@ -153,7 +171,7 @@ def run_gold(
         m["unmatched_codes"] = [r["airline_code"] for r in codes]
         log(f"[WARN] flights with unmatched airline codes: {m['unmatched']:,}, e.g. {m['unmatched_codes']}")
     if preview_rows:
-        m["preview"] = [r.asDict() for r in Q.preview(spark.read.parquet(m["location"]), preview_rows).collect()]
+        m["preview"] = [r.asDict() for r in Q.preview(spark.table("gold.fact_flights_delay"), preview_rows).collect()]
         for row in m["preview"]:
             log(f"  {row}")
     return m
