@@ -103,13 +103,17 @@ def unmatched_codes(
 ) -> DataFrame:
     """Distinct fact codes with no dimension row (J5, A16); a null code is listed.
 
-    The codes are made distinct first (partial aggregation, so a hot code
-    costs nothing extra) and only the distinct set meets the dimension in a
-    ``left_anti`` join.
+    The codes are aggregated first (partial aggregation, so a hot code costs
+    nothing extra) and only one row per code meets the dimension in a
+    ``left_anti`` join.  The join condition also names the per-code row count
+    (always at least 1), which keeps the optimizer from moving the anti join
+    below the aggregation, where it would meet every fact row and, with a
+    dimension too big to broadcast, shuffle the whole fact.
     """
-    codes = flights.select(F.col(code).alias("airline_code")).distinct()
+    codes = flights.groupBy(F.col(code).alias("airline_code")).agg(F.count(F.lit(1)).alias("_rows"))
     keys = dim.select(F.col(dim_code).alias("_k"))
-    return codes.join(maybe_broadcast(keys), F.col("airline_code") == F.col("_k"), "left_anti")
+    cond = (F.col("airline_code") == F.col("_k")) & (F.col("_rows") > 0)
+    return codes.join(maybe_broadcast(keys), cond, "left_anti").select("airline_code")
 
 
 def layer_counts(layers: Sequence[tuple[str, DataFrame]]) -> DataFrame:
