@@ -169,3 +169,13 @@ def test_sql_over_registered_tables(spark, lake):
     fact = FactFilter(date_from="1997-01-01").apply(spark.table("gold.fact_flights_delay"))
     want = {tuple(r) for r in R.airline_leaderboard(fact, spark.table("bronze.airlines")).collect()}
     assert got == want and len(got) > 0
+
+
+def test_layer_row_counts_over_registered_tables(spark, lake):
+    from tierline.sources.catalog import layer_row_counts, register_layers
+
+    base, _, _ = lake
+    register_layers(spark, base)
+    got = {r.layer: r.row_count for r in layer_row_counts(spark).collect()}
+    assert got == {"bronze_airlines": 10, "bronze_airports": 25, "bronze_flights": 6000,
+                   "silver_flights": 6000, "gold_fact_flights_delay": 6000}

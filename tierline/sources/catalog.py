@@ -45,6 +45,20 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
     return out.select("namespace", "tableName")
 
 
+def layer_row_counts(spark: SparkSession) -> DataFrame:
+    """Row counts of the registered layer tables side by side.
+
+    Labels are ``<layer>_<table>`` (``gold_fact_flights_delay`` ...).  Each
+    count reads only parquet row-group metadata.
+    """
+    from ..operators.quality import layer_counts
+
+    present = [(f"{l}_{t}", spark.table(f"{l}.{t}")) for l, t in LAYER_TABLES if spark.catalog.tableExists(f"{l}.{t}")]
+    if not present:
+        raise ValueError("no layer table is registered")
+    return layer_counts(present)
+
+
 def query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:
     """SQL text over the registered tables; values are bound, never spliced."""
     return spark.sql(sql, args=args) if args else spark.sql(sql)
