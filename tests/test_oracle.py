@@ -15,7 +15,7 @@ TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
 
 def _norm(v):
     if isinstance(v, float):
-        return f"{v:.9g}"
+        return repr(v)  # exact: the oracle reproduces Spark's rounding bit for bit
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
     return repr(v)
