@@ -20,7 +20,7 @@ from ..schemas import CAUSES
 from .joins import maybe_broadcast
 
 
-def _lower(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+def _lower(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(c.lower()) for c in cols]
 
 
@@ -98,7 +98,7 @@ def leaderboard(
     ties are deterministic (A9, A10, O2).
     """
     joined = _join_states(fact, fact_key, dim, dim_key, by)
-    out = joined.groupBy(*_lower(joined, by)).agg(
+    out = joined.groupBy(*_lower(by)).agg(
         F.sum("_rows").alias(count_name),
         finish_mean("_arr_sum", "_arr_n").alias("avg_arrival_delay"),
         finish_rate().alias("delay_pct"),
@@ -153,10 +153,8 @@ def map_points(fact: DataFrame, airports: DataFrame) -> DataFrame:
     Null coordinates are ordinary group values.
     """
     attrs = ["IATA_CODE", "AIRPORT", "CITY", "STATE", "LATITUDE", "LONGITUDE"]
-    states = per_key_states(fact, "ORIGIN_AIRPORT")
-    dim_side = airports.select(F.col("IATA_CODE").alias("_dkey"), *attrs)
-    joined = states.join(maybe_broadcast(dim_side), F.col("_key") == F.col("_dkey"), "inner")
-    return joined.groupBy(*_lower(joined, attrs)).agg(
+    joined = _join_states(fact, "ORIGIN_AIRPORT", airports, "IATA_CODE", attrs)
+    return joined.groupBy(*_lower(attrs)).agg(
         F.sum("_rows").alias("num_departures"),
         finish_mean("_arr_sum", "_arr_n").alias("avg_arrival_delay"),
         finish_rate().alias("delay_pct"),
@@ -210,7 +208,7 @@ def date_bounds(fact: DataFrame, col: str = "FLIGHT_DATE") -> DataFrame:
 
 def dim_list(dim: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
     """Dimension rows sorted by name."""
-    return dim.select(*_lower(dim, cols)).orderBy(F.asc_nulls_last(order.lower()), *[F.asc_nulls_last(c.lower()) for c in cols])
+    return dim.select(*_lower(cols)).orderBy(F.asc_nulls_last(order.lower()), *[F.asc_nulls_last(c.lower()) for c in cols])
 
 
 def dim_airlines(airlines: DataFrame) -> DataFrame:
