@@ -1,10 +1,16 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only after a bounded count proves it small: the count
-reads at most ``max_rows + 1`` rows of a column-pruned scan, so it costs little
-even when the dimension turns out to be big.  Beyond the bound the join is left
-to Spark as a shuffle join, where adaptive execution can still switch to a
-broadcast from measured sizes and split skewed key partitions.
+A dimension is broadcast only after a bounded count proves it small.  The
+count reads no columns and stops each partition after ``max_rows + 1`` rows,
+so it costs at most one pass over the *dimension* (row-group metadata for a
+plain parquet scan) and never touches the fact, whatever its size.  Beyond the
+bound the join is left to Spark as a shuffle join, where adaptive execution
+can still switch to a broadcast from measured sizes and split skewed key
+partitions.
+
+The bound is in rows (default 500,000, conf ``tierline.broadcast.maxRows``)
+and applies to the projected dimension, which carries only the key and the
+attributes the join needs; lower it for dimensions with wide rows.
 """
 
 from __future__ import annotations

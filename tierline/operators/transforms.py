@@ -46,9 +46,11 @@ def enrich(
 ) -> DataFrame:
     """Clean flights left-joined to airlines (J1); unmatched rows keep a null name.
 
-    The dimension is broadcast only when a bounded count proves it small.
-    ``check_unique`` raises on a repeated dimension key instead of silently
-    fanning out fact rows.
+    With ``check_unique`` one aggregate job over the dimension returns its row
+    count and the number of repeated keys: a repeated key raises (the left join
+    would silently fan out fact rows), and the row count decides the broadcast.
+    Without it, a bounded count decides the broadcast.  Beyond the bound the
+    join is a shuffle join (adaptive execution splits a hot code).
     """
     dim = airlines.select(
         F.col("IATA_CODE").alias("_DIM_CODE"), F.col("AIRLINE").alias("AIRLINE_NAME")
