@@ -20,7 +20,7 @@ def lake(spark, tmp_path_factory):
         src[name] = p
     base = f"file:{work}/lake"
     first = P.run_all(spark, base, src, log=lambda s: None)
-    second = P.run_all(spark, base, src, log=lambda s: None)
+    second = P.run_all(spark, base, src, log=lambda s: None, keep_versions=1)
     return base, first, second
 
 
@@ -32,6 +32,10 @@ def test_run_all_is_repeatable(lake):
     _, first, second = lake
     assert _counts(first) == _counts(second)
     assert first["silver"]["location"] != second["silver"]["location"]
+    # retention removed the first run's versions, one per layer table
+    assert sorted(second["vacuum"]) == sorted(
+        [first["silver"]["location"], first["gold"]["location"]] + [b["location"] for b in first["bronze"]]
+    )
 
 
 def test_stage_metrics_match_fixture(lake):

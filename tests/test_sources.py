@@ -82,7 +82,8 @@ def test_current_version_and_read_layer_from_storage(spark, workdir):
     L.write_layer(spark.createDataFrame([(5,), (6,)], "k int"), base, "t_store", "tab")
     loc = L.current_version(spark, base, "t_store", "tab")
     assert loc == spark.sql("DESCRIBE TABLE EXTENDED t_store.tab").filter("col_name = 'Location'").first()[1]
-    assert len(L.old_versions(spark, base, "t_store", "tab")) == 1
+    assert len(L.old_versions(spark, base, "t_store", "tab", keep=1)) == 1
+    assert L.old_versions(spark, base, "t_store", "tab", keep=2) == []
 
 
 def test_register_layers_is_idempotent(spark, workdir):
@@ -105,3 +106,21 @@ def test_cluster_conf_scales_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     small = cluster_conf(1 << 20, total_cores=8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_vacuum_keeps_newest_committed_versions(spark, workdir):
+    base = f"file:{workdir}/lake"
+    for i in range(4):
+        L.write_layer(spark.createDataFrame([(i,)], "k int"), base, "t_vac", "tab")
+    current = L.current_version(spark, base, "t_vac", "tab")
+    # an in-flight (uncommitted) newer folder must survive
+    import os
+    inflight = f"{workdir}/lake/t_vac/tab/v999999999999999-inflight"
+    os.makedirs(inflight)
+    deleted = L.vacuum_layer(spark, base, "t_vac", "tab", keep=2)
+    assert len(deleted) == 2 and current not in deleted
+    left = [n for n in os.listdir(f"{workdir}/lake/t_vac/tab") if n.startswith("v")]
+    assert len(left) == 3 and "v999999999999999-inflight" in left
+    assert [r.k for r in spark.table("t_vac.tab").collect()] == [3]
+    with pytest.raises(ValueError):
+        L.old_versions(spark, base, "t_vac", "tab", keep=0)

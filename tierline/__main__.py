@@ -40,13 +40,16 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--base", required=True, help="layer base URI (any Hadoop filesystem)")
     ap.add_argument("--source", action="append", default=[], help="name=path of a source CSV")
     ap.add_argument("--drop-malformed", action="store_true", help="remove malformed rows from the raw layer")
+    ap.add_argument("--keep-versions", type=int, default=None,
+                    help="after a successful 'all', delete layer versions beyond the newest N")
     args = ap.parse_args(argv)
 
     spark = build_session(f"tierline-{args.stage}", base_uri=args.base)
     keep = not args.drop_malformed
     try:
         if args.stage == "all":
-            out = P.run_all(spark, args.base, _sources(args.source), keep_malformed=keep)
+            out = P.run_all(spark, args.base, _sources(args.source), keep_malformed=keep,
+                            keep_versions=args.keep_versions)
         elif args.stage == "raw":
             out = P.run_bronze(spark, args.base, _sources(args.source), keep_malformed=keep)
         elif args.stage == "clean":

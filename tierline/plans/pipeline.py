@@ -18,7 +18,7 @@ and every stage raises on error (the source ingest printed and went on).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,8 +28,8 @@ from ..operators import quality as Q
 from ..operators import transforms as T
 from ..schemas import CONTRACTS, FLIGHTS, Contract
 from ..sources import csv as C
-from ..sources.catalog import register_layers
-from ..sources.layers import ensure_layer, read_layer, write_layer
+from ..sources.catalog import LAYER_TABLES, register_layers
+from ..sources.layers import ensure_layer, read_layer, vacuum_layer, write_layer
 
 Log = Callable[[str], None]
 
@@ -189,20 +189,37 @@ def run_gold(
     return m
 
 
+def vacuum_layers(spark: SparkSession, base: str, keep: int, names: Sequence[str] = ()) -> list[str]:
+    """Retention over every layer table (and the quarantine of ``names``)."""
+    tables = list(LAYER_TABLES) + [("bronze", f"_quarantine_{n}") for n in names]
+    deleted: list[str] = []
+    for layer, table in tables:
+        deleted += vacuum_layer(spark, base, layer, table, keep)
+    return deleted
+
+
 def run_all(
     spark: SparkSession,
     base: str,
     sources: Mapping[str, str],
     keep_malformed: bool = True,
     log: Log = print,
+    keep_versions: int | None = None,
 ) -> dict:
-    """The whole chain in order; each stage raises on error."""
-    return {
+    """The whole chain in order; each stage raises on error.
+
+    ``keep_versions`` (off by default) deletes layer versions beyond the
+    newest ``keep_versions`` committed ones once the chain has succeeded.
+    """
+    out = {
         "bronze": run_bronze(spark, base, sources, keep_malformed, log),
         "silver": run_silver(spark, base, log=log),
         "gold": run_gold(spark, base, log=log),
         "register": register_layers(spark, base),
     }
+    if keep_versions is not None:
+        out["vacuum"] = vacuum_layers(spark, base, keep_versions, list(sources))
+    return out
 
 
 def fact_table(spark: SparkSession, base: str | None = None) -> DataFrame:

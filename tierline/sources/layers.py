@@ -170,8 +170,46 @@ def read_layer(spark: SparkSession, layer: str, table: str, base: str | None = N
     return spark.read.format(fmt).load(loc)
 
 
-def old_versions(spark: SparkSession, base: str, layer: str, table: str, keep: int = 1) -> list[str]:
-    """Version folders older than the newest ``keep`` committed ones (for cleanup)."""
+def registered_location(spark: SparkSession, layer: str, table: str) -> str | None:
+    """Location the catalog table points at, if it is registered."""
+    if not spark.catalog.tableExists(f"{layer}.{table}"):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(layer, table)}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def old_versions(spark: SparkSession, base: str, layer: str, table: str, keep: int = 2) -> list[str]:
+    """Version folders that retention may delete, keeping the newest ``keep`` committed ones.
+
+    Only folders older than the ``keep``-th newest committed version qualify,
+    so the current version and any newer in-flight write are never listed, and
+    neither is the folder the catalog points at.  Older uncommitted folders
+    (failed writes) do qualify.
+    """
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
     root = layer_uri(base, layer, table)
     names = [n for n in fs.list_dirs(spark, root) if n.startswith(VERSION_PREFIX)]
-    return [f"{root}/{n}" for n in names[:-keep]] if keep > 0 else [f"{root}/{n}" for n in names]
+    committed = [n for n in names if fs.exists(spark, f"{root}/{n}/_SUCCESS")]
+    if len(committed) <= keep:
+        return []
+    cutoff = committed[-keep]
+    pinned = registered_location(spark, layer, table)
+    out = []
+    for n in names:
+        uri = f"{root}/{n}"
+        if n < cutoff and (pinned is None or uri.rstrip("/") != pinned.rstrip("/")):
+            out.append(uri)
+    return out
+
+
+def vacuum_layer(spark: SparkSession, base: str, layer: str, table: str, keep: int = 2) -> list[str]:
+    """Delete version folders beyond the retention of ``keep`` committed versions.
+
+    A daily full refresh otherwise keeps every past copy.  Keeping two leaves
+    the previous version for a rollback (``register_table`` at its location).
+    """
+    doomed = old_versions(spark, base, layer, table, keep)
+    for uri in doomed:
+        fs.delete(spark, uri)
+    return doomed
