@@ -172,3 +172,10 @@ def test_broadcast_only_within_checked_bound(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "BroadcastHashJoin" in plan_small
     assert "BroadcastHashJoin" not in plan_big and "SortMergeJoin" in plan_big
+
+
+def test_one_decimal_rates(spark):
+    f = _fact(spark, [(D1, "AA", None, str(i), "X1", "X2", 0.0, 20.0 if i < 2 else 0.0, 0) for i in range(3)])
+    r = R.kpis(f, digits=1).first()
+    assert (r.delay_pct, r.on_time_pct) == (66.7, 33.3)
+    assert R.kpis(f).first().delay_pct == 66.67

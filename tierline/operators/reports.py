@@ -70,15 +70,19 @@ def _join_states(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, a
 
 # -- headline KPIs -----------------------------------------------------------
 
-def kpis(fact: DataFrame) -> DataFrame:
-    """Total, mean delays, delay and cancel rates, on-time rate."""
+def kpis(fact: DataFrame, digits: int = 2) -> DataFrame:
+    """Total, mean delays, delay and cancel rates, on-time rate.
+
+    ``digits`` is the rounding of every measure: 2 as the report SQL states;
+    1 reproduces an engine that divides in one-decimal fixed point.
+    """
     return fact.agg(
         M.row_count().alias("total_flights"),
-        M.mean("ARRIVAL_DELAY").alias("avg_arrival_delay"),
-        M.mean("DEPARTURE_DELAY").alias("avg_departure_delay"),
-        M.rate_pct(M.delayed()).alias("delay_pct"),
-        M.rate_pct(M.cancelled()).alias("cancel_pct"),
-    ).withColumn("on_time_pct", F.round(F.lit(100.0) - F.col("delay_pct"), 2))
+        M.mean("ARRIVAL_DELAY", digits).alias("avg_arrival_delay"),
+        M.mean("DEPARTURE_DELAY", digits).alias("avg_departure_delay"),
+        M.rate_pct(M.delayed(), digits).alias("delay_pct"),
+        M.rate_pct(M.cancelled(), digits).alias("cancel_pct"),
+    ).withColumn("on_time_pct", F.round(F.lit(100.0) - F.col("delay_pct"), digits))
 
 
 # -- grouped leaderboards ----------------------------------------------------
@@ -91,6 +95,7 @@ def leaderboard(
     by: Sequence[str],
     count_name: str,
     order: str,
+    digits: int = 2,
 ) -> DataFrame:
     """Counts, rounded mean arrival delay and delay rate per dimension attribute(s).
 
@@ -100,20 +105,23 @@ def leaderboard(
     joined = _join_states(fact, fact_key, dim, dim_key, by)
     out = joined.groupBy(*_lower(by)).agg(
         F.sum("_rows").alias(count_name),
-        finish_mean("_arr_sum", "_arr_n").alias("avg_arrival_delay"),
-        finish_rate().alias("delay_pct"),
+        finish_mean("_arr_sum", "_arr_n", digits).alias("avg_arrival_delay"),
+        finish_rate(digits=digits).alias("delay_pct"),
     )
     keys = [c.lower() for c in by]
     return out.orderBy(F.desc_nulls_last(order), *[F.asc_nulls_last(k) for k in keys])
 
 
-def airline_leaderboard(fact: DataFrame, airlines: DataFrame) -> DataFrame:
-    return leaderboard(fact, airlines, "AIRLINE_CODE", "IATA_CODE", ["AIRLINE"], "num_flights", "avg_arrival_delay")
+def airline_leaderboard(fact: DataFrame, airlines: DataFrame, digits: int = 2) -> DataFrame:
+    return leaderboard(
+        fact, airlines, "AIRLINE_CODE", "IATA_CODE", ["AIRLINE"], "num_flights", "avg_arrival_delay", digits
+    )
 
 
-def airport_leaderboard(fact: DataFrame, airports: DataFrame) -> DataFrame:
+def airport_leaderboard(fact: DataFrame, airports: DataFrame, digits: int = 2) -> DataFrame:
     return leaderboard(
-        fact, airports, "ORIGIN_AIRPORT", "IATA_CODE", ["AIRPORT", "CITY", "STATE"], "num_departures", "delay_pct"
+        fact, airports, "ORIGIN_AIRPORT", "IATA_CODE", ["AIRPORT", "CITY", "STATE"], "num_departures", "delay_pct",
+        digits,
     )
 
 
@@ -127,8 +135,8 @@ def airport_label(name: str = "airport", state: str = "state", width: int = 35)
     return F.concat(F.substring(F.col(name), 1, width), F.lit(" ("), F.col(state), F.lit(")"))
 
 
-def top10_airports(fact: DataFrame, airports: DataFrame, n: int = 10) -> DataFrame:
-    return top_n(airport_leaderboard(fact, airports), n).withColumn("label", airport_label())
+def top10_airports(fact: DataFrame, airports: DataFrame, n: int = 10, digits: int = 2) -> DataFrame:
+    return top_n(airport_leaderboard(fact, airports, digits), n).withColumn("label", airport_label())
 
 
 def worst_group(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str) -> DataFrame:
@@ -147,7 +155,7 @@ def worst_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     return worst_group(fact, airlines, "AIRLINE_CODE", "IATA_CODE", "AIRLINE")
 
 
-def map_points(fact: DataFrame, airports: DataFrame) -> DataFrame:
+def map_points(fact: DataFrame, airports: DataFrame, digits: int = 2) -> DataFrame:
     """Per origin airport with its coordinates, unordered.
 
     Null coordinates are ordinary group values.
@@ -156,35 +164,37 @@ def map_points(fact: DataFrame, airports: DataFrame) -> DataFrame:
     joined = _join_states(fact, "ORIGIN_AIRPORT", airports, "IATA_CODE", attrs)
     return joined.groupBy(*_lower(attrs)).agg(
         F.sum("_rows").alias("num_departures"),
-        finish_mean("_arr_sum", "_arr_n").alias("avg_arrival_delay"),
-        finish_rate().alias("delay_pct"),
+        finish_mean("_arr_sum", "_arr_n", digits).alias("avg_arrival_delay"),
+        finish_rate(digits=digits).alias("delay_pct"),
     )
 
 
 # -- trends --------------------------------------------------------------------
 
-def trend(fact: DataFrame, flt=None, period: str = "period", departure: bool = True) -> DataFrame:
+def trend(fact: DataFrame, flt=None, period: str = "period", departure: bool = True, digits: int = 2) -> DataFrame:
     """Flights and mean delays per calendar month, ordered by month.
 
     A null date forms its own (last) group unless a date filter removed it.
     """
     df = flt.apply(fact) if flt is not None else fact
-    aggs = [M.row_count().alias("num_flights"), M.mean("ARRIVAL_DELAY").alias("avg_arrival_delay")]
+    aggs = [M.row_count().alias("num_flights"), M.mean("ARRIVAL_DELAY", digits).alias("avg_arrival_delay")]
     if departure:
-        aggs.append(M.mean("DEPARTURE_DELAY").alias("avg_departure_delay"))
+        aggs.append(M.mean("DEPARTURE_DELAY", digits).alias("avg_departure_delay"))
     return df.groupBy(F.trunc("FLIGHT_DATE", "month").alias(period)).agg(*aggs).orderBy(F.asc_nulls_last(period))
 
 
 # -- causes --------------------------------------------------------------------
 
-def cause_totals(raw: DataFrame, causes: Sequence[tuple[str, str]] = CAUSES, shares: bool = False) -> DataFrame:
+def cause_totals(
+    raw: DataFrame, causes: Sequence[tuple[str, str]] = CAUSES, shares: bool = False, digits: int = 2
+) -> DataFrame:
     """Total minutes per delay cause from one scan (R6, U1, A13; A14 with ``shares``).
 
     One aggregate sums all causes; the one-row result is unpivoted.  The share
     is each rounded total over the sum of the rounded totals, as the chart
     computes it.
     """
-    sums = raw.agg(*[M.total(c).alias(f"_c{i}") for i, (_, c) in enumerate(causes)])
+    sums = raw.agg(*[M.total(c, digits).alias(f"_c{i}") for i, (_, c) in enumerate(causes)])
     args = []
     for i, (label, _) in enumerate(causes):
         args += [F.lit(label), F.col(f"_c{i}")]
@@ -195,7 +205,8 @@ def cause_totals(raw: DataFrame, causes: Sequence[tuple[str, str]] = CAUSES, sha
     long = sums.select(grand.alias("_grand"), F.stack(F.lit(len(causes)), *args).alias("reason", "total_minutes"))
     cols = [F.col("reason"), F.col("total_minutes")]
     if shares:
-        cols.append(F.round(F.col("total_minutes") * F.lit(100.0) / F.nullif(F.col("_grand"), F.lit(0.0)), 2).alias("share_pct"))
+        share = F.col("total_minutes") * F.lit(100.0) / F.nullif(F.col("_grand"), F.lit(0.0))
+        cols.append(F.round(share, digits).alias("share_pct"))
     return long.select(*cols)
 
 
