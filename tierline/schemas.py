@@ -102,7 +102,7 @@ SILVER_FLIGHTS_SCHEMA = StructType(
     + [StructField("FLIGHT_DATE", DateType(), True)]
 )
 
-# Fact layer projection, in output order.
+# Fact layer projection, in output order.
 FACT_COLUMNS = (
     "FLIGHT_DATE",
     "AIRLINE_CODE",
@@ -115,12 +115,13 @@ FACT_COLUMNS = (
     "CANCELLED",
 )
 
-# Delay measures neutralised for cancelled flights, and the accepted range.
+# Delay measures neutralised for cancelled flights, and the
+# accepted range in minutes (inclusive).
 DELAY_COLUMNS = ("DEPARTURE_DELAY", "ARRIVAL_DELAY")
 DELAY_MIN = -300
 DELAY_MAX = 720
 
-# Cause columns of the raw layer and the labels the cause report shows.
+# The labels the cause report shows, with their raw-layer column.
 CAUSES = (
     ("Airline Delay", "AIRLINE_DELAY"),
     ("Weather Delay", "WEATHER_DELAY"),
