@@ -60,3 +60,69 @@ def test_clean_keeps_rows_and_neutralises(spark, rows):
     for r in got:
         if r.CANCELLED == 1:
             assert r.DEPARTURE_DELAY == 0.0 and r.ARRIVAL_DELAY == 0.0
+
+
+def _r2(x):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    return None if x is None else float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+fact_row = st.tuples(
+    st.sampled_from(["AA", "BB", "CC", "HOT", "ZZ", None]),        # airline code (CC shares a name)
+    st.one_of(st.none(), st.integers(-60, 200).map(float)),         # arrival delay
+    st.sampled_from([None, 1, 2, 3]),                                # month of 2015
+)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(fact_row, min_size=0, max_size=40))
+def test_reports_equal_brute_force(spark, rows):
+    import datetime as dt
+
+    from tierline.functions.filters import FactFilter
+
+    names = {"AA": "Air A", "BB": "Air B", "CC": "Air A", "HOT": "Air Hot"}
+    dim = spark.createDataFrame(list(names.items()), "IATA_CODE string, AIRLINE string")
+    data = [(dt.date(2015, m, 1) if m else None, c, None, str(i), "X", "Y", 0.0, a, 0)
+            for i, (c, a, m) in enumerate(rows)]
+    fact = spark.createDataFrame(data, "FLIGHT_DATE date, AIRLINE_CODE string, AIRLINE_NAME string, "
+                                       "FLIGHT_NUMBER string, ORIGIN_AIRPORT string, DESTINATION_AIRPORT string, "
+                                       "DEPARTURE_DELAY double, ARRIVAL_DELAY double, CANCELLED int")
+    # leaderboard by name, inner join
+    groups: dict = {}
+    for c, a, _ in rows:
+        if c in names:
+            groups.setdefault(names[c], []).append(a)
+    want = {}
+    for name, vals in groups.items():
+        present = [v for v in vals if v is not None]
+        mean = sum(present) / len(present) if present else None
+        late = sum(1 for v in vals if v is not None and v > 15)
+        want[name] = (len(vals), _r2(mean), _r2(late * 100.0 / len(vals)))
+    got = {r.airline: (r.num_flights, r.avg_arrival_delay, r.delay_pct)
+           for r in R.airline_leaderboard(fact, dim).collect()}
+    assert got == want
+    # worst group: highest unrounded mean, ties by name, no row when nothing joins
+    means = {n: sum(v for v in vals if v is not None) / len([v for v in vals if v is not None])
+             for n, vals in groups.items() if any(v is not None for v in vals)}
+    worst = [r.airline for r in R.worst_airline(fact, dim).collect()]
+    if means:
+        top = max(means.values())
+        assert worst == [min(n for n, m in means.items() if m == top)]
+    elif groups:
+        assert worst == [min(groups)]  # all means null: nulls last, then by name
+    else:
+        assert worst == []
+    # trend with a date filter drops null months
+    flt = FactFilter(date_from="2015-02-01")
+    months: dict = {}
+    for c, a, m in rows:
+        if m is not None and m >= 2:
+            months.setdefault(m, []).append(a)
+    got_t = {r.period.month: (r.num_flights, r.avg_arrival_delay) for r in R.trend(fact, flt).collect()}
+    want_t = {}
+    for m, vals in months.items():
+        present = [v for v in vals if v is not None]
+        want_t[m] = (len(vals), _r2(sum(present) / len(present)) if present else None)
+    assert got_t == want_t
