@@ -82,6 +82,13 @@ def test_malformed_flight_rows_go_to_quarantine(spark, tmp_path):
     assert spark.table("bronze._quarantine_airlines").count() == 1
 
 
+def _staging(spark):
+    import os
+
+    root = spark.conf.get("spark.checkpoint.dir").replace("file:", "") + "/tierline-staging"
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
 @pytest.mark.parametrize("staged", [False, True])
 def test_malformed_rows_split_one_pass_or_staged(spark, tmp_path, staged):
     p = tmp_path / "airports.csv"
@@ -89,6 +96,7 @@ def test_malformed_rows_split_one_pass_or_staged(spark, tmp_path, staged):
         "IATA_CODE,AIRPORT,CITY,STATE,COUNTRY,LATITUDE,LONGITUDE\n"
         "A1,One,C,S,US,1.0,2.0\nA2,Two,C,S,US,north,2.0\nA3,Three\nA4,Four,C,S,US,,\n"
     )
+    before = _staging(spark)
     r = P.ingest(spark, f"file:{tmp_path}/lake", "airports", str(p), staged=staged, log=lambda s: None)
     assert (r["rows_read"], r["malformed"], r["rows_written"]) == (4, 2, 4)
     q = sorted(x["_corrupt_record"] for x in spark.table("bronze._quarantine_airports").collect())
@@ -96,6 +104,7 @@ def test_malformed_rows_split_one_pass_or_staged(spark, tmp_path, staged):
     r2 = P.ingest(spark, f"file:{tmp_path}/lake2", "airports", str(p), keep_malformed=False, staged=staged,
                   log=lambda s: None)
     assert r2["rows_written"] == 2
+    assert _staging(spark) == before  # a staged copy is removed once used
 
 
 def test_not_null_violation_publishes_nothing(spark, tmp_path):

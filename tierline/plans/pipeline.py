@@ -28,6 +28,7 @@ from ..operators import quality as Q
 from ..operators import transforms as T
 from ..schemas import CONTRACTS, FLIGHTS, Contract
 from ..sources import csv as C
+from ..sources import fs
 from ..sources.catalog import LAYER_TABLES, register_layers
 from ..sources.layers import ensure_layer, read_layer, vacuum_layer, write_layer
 
@@ -98,6 +99,8 @@ def ingest(
     if metrics["malformed"]:
         q = write_layer(C.quarantine_rows(source), base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
         report["quarantine"] = q["location"]
+    if stage_metrics:
+        fs.delete(spark, stage_metrics["staging"])  # the staged copy has served both writes
     return report
 
 

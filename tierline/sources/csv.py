@@ -80,13 +80,15 @@ def stage_csv(
 
     Returns the staged DataFrame (contract columns plus the corrupt-record
     column) and the metrics observed during that single pass: ``rows``,
-    ``malformed`` and ``null:<column>`` for every contract column.
+    ``malformed`` and ``null:<column>`` for every contract column, plus
+    ``staging``, the folder to delete once the copy has been used.
     """
     df = read_csv(spark, path, contract, CORRUPT, options)
     obs = Observation(f"stage-{contract.name}-{uuid.uuid4().hex[:8]}")
     target = staging_uri(spark, name or contract.name)
     df.observe(obs, *ingest_metrics(df, contract.names)).write.mode("errorifexists").parquet(target)
     metrics = dict(obs.get)
+    metrics["staging"] = target
     return spark.read.parquet(target), metrics
 
 
