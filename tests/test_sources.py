@@ -124,3 +124,22 @@ def test_vacuum_keeps_newest_committed_versions(spark, workdir):
     assert [r.k for r in spark.table("t_vac.tab").collect()] == [3]
     with pytest.raises(ValueError):
         L.old_versions(spark, base, "t_vac", "tab", keep=0)
+
+
+def test_partitioned_layer_prunes_and_reregisters(spark, workdir):
+    base = f"file:{workdir}/lake"
+    df = spark.createDataFrame([(1, 2015, "a"), (2, 2016, "b"), (3, 2016, "c")], "k int, y int, v string")
+    L.write_layer(df, base, "t_part", "tab", partition_by=["y"])
+    t = spark.table("t_part.tab")
+    assert t.columns == ["k", "v", "y"] and t.count() == 3
+    plan = t.filter("y = 2016")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(y" in plan and "y=2016" in plan
+    # same data shape again: accepted although partition columns moved last
+    L.write_layer(df.filter("y = 2016"), base, "t_part", "tab", partition_by=["y"])
+    assert spark.table("t_part.tab").count() == 2
+    # a fresh registration from storage finds the partitions
+    spark.sql("DROP TABLE t_part.tab")
+    from tierline.sources.layers import register_table
+
+    register_table(spark, "t_part", "tab", L.current_version(spark, base, "t_part", "tab"), partitioned=True)
+    assert spark.table("t_part.tab").count() == 2

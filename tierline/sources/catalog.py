@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .fs import list_dirs
 from .layers import current_version, ensure_layer, register_table
 
 # Layer namespaces and the tables each holds.
@@ -30,7 +31,9 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
         if loc is None:
             out.append({"table": f"{layer}.{table}", "status": "missing"})
             continue
-        register_table(spark, layer, table, loc, fmt)
+        # Hive-style partition folders (col=value) mark a partitioned version.
+        partitioned = any("=" in name for name in list_dirs(spark, loc))
+        register_table(spark, layer, table, loc, fmt, partitioned=partitioned)
         out.append({"table": f"{layer}.{table}", "status": "registered", "location": loc})
     return out
 

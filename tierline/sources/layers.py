@@ -83,20 +83,32 @@ def current_version(spark: SparkSession, base: str, layer: str, table: str) -> s
 
 
 def register_table(
-    spark: SparkSession, layer: str, table: str, location: str, fmt: str = "parquet", replace: bool = False
+    spark: SparkSession,
+    layer: str,
+    table: str,
+    location: str,
+    fmt: str = "parquet",
+    replace: bool = False,
+    partitioned: bool = False,
 ) -> None:
     """Create the external table, or point an existing one at ``location``.
 
-    Registering an already registered table is a success.
+    Registering an already registered table is a success.  A partitioned
+    table keeps one catalog entry per partition, each with its own folder, so
+    it is recreated at the new location and its partitions are recovered from
+    storage (the catalog switch is then not atomic: readers may briefly see
+    no table).
     """
     name = table_name(layer, table)
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if replace or (partitioned and spark.catalog.tableExists(f"{layer}.{table}")):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the data stays
     if spark.catalog.tableExists(f"{layer}.{table}"):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {name}")
     else:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
+        if partitioned:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def write_layer(
@@ -131,7 +143,11 @@ def write_layer(
         else:
             loc = current_version(spark, base, layer, table)
             previous = spark.read.format(fmt).load(loc).schema if loc else None
-        diff = schema_diff(previous, df.schema) if previous is not None else []
+        incoming = df.schema
+        if partition_by:  # partition columns are stored (and read back) last
+            rest = [f for f in incoming.fields if f.name not in partition_by]
+            incoming = StructType(rest + [incoming[c] for c in partition_by])
+        diff = schema_diff(previous, incoming) if previous is not None else []
         if diff:
             raise SchemaMismatchError(
                 f"{qualified}: schema differs from the registered table ({'; '.join(diff)}); "
@@ -153,7 +169,8 @@ def write_layer(
         except Exception:
             fs.delete(spark, target)
             raise
-    register_table(spark, layer, table, target, fmt, replace=exists and overwrite_schema)
+    register_table(spark, layer, table, target, fmt, replace=exists and overwrite_schema,
+                   partitioned=bool(partition_by))
     result["location"] = target
     return result
 
