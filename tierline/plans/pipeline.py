@@ -64,9 +64,9 @@ def ingest(
 
     One pass parses the file at full width and writes the layer while
     observing rows, malformed rows and every column's null count.  The
-    contract's not-null rule is checked from those counts before the new
-    version is published.  Only when malformed rows were seen is the file read
-    again for the quarantine.  ``staged`` parses once into a staged copy first
+    contract's not-null rule is checked from those counts, and the quarantine
+    written when malformed rows were seen (the only second read of the file),
+    before the new layer version is published.  ``staged`` parses once into a staged copy first
     (for sources that may change between two reads).
     """
     contract = contract or CONTRACTS[name]
@@ -75,32 +75,42 @@ def ingest(
     else:
         source, stage_metrics = C.read_csv(spark, path, contract), None
 
-    def check(metrics: Mapping) -> None:
+    quarantine: list[str] = []
+
+    def before_publish(metrics: Mapping) -> None:
+        # Runs before the new layer version becomes visible: a not-null
+        # violation or a failed quarantine write leaves the layer unpublished.
         broken = [c for c in contract.not_null if metrics.get(f"null:{c}", 0)]
         if broken:
             raise ContractViolation(f"{name}: nulls in columns declared not null: {broken}")
-
-    if stage_metrics:
-        check(stage_metrics)
-        rows, validate = C.layer_rows(source, keep=keep_malformed), None
-    else:
-        # Observed on the full-width read, before the corrupt-record column is dropped.
-        obs = Observation(f"ingest-{name}-{uuid.uuid4().hex[:8]}")
-        observed = source.observe(obs, *C.ingest_metrics(source, contract.names))
-        rows, validate = C.layer_rows(observed, keep=keep_malformed), lambda _: check(obs.get)
-    written = write_layer(rows, base, "bronze", name, validate=validate)
-    metrics = stage_metrics or obs.get
-    report = {"dataset": name, "rows_read": metrics["rows"], "malformed": metrics["malformed"],
-              "nulls": null_report(metrics, contract), "rows_written": written["rows"],
-              "location": written["location"]}
-    log(f"{name}: {metrics['rows']:,} rows read, {metrics['malformed']:,} malformed")
-    for item in report["nulls"]:
-        log(f"  - {item['column_name']}: {item['null_count']:,} / {metrics['rows']:,} ({item['null_pct']:.2f}%)")
-    if metrics["malformed"]:
-        q = write_layer(C.quarantine_rows(source), base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
-        report["quarantine"] = q["location"]
-    if stage_metrics:
-        fs.delete(spark, stage_metrics["staging"])  # the staged copy has served both writes
+        if metrics["malformed"]:
+            q = write_layer(C.quarantine_rows(source), base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
+            quarantine.append(q["location"])
+
+    try:
+        if stage_metrics:
+            before_publish(stage_metrics)
+            rows, validate = C.layer_rows(source, keep=keep_malformed), None
+        else:
+            # Observed on the full-width read, before the corrupt-record column is dropped.
+            obs = Observation(f"ingest-{name}-{uuid.uuid4().hex[:8]}")
+            observed = source.observe(obs, *C.ingest_metrics(source, contract.names))
+            rows, validate = C.layer_rows(observed, keep=keep_malformed), lambda _: before_publish(obs.get)
+        written = write_layer(rows, base, "bronze", name, validate=validate)
+        metrics = stage_metrics or obs.get
+        report = {"dataset": name, "rows_read": metrics["rows"], "malformed": metrics["malformed"],
+                  "nulls": null_report(metrics, contract), "rows_written": written["rows"],
+                  "location": written["location"]}
+        if quarantine:
+            report["quarantine"] = quarantine[0]
+        log(f"{name}: {metrics['rows']:,} rows read, {metrics['malformed']:,} malformed")
+        for item in report["nulls"]:
+            log(f"  - {item['column_name']}: {item['null_count']:,} / {metrics['rows']:,} ({item['null_pct']:.2f}%)")
+        if not report["nulls"]:
+            log("  no null values")
+    finally:
+        if stage_metrics:
+            fs.delete(spark, stage_metrics["staging"])  # used by both writes, or the run failed
     return report
 
 
