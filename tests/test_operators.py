@@ -179,3 +179,32 @@ def test_one_decimal_rates(spark):
     r = R.kpis(f, digits=1).first()
     assert (r.delay_pct, r.on_time_pct) == (66.7, 33.3)
     assert R.kpis(f).first().delay_pct == 66.67
+
+
+def test_size_verdicts_are_reused_only_for_the_same_files(spark, tmp_path):
+    from tierline.operators import joins as J
+
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.range(5).write.parquet(a)
+    spark.range(50).write.parquet(b)
+    calls = []
+    real_limit = spark.read.parquet(a).__class__.limit
+
+    def counting_limit(self, n):
+        calls.append(n)
+        return real_limit(self, n)
+
+    cls = spark.read.parquet(a).__class__
+    cls.limit = counting_limit
+    try:
+        assert J.fits_broadcast(spark.read.parquet(a), 10) is True
+        assert J.fits_broadcast(spark.read.parquet(a), 10) is True      # same plan and files: reused
+        assert len(calls) == 1
+        assert J.fits_broadcast(spark.read.parquet(b), 10) is False     # other files: counted
+        assert len(calls) == 2
+        spark.conf.set(J.CACHE_CONF, "false")
+        assert J.fits_broadcast(spark.read.parquet(a), 10) is True      # reuse off: counted
+        assert len(calls) == 3
+    finally:
+        cls.limit = real_limit
+        spark.conf.unset(J.CACHE_CONF)

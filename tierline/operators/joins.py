@@ -21,6 +21,15 @@ from pyspark.sql import functions as F
 #: Conf key overriding the broadcast bound (rows).
 MAX_ROWS_CONF = "tierline.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 500_000
+#: Conf key switching off the reuse of size verdicts ("false").
+CACHE_CONF = "tierline.broadcast.reuseChecks"
+
+# Verdicts of past checks, keyed by the dimension's semantic plan hash, its
+# exact input files and the bound.  Parquet files are immutable and a layer
+# refresh writes a new version folder, so the same plan over the same files
+# has the same row count: the proof stays valid while the key matches.
+_VERDICTS: dict[tuple, bool] = {}
+_MAX_VERDICTS = 4096
 
 
 def broadcast_bound(df: DataFrame) -> int:
@@ -29,9 +38,24 @@ def broadcast_bound(df: DataFrame) -> int:
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (a proven size bound)."""
+    """True when ``dim`` has at most ``max_rows`` rows (a proven size bound).
+
+    A verdict is reused for the same plan over the same input files (a
+    dashboard re-running reports, or several queries over one dimension);
+    any change of files or plan runs the count again.
+    """
     bound = broadcast_bound(dim) if max_rows is None else max_rows
-    return dim.limit(bound + 1).count() <= bound
+    reuse = dim.sparkSession.conf.get(CACHE_CONF, "true") != "false"
+    files = tuple(sorted(dim.inputFiles())) if reuse else ()
+    key = (dim.semanticHash(), files, bound)
+    if reuse and files and key in _VERDICTS:
+        return _VERDICTS[key]
+    verdict = dim.limit(bound + 1).count() <= bound
+    if reuse and files:
+        if len(_VERDICTS) >= _MAX_VERDICTS:
+            _VERDICTS.clear()
+        _VERDICTS[key] = verdict
+    return verdict
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
