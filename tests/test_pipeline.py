@@ -1,6 +1,7 @@
 """The whole chain from CSV files, twice, against the registered queries."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tierline.plans import pipeline as P
@@ -192,3 +193,24 @@ def test_layer_row_counts_over_registered_tables(spark, lake):
     got = {r.layer: r.row_count for r in layer_row_counts(spark).collect()}
     assert got == {"bronze_airlines": 10, "bronze_airports": 25, "bronze_flights": 6000,
                    "silver_flights": 6000, "gold_fact_flights_delay": 6000}
+
+
+def test_extra_raw_column_flows_through_and_needs_overwrite_schema(spark, tmp_path):
+    """U3 + S6: an extra raw column warns and flows into the clean layer; the changed shape is refused
+    by schema enforcement unless overwrite_schema is set, and the fact projection drops it."""
+    from tierline.sources.layers import SchemaMismatchError, write_layer
+
+    base = f"file:{tmp_path}/lake"
+    raw = V.flights_raw(spark, SF001)
+    write_layer(raw, base, "bronze", "flights")
+    write_layer(V.airlines(spark, SF001), base, "bronze", "airlines")
+    P.run_silver(spark, base, log=lambda s: None)
+    write_layer(raw.withColumn("EXTRA", F.lit("x")), base, "bronze", "flights", overwrite_schema=True)
+    warnings = []
+    with pytest.raises(SchemaMismatchError):
+        P.run_silver(spark, base, log=warnings.append)
+    assert any("EXTRA" in w for w in warnings)
+    P.run_silver(spark, base, log=lambda s: None, overwrite_schema=True)
+    assert spark.table("silver.flights").columns[-2:] == ["EXTRA", "FLIGHT_DATE"]  # date appended last
+    P.run_gold(spark, base, log=lambda s: None)
+    assert "EXTRA" not in spark.table("gold.fact_flights_delay").columns

@@ -152,10 +152,20 @@ def silver_metrics() -> list:
     ]
 
 
-def run_silver(spark: SparkSession, base: str, strict_dates: bool = False, log: Log = print) -> dict:
-    """L2: raw flights -> clean flights, with drift check and observed quality counts."""
+def run_silver(
+    spark: SparkSession, base: str, strict_dates: bool = False, log: Log = print, overwrite_schema: bool = False
+) -> dict:
+    """L2: raw flights -> clean flights, with drift check and observed quality counts.
+
+    Missing contract columns raise; extra ones are reported and flow through,
+    so the new clean table differs from the registered one and its write
+    fails unless ``overwrite_schema`` accepts the new shape.
+    """
     raw = Q.check_drift(read_layer(spark, "bronze", "flights", base), FLIGHTS, warn=log)
-    m = write_layer(T.clean(raw, strict_dates=strict_dates), base, "silver", "flights", metrics=silver_metrics())
+    m = write_layer(
+        T.clean(raw, strict_dates=strict_dates), base, "silver", "flights",
+        metrics=silver_metrics(), overwrite_schema=overwrite_schema,
+    )
     log(f"silver: {m['rows']:,} rows, invalid FLIGHT_DATE {m['invalid_dates']:,}")
     if m["out_of_range"]:
         log(f"[WARN] rows with delay outside the accepted range: {m['out_of_range']:,}")
@@ -163,7 +173,12 @@ def run_silver(spark: SparkSession, base: str, strict_dates: bool = False, log:
 
 
 def run_gold(
-    spark: SparkSession, base: str, log: Log = print, show_codes: int = 20, preview_rows: int = 5
+    spark: SparkSession,
+    base: str,
+    log: Log = print,
+    show_codes: int = 20,
+    preview_rows: int = 5,
+    overwrite_schema: bool = False,
 ) -> dict:
     """L3: clean flights + airlines -> fact table, with the FK integrity report.
 
@@ -178,6 +193,7 @@ def run_gold(
         metrics=[F.count_if(F.col("AIRLINE_NAME").isNull()).alias("unmatched")],
         # Reports filter the fact by date ranges: cluster row groups by date.
         cluster_by=["FLIGHT_DATE"],
+        overwrite_schema=overwrite_schema,
     )
     log(f"gold: {m['rows']:,} rows")
     if m["unmatched"]:
@@ -218,6 +234,7 @@ def run_all(
     keep_malformed: bool = True,
     log: Log = print,
     keep_versions: int | None = None,
+    overwrite_schema: bool = False,
 ) -> dict:
     """The whole chain in order; each stage raises on error.
 
@@ -226,8 +243,8 @@ def run_all(
     """
     out = {
         "bronze": run_bronze(spark, base, sources, keep_malformed, log),
-        "silver": run_silver(spark, base, log=log),
-        "gold": run_gold(spark, base, log=log),
+        "silver": run_silver(spark, base, log=log, overwrite_schema=overwrite_schema),
+        "gold": run_gold(spark, base, log=log, overwrite_schema=overwrite_schema),
         "register": register_layers(spark, base),
     }
     if keep_versions is not None:
