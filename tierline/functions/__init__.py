@@ -1,0 +1 @@
+"""Column expressions: date composition, report measures, report filters."""

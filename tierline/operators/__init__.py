@@ -1,0 +1 @@
+"""DataFrame operators: layer transforms, checked dimension joins, quality checks, reports."""

@@ -1,0 +1 @@
+"""Composed jobs: pipeline stages, registered queries and their SQL oracle."""
