@@ -73,15 +73,6 @@ def join_dimension(
     return fact.join(maybe_broadcast(dim, max_rows), on, how)
 
 
-def duplicate_keys(dim: DataFrame, key: list[str] | tuple[str, ...]) -> DataFrame:
-    """Keys that occur more than once in ``dim`` (empty when the key is unique)."""
-    return (
-        dim.groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .filter(F.col("copies") > 1)
-    )
-
-
 def profile_dimension(dim: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[int, int]:
     """(rows, keys that repeat) of a dimension in one aggregate job.
 
@@ -95,10 +86,3 @@ def profile_dimension(dim: DataFrame, key: list[str] | tuple[str, ...]) -> tuple
         F.count_if(F.col("_copies") > 1).alias("repeated"),
     ).first()
     return int(row["rows"]), int(row["repeated"])
-
-
-def assert_unique_key(dim: DataFrame, key: list[str] | tuple[str, ...], name: str = "dimension") -> None:
-    """Raise when a dimension key repeats: a left join would fan out fact rows."""
-    dup = duplicate_keys(dim, key).limit(1).collect()
-    if dup:
-        raise ValueError(f"{name}: key {tuple(key)} is not unique, e.g. {dup[0].asDict()}")
