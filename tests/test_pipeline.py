@@ -214,3 +214,21 @@ def test_extra_raw_column_flows_through_and_needs_overwrite_schema(spark, tmp_pa
     assert spark.table("silver.flights").columns[-2:] == ["EXTRA", "FLIGHT_DATE"]  # date appended last
     P.run_gold(spark, base, log=lambda s: None)
     assert "EXTRA" not in spark.table("gold.fact_flights_delay").columns
+
+
+def test_dashboard_datasets_over_registered_tables(spark, lake):
+    from tierline.operators import reports as R
+    from tierline.sources.catalog import register_layers
+
+    base, _, _ = lake
+    register_layers(spark, base)
+    t = spark.table
+    d = R.dashboard(t("gold.fact_flights_delay"), t("bronze.airlines"), t("bronze.airports"), t("bronze.flights"),
+                    airline_names=["Supplier#000000001", "Supplier#000000002", "Supplier#000000003"],
+                    airport_names=["NATION_3", "NATION_15", "NATION_16", "NATION_20", "NATION_21"],
+                    date_from="1996-02-10", date_to="1999-12-31")
+    assert d["kpis"].first().total_flights == 6000
+    assert d["worst_airline"].first()[0] == "Supplier#000000009"
+    assert d["trend"].count() == 47           # the filtered trend of FIXTURES D
+    assert d["top10_airlines"].count() == 10 and d["delay_causes"].count() == 5
+    assert d["airports"].count() == 25 and d["airport_map"].count() == 10  # only origins with departures

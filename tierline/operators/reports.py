@@ -228,3 +228,42 @@ def dim_airlines(airlines: DataFrame) -> DataFrame:
 
 def dim_airports(airports: DataFrame) -> DataFrame:
     return dim_list(airports, ["IATA_CODE", "AIRPORT", "CITY", "STATE"], "AIRPORT")
+
+
+# -- the dashboard's data, in one place --------------------------------------------
+
+def dashboard(
+    fact: DataFrame,
+    airlines: DataFrame,
+    airports: DataFrame,
+    raw: DataFrame,
+    airline_names: Sequence[str] = (),
+    airport_names: Sequence[str] = (),
+    date_from=None,
+    date_to=None,
+) -> dict[str, DataFrame]:
+    """Every dashboard dataset as a lazy DataFrame.
+
+    Selected airline and airport *names* narrow the trend only, through
+    ``left_semi`` joins to the filtered dimensions; the date range applies to
+    the trend too.  Everything else is unfiltered, as on the dashboard.
+    Nothing is collected here.
+    """
+    from ..functions.filters import FactFilter, resolve_codes
+
+    trend_fact = resolve_codes(fact, airlines, airline_names, "AIRLINE_CODE", dim_name="AIRLINE")
+    trend_fact = resolve_codes(trend_fact, airports, airport_names, "ORIGIN_AIRPORT", dim_name="AIRPORT")
+    board = airline_leaderboard(fact, airlines)
+    return {
+        "airlines": dim_airlines(airlines),
+        "airports": dim_airports(airports),
+        "date_bounds": date_bounds(fact),
+        "kpis": kpis(fact),
+        "worst_airline": worst_airline(fact, airlines),
+        "airline_leaderboard": board,
+        "top10_airlines": top_n(board, 10),
+        "trend": trend(trend_fact, FactFilter(date_from=date_from, date_to=date_to)),
+        "delay_causes": cause_totals(raw, shares=True),
+        "top10_airports": top10_airports(fact, airports),
+        "airport_map": map_points(fact, airports),
+    }
