@@ -270,3 +270,31 @@ def test_layer_write_survives_task_retries(tmp_path):
     line = [l for l in r.stdout.splitlines() if l.startswith("RESULT")]
     assert line, r.stderr[-3000:]
     assert line[0].split()[1:] == ["1000", "499500", "1000", "499500"]
+
+
+def test_fact_filters_push_to_the_scan_and_files_are_date_ordered(spark, lake):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tierline.functions.filters import FactFilter
+    from tierline.operators import reports as R
+    from tierline.sources.catalog import register_layers
+
+    base, _, second = lake
+    register_layers(spark, base)
+    flt = FactFilter(airlines=["1", "2"], date_from="1996-02-10", date_to="1999-12-31")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # print scan metadata whole
+    try:
+        plan = R.trend(spark.table("gold.fact_flights_delay"), flt)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = [l for l in plan.splitlines() if "PushedFilters" in l][0]
+    assert "GreaterThanOrEqual(FLIGHT_DATE" in pushed and "LessThanOrEqual(FLIGHT_DATE" in pushed
+    assert "In(AIRLINE_CODE" in pushed
+    # rows are sorted by date inside every written file (narrow row-group statistics)
+    files = glob.glob(second["gold"]["location"].replace("file:", "") + "/*.parquet")
+    assert files
+    for f in files:
+        dates = [d for d in pq.read_table(f, columns=["FLIGHT_DATE"]).column(0).to_pylist() if d is not None]
+        assert dates == sorted(dates)
