@@ -162,14 +162,15 @@ def test_layer_counts_and_preview(spark):
 def test_broadcast_only_within_checked_bound(spark):
     small, big = spark.range(10), spark.range(100)
     assert fits_broadcast(small, 10) and not fits_broadcast(big, 10)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan_small = join_dimension(big, small, "id", max_rows=10)._jdf.queryExecution().executedPlan().toString()
         plan_big = join_dimension(small, big, "id", max_rows=10)._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     assert "BroadcastHashJoin" in plan_small
     assert "BroadcastHashJoin" not in plan_big and "SortMergeJoin" in plan_big
 

@@ -63,7 +63,9 @@ JOIN_HEAVY = ["gold_fact", "airline_leaderboard", "airport_map", "unmatched_code
 @pytest.mark.parametrize("key", JOIN_HEAVY)
 def test_results_do_not_depend_on_join_strategy(spark, con, key):
     """Shuffle joins everywhere (no broadcast, no adaptive re-planning): same rows as the oracle."""
-    conf = {"tierline.broadcast.maxRows": "0", "spark.sql.adaptive.enabled": "false"}
+    conf = {"tierline.broadcast.maxRows": "0", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
@@ -71,8 +73,8 @@ def test_results_do_not_depend_on_join_strategy(spark, con, key):
         got = [tuple(r) for r in df.collect()]
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("tierline.broadcast.maxRows")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "BroadcastHashJoin" not in plan
     rel = con.sql(E.oracle_sql()[key])
     assert _rows(df.columns, got) == _rows(rel.columns, rel.fetchall())
