@@ -106,6 +106,13 @@ def test_malformed_rows_split_one_pass_or_staged(spark, tmp_path, staged):
                   log=lambda s: None)
     assert r2["rows_written"] == 2
     assert _staging(spark) == before  # a staged copy is removed once used
+    # a fresh registration from storage finds the quarantine too
+    from tierline.sources.catalog import register_layers
+
+    spark.sql("DROP TABLE bronze._quarantine_airports")
+    got = {r["table"]: r["status"] for r in register_layers(spark, f"file:{tmp_path}/lake")}
+    assert got["bronze._quarantine_airports"] == "registered"
+    assert spark.table("bronze._quarantine_airports").count() == 2
 
 
 def test_not_null_violation_publishes_nothing(spark, tmp_path):

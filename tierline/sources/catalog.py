@@ -18,7 +18,7 @@ LAYER_TABLES = (
 
 
 def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> list[dict]:
-    """Create the layer schemas and register each table at its newest committed version.
+    """Create the layer schemas and register each table (and any quarantine) at its newest committed version.
 
     Idempotent: a table already registered is re-pointed (or left) and counts
     as success.  Tables with no committed version are reported, not created.
@@ -26,7 +26,9 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
     out = []
     for layer in sorted({layer for layer, _ in LAYER_TABLES}):
         ensure_layer(spark, base, layer)
-    for layer, table in LAYER_TABLES:
+    # Quarantine tables exist only for sources that had malformed rows.
+    quarantines = [("bronze", n) for n in list_dirs(spark, f"{base.rstrip('/')}/bronze") if n.startswith("_quarantine_")]
+    for layer, table in list(LAYER_TABLES) + quarantines:
         loc = current_version(spark, base, layer, table)
         if loc is None:
             out.append({"table": f"{layer}.{table}", "status": "missing"})
