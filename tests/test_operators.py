@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tierline.functions.filters import FactFilter, resolve_codes
 from tierline.operators import quality as Q
