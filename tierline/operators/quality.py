@@ -44,11 +44,6 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     )
 
 
-def not_null_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Null profile restricted to the columns a contract declares not null."""
-    return null_profile(df, contract.not_null)
-
-
 def schema_drift(actual: Iterable[str], expected: Iterable[str]) -> dict[str, list[str]]:
     """Column-name set difference both ways (U3); metadata only, no job.
 

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -250,7 +250,3 @@ def run_all(
     if keep_versions is not None:
         out["vacuum"] = vacuum_layers(spark, base, keep_versions, list(sources))
     return out
-
-
-def fact_table(spark: SparkSession, base: str | None = None) -> DataFrame:
-    return read_layer(spark, "gold", "fact_flights_delay", base)
