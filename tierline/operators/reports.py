@@ -219,7 +219,8 @@ def date_bounds(fact: DataFrame, col: str = "FLIGHT_DATE") -> DataFrame:
 
 def dim_list(dim: DataFrame, cols: Sequence[str], order: str) -> DataFrame:
     """Dimension rows sorted by name."""
-    return dim.select(*_lower(cols)).orderBy(F.asc_nulls_last(order.lower()), *[F.asc_nulls_last(c.lower()) for c in cols])
+    keys = [order.lower()] + [c.lower() for c in cols if c.lower() != order.lower()]
+    return dim.select(*_lower(cols)).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 
 def dim_airlines(airlines: DataFrame) -> DataFrame:
