@@ -113,6 +113,9 @@ def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        # Coalesce to the advisory size, not to the default parallelism:
+        # fewer, fuller reduce tasks and output files on a large cluster.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": size,
     }
 
