@@ -1,5 +1,7 @@
 """The whole chain from CSV files, twice, against the registered queries."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +152,11 @@ def test_stages_as_separate_processes(spark, tmp_path):
 
     r = run("raw", *[f"--source={k}={v}" for k, v in src.items()])
     assert r.returncode == 0, r.stderr[-2000:]
+    # the whole chain in one process, with retention: earlier versions are removed
+    r = run("all", *[f"--source={k}={v}" for k, v in src.items()], "--keep-versions", "1")
+    assert r.returncode == 0, r.stderr[-2000:]
+    summary = json.loads(r.stdout.strip().splitlines()[-1])
+    assert summary["gold"]["rows"] == 6000 and len(summary["vacuum"]) == 3  # the first raw versions
     for stage in ("clean", "fact", "register"):
         r = run(stage)
         assert r.returncode == 0, r.stderr[-2000:]
