@@ -312,3 +312,27 @@ def test_fact_filters_push_to_the_scan_and_files_are_date_ordered(spark, lake):
     for f in files:
         dates = [d for d in pq.read_table(f, columns=["FLIGHT_DATE"]).column(0).to_pylist() if d is not None]
         assert dates == sorted(dates)
+
+
+def test_stage_writes_do_not_shuffle(spark, lake, tmp_path):
+    """Ingest, clean and enrich are narrow: no hash, range or single-partition exchange in their plans."""
+    from tierline.operators import transforms as T
+    from tierline.schemas import FLIGHTS
+    from tierline.sources import csv as C
+    from tierline.sources.catalog import register_layers
+
+    base, _, _ = lake
+    register_layers(spark, base)
+    csv_dir = str(tmp_path / "flights")
+    V.flights_raw(spark, SF001).limit(100).write.option("header", "true").csv(csv_dir)
+    stages = {
+        "ingest": C.layer_rows(C.read_csv(spark, csv_dir, FLIGHTS)),
+        "clean": T.clean(spark.table("bronze.flights")),
+        "enrich": T.fact(spark.table("silver.flights"), spark.table("bronze.airlines")).sortWithinPartitions("FLIGHT_DATE"),
+    }
+    for name, df in stages.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for shuffle in ("Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
+                        "Exchange RoundRobinPartitioning"):
+            assert shuffle not in plan, (name, shuffle)
+    assert "BroadcastHashJoin" in stages["enrich"]._jdf.queryExecution().executedPlan().toString()
