@@ -73,10 +73,14 @@ def test_filter_empty_lists_mean_all_and_dates_drop_null(spark):
 
 
 def test_resolve_codes_by_name(spark, airlines):
-    f = _fact(spark, [(D1, c, None, "1", "X1", "X2", 1.0, 1.0, 0) for c in ["AA", "BB", "CC", "ZZ"]])
-    got = sorted(r.AIRLINE_CODE for r in resolve_codes(f, airlines, ["Air A"], "AIRLINE_CODE").collect())
-    assert got == ["AA", "CC"]
-    assert resolve_codes(f, airlines, [], "AIRLINE_CODE").count() == 4
+    f = _fact(spark, [(D1, c, None, "1", "X1", "X2", 1.0, 1.0, 0) for c in ["AA", "BB", "CC", "ZZ", None]])
+    for max_codes in (1000, 1, 0):  # IN list within the bound; semi join beyond it
+        out = resolve_codes(f, airlines, ["Air A"], "AIRLINE_CODE", max_codes=max_codes)
+        assert sorted(r.AIRLINE_CODE for r in out.collect()) == ["AA", "CC"]
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert ("LeftSemi" in plan) == (max_codes < 2)
+    assert resolve_codes(f, airlines, [], "AIRLINE_CODE").count() == 5
+    assert resolve_codes(f, airlines, ["Nobody"], "AIRLINE_CODE").count() == 0
 
 
 def test_leaderboard_merges_codes_sharing_a_name(spark, airlines):
