@@ -126,3 +126,22 @@ def test_reports_equal_brute_force(spark, rows):
         present = [v for v in vals if v is not None]
         want_t[m] = (len(vals), _r2(sum(present) / len(present)) if present else None)
     assert got_t == want_t
+
+
+ymd = st.tuples(
+    st.one_of(st.none(), st.integers(0, 20000)),
+    st.one_of(st.none(), st.integers(-200, 2000)),
+    st.one_of(st.none(), st.integers(-200, 2000)),
+)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(ymd, min_size=1, max_size=60))
+def test_compose_date_equals_pattern_parse_random(spark, rows):
+    from pyspark.sql import functions as F
+
+    from tierline.functions.dates import compose_date, compose_date_by_pattern
+
+    df = spark.createDataFrame(rows, "Y int, M int, D int")
+    out = df.select(compose_date("Y", "M", "D").alias("f"), compose_date_by_pattern("Y", "M", "D").alias("s"))
+    assert out.filter(~F.col("f").eqNullSafe(F.col("s"))).count() == 0
