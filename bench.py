@@ -84,10 +84,16 @@ def main() -> None:
     src = csv_sources(sf_dir, work)
 
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
 
     def timed(key, fn):
+        """Time one item; a failure is recorded and the run goes on, so one JSON line always prints."""
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # noqa: BLE001
+            errors[key] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            return None
         timings[key] = round(time.perf_counter() - t0, 3)
         return out
 
@@ -95,7 +101,7 @@ def main() -> None:
     silver = timed("clean", lambda: P.run_silver(spark, base, log=quiet))
     gold = timed("enrich", lambda: P.run_gold(spark, base, log=quiet))
     timed("register", lambda: register_layers(spark, base))
-    pipeline_total = sum(timings[k] for k in ("ingest", "clean", "enrich", "register"))
+    pipeline_total = sum(timings.get(k, 0.0) for k in ("ingest", "clean", "enrich", "register"))
 
     for key, q in E.queries().items():
         timed(key, lambda q=q: q(spark, sf_dir).write.format("noop").mode("overwrite").save())
@@ -107,34 +113,40 @@ def main() -> None:
     from tierline.operators import reports as R
     from tierline.plans import queries as Qs
 
-    fact = spark.table("gold.fact_flights_delay")
-    airlines, airports = spark.table("bronze.airlines"), spark.table("bronze.airports")
+    table = spark.table
     flt = FactFilter(Qs.TREND_AIRLINES, Qs.TREND_AIRPORTS, Qs.TREND_FROM, Qs.TREND_TO)
+    fact_t, airlines_t, airports_t = "gold.fact_flights_delay", "bronze.airlines", "bronze.airports"
     layer_reports = {
-        "kpis": lambda: R.kpis(fact),
-        "worst_airline": lambda: R.worst_airline(fact, airlines),
-        "top10_airlines": lambda: R.top_n(R.airline_leaderboard(fact, airlines), 10),
-        "trend_filtered": lambda: R.trend(fact, flt),
-        "delay_cause_shares": lambda: R.cause_totals(spark.table("bronze.flights"), shares=True),
-        "top10_airports": lambda: R.top10_airports(fact, airports),
-        "airport_map": lambda: R.map_points(fact, airports),
-        "date_bounds": lambda: R.date_bounds(fact),
-        "dim_airlines": lambda: R.dim_airlines(airlines),
+        "kpis": lambda: R.kpis(table(fact_t)),
+        "worst_airline": lambda: R.worst_airline(table(fact_t), table(airlines_t)),
+        "top10_airlines": lambda: R.top_n(R.airline_leaderboard(table(fact_t), table(airlines_t)), 10),
+        "trend_filtered": lambda: R.trend(table(fact_t), flt),
+        "delay_cause_shares": lambda: R.cause_totals(table("bronze.flights"), shares=True),
+        "top10_airports": lambda: R.top10_airports(table(fact_t), table(airports_t)),
+        "airport_map": lambda: R.map_points(table(fact_t), table(airports_t)),
+        "date_bounds": lambda: R.date_bounds(table(fact_t)),
+        "dim_airlines": lambda: R.dim_airlines(table(airlines_t)),
     }
     report_times = {}
     for key, build in layer_reports.items():
         t0 = time.perf_counter()
-        build().write.format("noop").mode("overwrite").save()
+        try:
+            build().write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # noqa: BLE001
+            errors[f"layer_report:{key}"] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            continue
         report_times[key] = round(time.perf_counter() - t0, 3)
     report_times["total"] = round(sum(report_times.values()), 3)
 
-    flights = next(b["rows_written"] for b in bronze if b["dataset"] == "flights")
-    rates = {
-        "flight_rows": flights,
-        "ingest_rows_per_sec": round(flights / timings["ingest"]),
-        "clean_rows_per_sec": round(silver["rows"] / timings["clean"]),
-        "enrich_rows_per_sec": round(gold["rows"] / timings["enrich"]),
-    }
+    rates = {}
+    if bronze and silver and gold:
+        flights = next(b["rows_written"] for b in bronze if b["dataset"] == "flights")
+        rates = {
+            "flight_rows": flights,
+            "ingest_rows_per_sec": round(flights / timings["ingest"]),
+            "clean_rows_per_sec": round(silver["rows"] / timings["clean"]),
+            "enrich_rows_per_sec": round(gold["rows"] / timings["enrich"]),
+        }
     print(json.dumps({
         "metric": "tierline_total_sec",
         "value": round(pipeline_total + query_total, 3),
@@ -147,6 +159,7 @@ def main() -> None:
         "sf": _sf(sf_dir),
         "cpus": cpus,
         "warmup": warm_dir if warmed else None,
+        "errors": errors,
     }))
     spark.stop()
 
