@@ -40,6 +40,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--base", required=True, help="layer base URI (any Hadoop filesystem)")
     ap.add_argument("--source", action="append", default=[], help="name=path of a source CSV")
     ap.add_argument("--drop-malformed", action="store_true", help="remove malformed rows from the raw layer")
+    ap.add_argument("--staged", action="store_true",
+                    help="parse each CSV once into a staged copy (for sources that may change between reads)")
     ap.add_argument("--overwrite-schema", action="store_true",
                     help="accept a changed table shape in the clean and fact layers")
     ap.add_argument("--keep-versions", type=int, default=None,
@@ -51,9 +53,10 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.stage == "all":
             out = P.run_all(spark, args.base, _sources(args.source), keep_malformed=keep,
-                            keep_versions=args.keep_versions, overwrite_schema=args.overwrite_schema)
+                            keep_versions=args.keep_versions, overwrite_schema=args.overwrite_schema,
+                            staged=args.staged)
         elif args.stage == "raw":
-            out = P.run_bronze(spark, args.base, _sources(args.source), keep_malformed=keep)
+            out = P.run_bronze(spark, args.base, _sources(args.source), keep_malformed=keep, staged=args.staged)
         elif args.stage == "clean":
             out = P.run_silver(spark, args.base, overwrite_schema=args.overwrite_schema)
         elif args.stage == "fact":

@@ -121,6 +121,7 @@ def run_bronze(
     keep_malformed: bool = True,
     log: Log = print,
     parallel: bool = True,
+    staged: bool = False,
 ) -> list[dict]:
     """L1: every source CSV (name -> path) to its raw table.
 
@@ -136,7 +137,7 @@ def run_bronze(
     ensure_layer(spark, base, "bronze")
 
     def one(name: str) -> dict:
-        return ingest(spark, base, name, sources[name], keep_malformed=keep_malformed, log=log)
+        return ingest(spark, base, name, sources[name], keep_malformed=keep_malformed, staged=staged, log=log)
 
     if not parallel or len(order) < 2:
         return [one(n) for n in order]
@@ -235,6 +236,7 @@ def run_all(
     log: Log = print,
     keep_versions: int | None = None,
     overwrite_schema: bool = False,
+    staged: bool = False,
 ) -> dict:
     """The whole chain in order; each stage raises on error.
 
@@ -242,7 +244,7 @@ def run_all(
     newest ``keep_versions`` committed ones once the chain has succeeded.
     """
     out = {
-        "bronze": run_bronze(spark, base, sources, keep_malformed, log),
+        "bronze": run_bronze(spark, base, sources, keep_malformed, log, staged=staged),
         "silver": run_silver(spark, base, log=log, overwrite_schema=overwrite_schema),
         "gold": run_gold(spark, base, log=log, overwrite_schema=overwrite_schema),
         "register": register_layers(spark, base),
