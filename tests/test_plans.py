@@ -58,3 +58,16 @@ def test_filters_reach_the_scan(spark, q):
     df = q["trend_filtered"](spark, SF001)
     plan = _plan(df)
     assert "PushedFilters" in plan
+
+
+LIMITED = {"top10_airlines", "top10_airports", "worst_airline", "fact_preview"}  # the limit is the feature
+
+
+def test_only_top_k_queries_cap_rows(spark, q):
+    """No registered query caps, samples or filters its input to stay cheap; only top-k reports limit."""
+    for name, fn in q.items():
+        plan = _plan(fn(spark, SF001))
+        capped = any(node in plan for node in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"))
+        assert capped == (name in LIMITED), name
+    for name, sql in E.oracle_sql().items():
+        assert ("LIMIT" in sql.upper()) == (name in LIMITED), name
