@@ -71,3 +71,12 @@ def test_only_top_k_queries_cap_rows(spark, q):
         assert capped == (name in LIMITED), name
     for name, sql in E.oracle_sql().items():
         assert ("LIMIT" in sql.upper()) == (name in LIMITED), name
+
+
+def test_every_query_reads_the_given_tables(spark, q):
+    """Each registered query scans the test tables (no made-up or fixed input)."""
+    tables = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+    for name, fn in q.items():
+        plan = _plan(fn(spark, SF001))
+        assert "LocalTableScan" not in plan and "LocalRelation" not in plan, name
+        assert any(f"{SF001}/{t}.parquet" in plan for t in tables), name
