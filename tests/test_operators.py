@@ -212,3 +212,10 @@ def test_size_verdicts_are_reused_only_for_the_same_files(spark, tmp_path):
     finally:
         cls.limit = real_limit
         spark.conf.unset(J.CACHE_CONF)
+
+
+def test_empty_edges(spark):
+    df = spark.range(3)
+    assert Q.null_profile(df, []).count() == 0
+    with pytest.raises(ValueError):
+        Q.layer_counts([])

@@ -26,6 +26,8 @@ def null_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     unpivoted, columns without nulls are dropped and rows sorted by name.
     """
     cols = list(columns) if columns is not None else df.columns
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, null_count bigint, null_pct double")
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)],
@@ -113,6 +115,8 @@ def unmatched_codes(
 
 def layer_counts(layers: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Row counts of several tables side by side."""
+    if not layers:
+        raise ValueError("layer_counts needs at least one (name, DataFrame) pair")
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count") for name, df in layers]
     out = parts[0]
     for p in parts[1:]:

@@ -44,6 +44,8 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
     """Registered layer tables as a DataFrame (namespace, table)."""
     frames = [spark.sql(f"SHOW TABLES IN `{layer}`") for layer in sorted({l for l, _ in LAYER_TABLES})
               if spark.catalog.databaseExists(layer)]
+    if not frames:
+        return spark.createDataFrame([], "namespace string, tableName string")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
