@@ -69,6 +69,7 @@ def test_filter_empty_lists_mean_all_and_dates_drop_null(spark):
     assert FactFilter(airlines=["AA"]).apply(f).count() == 1
     assert FactFilter(date_from="2015-01-01").apply(f).count() == 1
     assert FactFilter(date_to=dt.date(2015, 1, 5)).apply(f).count() == 1
+    assert FactFilter(date_to=dt.datetime(2015, 1, 5, 23, 0)).apply(f).count() == 1
     assert FactFilter(date_from="2015-01-06").apply(f).count() == 0
 
 

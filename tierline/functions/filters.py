@@ -16,6 +16,8 @@ from ..operators.joins import maybe_broadcast
 def _date(value: str | dt.date | None) -> dt.date | None:
     if value is None or value == "":
         return None
+    if isinstance(value, dt.datetime):  # a timestamp bound compares as its calendar day
+        return value.date()
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
 
 
