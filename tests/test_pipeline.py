@@ -336,3 +336,20 @@ def test_stage_writes_do_not_shuffle(spark, lake, tmp_path):
                         "Exchange RoundRobinPartitioning"):
             assert shuffle not in plan, (name, shuffle)
     assert "BroadcastHashJoin" in stages["enrich"]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_layer_shapes_match_the_declared_contracts(spark, lake):
+    """Clean layer: 29 columns in contract order with FLIGHT_DATE last; fact: the 9 projected columns."""
+    from tierline.schemas import FACT_COLUMNS, FLIGHTS_SCHEMA, SILVER_FLIGHTS_SCHEMA
+    from tierline.sources.catalog import register_layers
+
+    def shape(schema):
+        return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+    base, _, _ = lake
+    register_layers(spark, base)
+    assert shape(spark.table("bronze.flights").schema) == shape(FLIGHTS_SCHEMA)
+    assert shape(spark.table("silver.flights").schema) == shape(SILVER_FLIGHTS_SCHEMA)
+    assert len(SILVER_FLIGHTS_SCHEMA.fields) == 29
+    assert shape(E.queries()["silver_flights"](spark, SF001).schema) == shape(SILVER_FLIGHTS_SCHEMA)
+    assert spark.table("gold.fact_flights_delay").columns == list(FACT_COLUMNS)
