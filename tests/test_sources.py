@@ -143,3 +143,18 @@ def test_partitioned_layer_prunes_and_reregisters(spark, workdir):
 
     register_table(spark, "t_part", "tab", L.current_version(spark, base, "t_part", "tab"), partitioned=True)
     assert spark.table("t_part.tab").count() == 2
+
+
+def test_reregistration_follows_a_changed_stored_schema(spark, workdir):
+    from tierline.sources.catalog import register_layers
+
+    a, b = f"file:{workdir}/lake_a", f"file:{workdir}/lake_b"
+    L.write_layer(spark.createDataFrame([("AA", "Air A", "x")], "IATA_CODE string, AIRLINE string, EXTRA string"),
+                  a, "bronze", "airlines", overwrite_schema=True)
+    L.write_layer(spark.createDataFrame([("BB", "Air B")], "IATA_CODE string, AIRLINE string"),
+                  b, "bronze", "airlines", overwrite_schema=True)
+    register_layers(spark, a)
+    assert spark.table("bronze.airlines").columns == ["IATA_CODE", "AIRLINE", "EXTRA"]
+    register_layers(spark, b)
+    assert spark.table("bronze.airlines").columns == ["IATA_CODE", "AIRLINE"]
+    assert [r.AIRLINE for r in spark.table("bronze.airlines").collect()] == ["Air B"]

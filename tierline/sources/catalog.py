@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .fs import list_dirs
-from .layers import current_version, ensure_layer, register_table
+from .layers import current_version, ensure_layer, register_table, schema_diff
 
 # Layer namespaces and the tables each holds.
 LAYER_TABLES = (
@@ -35,7 +35,12 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
             continue
         # Hive-style partition folders (col=value) mark a partitioned version.
         partitioned = any("=" in name for name in list_dirs(spark, loc))
-        register_table(spark, layer, table, loc, fmt, partitioned=partitioned)
+        # Re-pointing keeps the catalog's column list, so a stored version of
+        # another shape is registered afresh.
+        stale = spark.catalog.tableExists(f"{layer}.{table}") and bool(
+            schema_diff(spark.table(f"{layer}.{table}").schema, spark.read.format(fmt).load(loc).schema)
+        )
+        register_table(spark, layer, table, loc, fmt, replace=stale, partitioned=partitioned)
         out.append({"table": f"{layer}.{table}", "status": "registered", "location": loc})
     return out
 
