@@ -15,6 +15,8 @@ attributes the join needs; lower it for dimensions with wide rows.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,9 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     """
     bound = broadcast_bound(dim) if max_rows is None else max_rows
     reuse = dim.sparkSession.conf.get(CACHE_CONF, "true") != "false"
-    files = tuple(sorted(dim.inputFiles())) if reuse else ()
-    key = (dim.semanticHash(), files, bound)
+    files = sorted(dim.inputFiles()) if reuse else []
+    # A digest of the file list keeps the key small for dimensions with many files.
+    key = (dim.semanticHash(), hashlib.sha256("\n".join(files).encode()).hexdigest(), bound)
     if reuse and files and key in _VERDICTS:
         return _VERDICTS[key]
     verdict = dim.limit(bound + 1).count() <= bound
