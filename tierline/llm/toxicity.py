@@ -14,12 +14,12 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,15 +49,6 @@ def term_features(word: str) -> list[str]:
     return out
 
 
-def text_features(text: str | None) -> Counter:
-    """Counts of the features of a whole text."""
-    out: Counter = Counter()
-    for word, n in Counter(WORD.findall((text or "").lower())).items():
-        for f in term_features(word):
-            out[f] += n
-    return out
-
-
 def is_training(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
 
@@ -72,21 +63,27 @@ def _examples(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for i, text in enumerate(b.column(2).to_pylist()):
-            f = list(text_features(text))
-            if f:
-                y = pa.array(np.full(len(f), b.column(1)[i].as_py(), np.int32))
-                yield pa.RecordBatch.from_arrays([y, pa.array(f)], ["toxic", "term"])
+        for label, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            words = WORD.findall((text or "").lower())
+            # With the words around its first place: copies of one text repeat them.
+            first = {f: i for i in range(len(words) - 1, -1, -1) for f in term_features(words[i])}
+            if first:
+                around = [xxhash.xxh64_intdigest(" ".join(words[max(0, i - 2) : i + 3])) >> 1 for i in first.values()]
+                cols = [pa.array(np.full(len(first), label, np.int32)), pa.array(list(first)), pa.array(around, pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols, ["toxic", "term", "around"])
 
 
 def choose_features(examples: DataFrame, p: Params) -> list[str]:
-    """Features that go with a label, strongest first."""
+    """Features that go with a label, strongest first.
+
+    A feature counts once for the same words around it, so that copies of one text don't add up.
+    """
     n = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return []
-    terms = examples.select("doc_id", "toxic", "text").mapInArrow(_terms, "toxic int, term string")
-    got = terms.groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+    terms = examples.select("doc_id", "toxic", "text").mapInArrow(_terms, "toxic int, term string, around long")
+    got = terms.distinct().groupBy("term").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
     a, b, c, d = F.col("a"), F.col("b"), n1 - F.col("a"), n0 - F.col("b")
     chi2 = (n1 + n0) * (a * d - b * c) ** 2 / (float(n1) * n0 * F.greatest((a + b) * (c + d), F.lit(1.0)))
     ratio = ((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1))
@@ -224,8 +221,9 @@ class Voter:
         if not near:
             return self.prior
         at = np.array([i for i, _ in near])
-        w = self.w[at] / (1.05 - np.array([s for _, s in near]))
-        return float((w * self.y[at]).sum() / w.sum())
+        w = self.w[at] * np.array([s for _, s in near]) ** 2
+        # Far neighbours weigh little, so the vote stays near the prior.
+        return float(((w * self.y[at]).sum() + self.prior / 4) / (w.sum() + 1 / 4))
 
     def score(self, terms: list[int], counts: list[int]) -> tuple[float, list[tuple[int, float]]]:
         """Calibrated score and the evidence (example id, cosine)."""
