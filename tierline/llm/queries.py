@@ -6,28 +6,57 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash, toxicity
+from . import decontaminate, packing, phrase_dedup, quality_rules, sharding, simhash, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir), vocabulary(), size=2048)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents from the nearest labelled ones."""
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the cascade's verdict on all documents."""
+    return quality_rules.quality(documents(spark, sf_dir))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows inside all documents."""
     found = decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.drop("hits")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards through virtual slots."""
+    return sharding.shard(documents(spark, sf_dir), shards=16)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by 64-bit fingerprints."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_toxicity, op5_decontamination, op9_simhash)}
+def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without passages of 50 words that a smaller doc_id has."""
+    return phrase_dedup.dedup(documents(spark, sf_dir), window=50)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_packing, op2_toxicity, op4_quality_rules, op5_decontamination, op6_sharding, op9_simhash, op10_phrase_dedup)
+}
 
 ORACLE_SQL: dict[str, str] = {}
