@@ -84,7 +84,7 @@ def _word_length(t: Text) -> bool:
 
 def _duplicate_lines(t: Text) -> bool:
     lines = [x for x in t.raw.split(b"\n") if x.split(None, 1)]
-    return 10 * (len(lines) - len(set(lines))) > 3 * len(lines)
+    return 2 * (len(lines) - len(set(lines))) > len(lines)
 
 
 def _wordless(t: Text) -> bool:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, packing, phrase_dedup, quality_rules, sharding, simhash, toxicity
+from . import decontaminate, html_extract, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
 from .common import documents
+from .html_labels import LABELLED
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +30,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents; a document lies in the folder of its source and language."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(documents(spark, sf_dir).withColumn("path", path))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the cascade's verdict on all documents."""
     return quality_rules.quality(documents(spark, sf_dir))
@@ -44,6 +52,16 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), shards=16)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), LABELLED)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms in all documents."""
+    return pii.report(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by 64-bit fingerprints."""
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
@@ -56,7 +74,18 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_packing, op2_toxicity, op4_quality_rules, op5_decontamination, op6_sharding, op9_simhash, op10_phrase_dedup)
+    for f in (
+        op1_packing,
+        op2_toxicity,
+        op3_licenses,
+        op4_quality_rules,
+        op5_decontamination,
+        op6_sharding,
+        op7_html_extraction,
+        op8_pii,
+        op9_simhash,
+        op10_phrase_dedup,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}
