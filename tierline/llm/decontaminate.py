@@ -62,7 +62,7 @@ def contamination(
     window: int = 10,
     shingle: int = 5,
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits)``, one row per input row.
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits, key)``, one row per input row.
 
     ``n_hit`` counts the document's words inside any window, ``hits`` holds ``(start, n)`` of every
     occurrence in words.  A null or empty document or item has no words and matches nothing; items
@@ -128,4 +128,5 @@ def contamination(
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
         F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["n"].alias("n"))).alias("hits"),
+        "key",
     )

@@ -27,7 +27,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents from the nearest labelled ones."""
-    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("key")
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +44,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows inside all documents."""
     found = decontaminate.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.drop("hits")
+    return found.drop("hits", "key")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by 64-bit fingerprints."""
-    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2).drop("key")
 
 
 def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, row_key
 from .components import components
 
 FAN = 16
@@ -55,15 +55,16 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` with the fingerprint's 64 bits as a signed long, one row per input row."""
+    """``(doc_id, key, fp)`` with the fingerprint's 64 bits as a signed long, one row per input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t, shingle) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            fps = [fingerprint(t, shingle) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    key = row_key(F.col(id_col), F.col(text_col)).alias("key")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), key, F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key string, fp long")
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -207,7 +208,7 @@ def links(fps: DataFrame, max_bits: int = 2, max_node: int = 4096) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2, max_node: int = 4096) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)``, one row per input row.
+    """``(doc_id, fingerprint, component_id, key)``, one row per input row.
 
     Words are runs without ASCII white space of the whole text, A-Z lower-cased; shingles of
     ``shingle`` words with repeats (a shorter text is one shingle).  A null or empty text has
@@ -222,5 +223,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(vertex, max_bits, max_node))
     known = fps.join(roots, fps.doc_id == roots.u, "left").select("fp", F.coalesce("root", "doc_id").alias("component_id"))
     return prints.join(known, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "key"
     )

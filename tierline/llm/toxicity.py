@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, row_key
 
 WORD = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -113,17 +113,18 @@ class Vectorizer:
 
 
 def vectors(docs: DataFrame, features: list[str]) -> DataFrame:
-    """``(doc_id, terms, counts)`` of every row, one pass over the whole texts."""
+    """``(doc_id, key, terms, counts)`` of every row, one pass over the whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vec = Vectorizer(features)
         for b in batches:
-            got = [sorted(vec(t).items()) for t in b.column(1).to_pylist()]
+            got = [sorted(vec(t).items()) for t in b.column(2).to_pylist()]
             terms = pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int32()))
             counts = pa.array([[n for _, n in g] for g in got], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), terms, counts], ["doc_id", "terms", "counts"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), terms, counts], ["doc_id", "key", "terms", "counts"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, terms array<int>, counts array<int>")
+    rows = docs.select(F.col("doc_id").cast("long"), row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, key string, terms array<int>, counts array<int>")
 
 
 def unit(terms: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,7 +240,7 @@ class Voter:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
-    """``(doc_id, held_out, score, predicted, neighbours, similarities)``, one row per input row.
+    """``(doc_id, held_out, score, predicted, neighbours, similarities, key)``, one row per input row.
 
     A score depends on the text alone.  A null or empty text has no features and gets the share of
     label 1 among labelled texts without features.  Without labelled rows of both labels every
@@ -264,15 +265,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = voter.value
         for b in batches:
-            got = [v.score(t, c) for t, c in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            got = [v.score(t, c) for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             cols = [
                 b.column(0),
+                b.column(1),
                 pa.array([g[0] for g in got], pa.float64()),
                 pa.array([[i for i, _ in g[1]] for g in got], pa.list_(pa.int64())),
                 pa.array([[s for _, s in g[1]] for g in got], pa.list_(pa.float64())),
             ]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "score", "neighbours", "similarities"])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "key", "score", "neighbours", "similarities"])
 
-    out = vecs.mapInArrow(run, "doc_id long, score double, neighbours array<long>, similarities array<double>")
+    out = vecs.mapInArrow(run, "doc_id long, key string, score double, neighbours array<long>, similarities array<double>")
     held = F.coalesce(~is_training(F.col("doc_id")), F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "similarities")
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "similarities", "key")
