@@ -21,9 +21,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows whose (id, text) is not among ``keys``."""
-    gone = small_side(materialize(keys.select(F.col("key").alias("_key")).distinct(), "gone"))
-    keyed = docs.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+    gone = small_side(materialize(keys.select(F.col("key").alias("__key")).distinct(), "gone"))
+    keyed = docs.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(gone, "__key", "left_anti").select(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +42,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     name = F.when(F.col("component_id").isNull(), F.concat(F.lit("f"), "fingerprint")).otherwise(F.col("component_id").cast("string"))
     heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(name.alias("class")).agg(F.min("key").alias("key"))
     kept = _without(docs, found.join(heads.select("key"), "key", "left_anti"))
-    again = materialize(found.groupBy("key").count().where("count > 1").select(F.col("key").alias("_key")), "repeated")
+    again = materialize(found.groupBy("key").count().where("count > 1").select(F.col("key").alias("__key")), "repeated")
     again = small_side(again)
-    keyed = kept.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
-    once = keyed.join(again, "_key", "left_anti")
-    return once.unionByName(keyed.join(again, "_key", "left_semi").dropDuplicates(["_key"])).select(*docs.columns)
+    keyed = kept.withColumn("__key", row_key(F.col("doc_id"), F.col("text")))
+    once = keyed.join(again, "__key", "left_anti")
+    return once.unionByName(keyed.join(again, "__key", "left_semi").dropDuplicates(["__key"])).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,9 @@ BOILER = frozenset(
 TALK = frozenset("comment comments commentlist discussion disqus replies reply respond responses reviews thread".split())
 BODY = frozenset("article content entry post story main body text prose".split())
 
+#: Added to every count of a feature's values.
+SMOOTH = 0.1
+
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden|data-content)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 HINT = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -191,7 +194,7 @@ def features(x: Node) -> tuple[tuple[str, str], ...]:
 
 
 class Model:
-    """Log potentials counted on labelled pages, with add-one smoothing."""
+    """Log potentials counted on labelled pages, smoothed."""
 
     def __init__(self, pages: list[str]):
         seen: dict = defaultdict(Counter)
@@ -222,7 +225,7 @@ class Model:
             total = 0.0
             for name, value in features(x):
                 counts = self.seen.get((name, s), {})
-                total += log((counts.get(value, 0) + 0.5) / (sum(counts.values()) + 0.5 * (len(self.values[name]) + 1)))
+                total += log((counts.get(value, 0) + SMOOTH) / (sum(counts.values()) + SMOOTH * (len(self.values[name]) + 1)))
             out.append(total)
         if x.hidden or x.tag in DROPPED:
             out[1] = -50.0

@@ -4,7 +4,7 @@ LONG = "The council met on Monday to discuss the new bridge, and most members sp
 SHORT = "It rained."
 MENU = '<ul><li><a href="/">Home</a></li><li><a href="/news">News</a></li><li><a href="/about">About us</a></li></ul>'
 PARAGRAPHS = f"<h1>A new bridge</h1><p>{LONG}</p><p>{SHORT}</p><p>{LONG} {LONG}</p><h2>Costs</h2><p>{LONG} <a href='/x'>see here</a></p>"
-LISTED = f"<ul><li>{LONG}</li><li>Short point</li></ul><blockquote><p>{LONG}</p></blockquote><table><tr><td>Year</td><td>1999</td></tr></table><pre>{SHORT}</pre>"
+LISTED = f"<ul><li>{LONG}</li><li>Short point</li></ul><ul><li>bread</li><li>milk</li><li>salt</li></ul><ol><li>one</li><li>two</li><li>three</li></ol><blockquote><p>{LONG}</p></blockquote><table><tr><td>Year</td><td>1999</td></tr></table><pre>{SHORT}</pre>"
 COMMENTS = f'<section class="comments" data-content="0"><h3>Comments</h3><div class="comment"><p>{LONG}</p></div><div class="comment"><p>{SHORT}</p></div><form><p>Reply</p></form></section>'
 NAV = f'<nav data-content="0">{MENU}</nav>'
 FOOT = f'<footer data-content="0"><p>&copy; 2020 Example. {SHORT}</p>{MENU}</footer>'

@@ -170,7 +170,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """
     found = materialize(spans(docs, id_col, text_col, **options), "found")
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("key")).join(found, "key", "left")
-    rows = rows.withColumn("spans", F.coalesce("spans", F.filter(F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"), F.lit("").alias("action"))), lambda s: F.lit(False))))
+    rows = rows.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<kind:int,start:long,end:long,action:string>>")))
     base = F.filter("spans", lambda s: s["kind"] < TERM)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     return rows.select(
@@ -185,16 +185,19 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """
     found = spans(docs, id_col, text_col, **options)
     flat = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["action"].alias("action"))))
-    ends = F.transform(F.sequence(F.lit(0), F.size("flat") - 1), lambda i: F.get("flat", i)["end"])
-    found = materialize(found.where(F.size("spans") > 0).select("key", flat.alias("flat")), "flat").withColumn("ends", ends)
+    found = materialize(found.where(F.size("spans") > 0).select(F.col("key").alias("__key"), flat.alias("__flat")), "flat")
     # Furthest end so far, one value per span.
-    furthest = F.aggregate("ends", F.array().cast("array<long>"), lambda a, e: F.concat(a, F.array(F.greatest(e, F.coalesce(F.element_at(F.concat(F.array(F.lit(0).cast("long")), a), -1), F.lit(0))))))
-    found = small_side(materialize(found.select("key", "flat", furthest.alias("until")), "until"), 20_000)
-    label = lambda s: F.when(s["kind"] < TERM, F.concat(F.lit("["), F.upper(F.get(F.array(*map(F.lit, KINDS)), s["kind"])), F.lit("]"))).when(s["action"] == "generalise", F.lit("[WORD]")).otherwise(F.lit("[TERM]"))
-    before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("until", i - 1))
-    piece = lambda s, i: F.when(s["start"] >= before(i), F.concat(F.substr("_text", (before(i) + 1).cast("int"), (s["start"] - before(i)).cast("int")), label(s))).otherwise(F.lit(""))
-    rest = F.substr("_text", (F.element_at("until", -1) + 1).cast("int"), F.char_length("_text"))
-    rows = docs.withColumn("_key", row_key(F.col(id_col), F.col(text_col))).withColumn("_text", F.col(text_col))
-    rows = rows.join(found, rows._key == found.key, "left")
-    clean = F.when(F.col("flat").isNull(), F.col("_text")).otherwise(F.concat(F.array_join(F.transform("flat", piece), ""), rest))
+    ends = F.transform("__flat", lambda s: s["end"])
+    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0).cast("long"))
+    until = F.aggregate(ends, F.array().cast("array<long>"), lambda a, e: F.concat(a, F.array(F.greatest(e, last(a)))))
+    found = small_side(materialize(found.select("__key", "__flat", until.alias("__until")), "until"), 20_000)
+    kind = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    label = lambda s: F.when(s["kind"] < TERM, F.get(kind, s["kind"])).when(s["action"] == "generalise", F.lit("[WORD]")).otherwise(F.lit("[TERM]"))
+    before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("__until", i - 1))
+    part = lambda s, i: F.substr("__text", (before(i) + 1).cast("int"), (s["start"] - before(i)).cast("int"))
+    piece = lambda s, i: F.when(s["start"] >= before(i), F.concat(part(s, i), label(s))).otherwise(F.lit(""))
+    rest = F.substr("__text", (last(F.col("__until")) + 1).cast("int"), F.char_length("__text"))
+    rows = docs.withColumn("__key", row_key(F.col(id_col), F.col(text_col))).withColumn("__text", F.col(text_col))
+    rows = rows.join(found, "__key", "left")
+    clean = F.when(F.col("__flat").isNull(), F.col("__text")).otherwise(F.concat(F.array_join(F.transform("__flat", piece), ""), rest))
     return rows.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
