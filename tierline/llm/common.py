@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +42,31 @@ def row_key(doc_id: Column, text: Column) -> Column:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def chunks(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices, so that few texts at a time are Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+class Recent(dict):
+    """A memory of ``make(key)`` for at least the last ``keep`` keys and at most twice as many."""
+
+    def __init__(self, keep: int):
+        super().__init__()
+        self.keep, self.old = keep, {}
+
+    def make(self, key):
+        raise KeyError(key)
+
+    def __missing__(self, key):
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.keep:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+
 # Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
@@ -280,7 +282,7 @@ def extract(pages: DataFrame, labelled: list[str], html_col: str = "html") -> Da
     model = Model(labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             texts = [model.text(x) for x in b.column(2).to_pylist()]
             cols = [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["page_id", "url", "text", "n_chars"])

@@ -13,6 +13,7 @@ import heapq
 import os
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,12 +22,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Recent, chunks, materialize
 
 END_ID = 1
 #: The pre-tokens of the vocabulary's own definition.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-ODD = regex.compile(r"[\x1c-\x1f]|<\|")
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def byte_letters() -> dict[int, str]:
@@ -39,45 +40,40 @@ def byte_letters() -> dict[int, str]:
     return out
 
 
-class WordIds(dict):
-    """White-space word -> its ids as little-endian bytes, remembered up to ``keep`` words.
+class WordIds(Recent):
+    """Lower-cased white-space word -> its ids as little-endian bytes.
 
     White space always ends a pre-token, so ids of words one by one are the ids of the text.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 150_000):
         from tokenizers import Tokenizer
 
+        super().__init__(keep)
         self.tokenizer = Tokenizer.from_file(path)
-        self.model, self.keep, self.pieces = self.tokenizer.model, keep, {}
-        self.letters = {chr(k): v for k, v in byte_letters().items()}
-        self.table = str.maketrans(self.letters)
-
-    def __missing__(self, word: str) -> bytes:
-        low = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-        if ODD.search(low) or not unicodedata.is_normalized("NFC", low):
-            out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            out = b"".join(map(self._piece, PRE_TOKEN.findall(low)))
-        if len(self) >= self.keep:
-            self.clear()
-        self[word] = out
-        return out
-
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= self.keep:
-                self.pieces.clear()
-            tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.table))
-            got = self.pieces[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
-        return got
+        self.model = self.tokenizer.model
+        self.table = str.maketrans({chr(k): v for k, v in byte_letters().items()})
+
+    def make(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._encode(word)
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]
+        parts = PRE_TOKEN.findall(word)
+        return self._encode(word) if parts == [word] else b"".join([self[p] for p in parts])
+
+    def _encode(self, piece: str) -> bytes:
+        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.table))
+        return array("I", [t.id for t in tokens]).tobytes()
 
     def text(self, text: str | None) -> bytes:
         text = text or ""
-        if ODD.search(text):
+        low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # Separators that only Python takes for white space, special tokens, and lower case that would
+        # be composed again are left to the tokenizer as a whole.
+        if any(c in text for c in ODD) or not unicodedata.is_normalized("NFC", low):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+        return b"".join([self[w] for w in low.split()])
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -97,7 +93,7 @@ def pieces(docs: DataFrame, vocabulary: str, size: int, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(vocabulary)
         end = np.array([END_ID], "<u4").tobytes()
-        for b in batches:
+        for b in chunks(batches):
             rows = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 ids = words.text(text) + end

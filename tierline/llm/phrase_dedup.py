@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import chunks, materialize, row_key
 
 BASE = 0x9E3779B97F4A7C15
 LAST = 2**63 - 1
@@ -76,7 +76,7 @@ def profiles(docs: DataFrame, window: int, run: int) -> DataFrame:
     """``(key, doc_id, sig, n_words, whole, anchors)`` of every row, one pass."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             sig, n, whole, found = [], [], [], []
             for text in b.column(2).to_pylist():
                 words = (text or b"").split()
@@ -95,7 +95,7 @@ def profiles(docs: DataFrame, window: int, run: int) -> DataFrame:
 def _segments(window: int, run: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "seg", "key", "doc_id", "start", "n", "words"]
-        for b in batches:
+        for b in chunks(batches):
             rows = []
             for key, doc, text, wanted in zip(*(c.to_pylist() for c in b.columns)):
                 words = text.split()
@@ -240,7 +240,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     spans = materialize(spans, "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             rows = []
             for key, text, found in zip(*(c.to_pylist() for c in b.columns)):
                 words = text.split()

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -114,7 +116,7 @@ def profile(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int =
     """Seconds and rejected share of every rule, measured on about ``sample_rows`` rows over all partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             texts = [Text(t) for t in b.column(0).to_pylist()]
             for r in rules:
                 began = time.perf_counter()
@@ -149,7 +151,7 @@ def quality(
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             rows = []
             for text in b.column(1).to_pylist():
                 t = Text(text)

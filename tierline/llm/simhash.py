@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import chunks, materialize, row_key
 from .components import components
 
 FAN = 16
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(doc_id, key, fp)`` with the fingerprint's 64 bits as a signed long, one row per input row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chunks(batches):
             fps = [fingerprint(t, shingle) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "key", "fp"])
 

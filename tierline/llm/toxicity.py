@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import Recent, chunks, materialize, row_key
 
 WORD = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -62,7 +62,7 @@ def _examples(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in chunks(batches, 50):
         for label, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             words = WORD.findall((text or "").lower())
             # With the words around its first place: copies of one text repeat them.
@@ -91,23 +91,20 @@ def choose_features(examples: DataFrame, p: Params) -> list[str]:
     return [r["term"] for r in got.orderBy(F.desc("chi2"), "term").limit(p.max_features).collect()]
 
 
-class Vectorizer:
+class Vectorizer(Recent):
     """Sparse counts over the chosen features; remembers what a word contributes."""
 
-    def __init__(self, features: list[str], keep: int = 300_000):
+    def __init__(self, features: list[str], keep: int = 100_000):
+        super().__init__(keep)
         self.place = {f: i for i, f in enumerate(features)}
-        self.keep, self.known = keep, {}
+
+    def make(self, word: str) -> tuple[int, ...]:
+        return tuple(self.place[f] for f in term_features(word) if f in self.place)
 
     def __call__(self, text: str | None) -> dict[int, int]:
         out: dict[int, int] = {}
-        known, place = self.known, self.place
-        if len(known) > self.keep:
-            known.clear()
         for word in WORD.findall((text or "").lower()):
-            hit = known.get(word)
-            if hit is None:
-                hit = known[word] = tuple(place[f] for f in term_features(word) if f in place)
-            for i in hit:
+            for i in self[word]:
                 out[i] = out.get(i, 0) + 1
         return out
 
@@ -117,7 +114,7 @@ def vectors(docs: DataFrame, features: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vec = Vectorizer(features)
-        for b in batches:
+        for b in chunks(batches):
             got = [sorted(vec(t).items()) for t in b.column(2).to_pylist()]
             terms = pa.array([[i for i, _ in g] for g in got], pa.list_(pa.int32()))
             counts = pa.array([[n for _, n in g] for g in got], pa.list_(pa.int32()))
@@ -264,7 +261,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = voter.value
-        for b in batches:
+        for b in chunks(batches):
             got = [v.score(t, c) for t, c in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             cols = [
                 b.column(0),
