@@ -35,10 +35,9 @@ def test_run_all_is_repeatable(lake):
     _, first, second = lake
     assert _counts(first) == _counts(second)
     assert first["silver"]["location"] != second["silver"]["location"]
-    # retention removed the first run's versions, one per layer table
-    assert sorted(second["vacuum"]) == sorted(
-        [first["silver"]["location"], first["gold"]["location"]] + [b["location"] for b in first["bronze"]]
-    )
+    # retention removed the first run's versions, one per layer table, code list and quarantine
+    gone = [first["silver"]["location"], first["gold"]["location"], first["gold"]["unmatched_codes_location"]]
+    assert sorted(second["vacuum"]) == sorted(gone + [b[k] for b in first["bronze"] for k in ("location", "quarantine")])
 
 
 def test_stage_metrics_match_fixture(lake):
@@ -48,7 +47,8 @@ def test_stage_metrics_match_fixture(lake):
     nulls = {n["column_name"]: n["null_count"] for n in flights["nulls"]}
     assert nulls["DAY"] == 49 and nulls["TAIL_NUMBER"] == 182 and nulls["DEPARTURE_DELAY"] == 131
     assert first["silver"]["invalid_dates"] == 157 and first["silver"]["out_of_range"] == 653
-    assert first["gold"]["unmatched"] == 125 and first["gold"]["unmatched_codes"] == ["ZZ"]
+    assert first["gold"]["unmatched"] == 125 and first["gold"]["unmatched_codes"] == 1
+    assert first["gold"]["unmatched_codes_location"]
 
 
 def test_registered_tables_equal_the_derived_layers(spark, lake):
@@ -156,10 +156,12 @@ def test_stages_as_separate_processes(spark, tmp_path):
     r = run("all", *[f"--source={k}={v}" for k, v in src.items()], "--keep-versions", "1")
     assert r.returncode == 0, r.stderr[-2000:]
     summary = json.loads(r.stdout.strip().splitlines()[-1])
-    assert summary["gold"]["rows"] == 6000 and len(summary["vacuum"]) == 3  # the first raw versions
-    for stage in ("clean", "fact", "register"):
+    assert summary["gold"]["rows"] == 6000 and len(summary["vacuum"]) == 6  # the first raw versions and quarantines
+    for stage in ("clean", "fact"):
         r = run(stage)
         assert r.returncode == 0, r.stderr[-2000:]
+    r = run("register")  # an in-memory catalog would keep nothing
+    assert r.returncode != 0 and "in-memory catalog ends with this process" in r.stderr
     from tierline.sources.layers import current_version
 
     fact = spark.read.parquet(current_version(spark, base, "gold", "fact_flights_delay"))
@@ -353,3 +355,73 @@ def test_layer_shapes_match_the_declared_contracts(spark, lake):
     assert len(SILVER_FLIGHTS_SCHEMA.fields) == 29
     assert shape(E.queries()["silver_flights"](spark, SF001).schema) == shape(SILVER_FLIGHTS_SCHEMA)
     assert spark.table("gold.fact_flights_delay").columns == list(FACT_COLUMNS)
+
+
+def test_a_clean_ingest_empties_the_quarantine(spark, tmp_path):
+    p, base = tmp_path / "airlines.csv", f"file:{tmp_path}/it's a lake"
+    p.write_text("IATA_CODE,AIRLINE\nAA,Air A\nBB,Air B,EXTRA\n")
+    P.ingest(spark, base, "airlines", str(p), log=lambda s: None)
+    assert spark.table("bronze._quarantine_airlines").count() == 1
+    p.write_text("IATA_CODE,AIRLINE\nAA,Air A\n")
+    r = P.ingest(spark, base, "airlines", str(p), log=lambda s: None)
+    assert r["malformed"] == 0 and spark.table("bronze._quarantine_airlines").count() == 0
+
+
+def test_a_version_counts_only_after_validation(spark, tmp_path):
+    from tierline.sources.layers import current_version, write_layer
+
+    base = f"file:{tmp_path}/lake"
+    old = write_layer(spark.range(3), base, "t_commit", "tab")["location"]
+    seen = []
+
+    def doomed(_):
+        seen.append(current_version(spark, base, "t_commit", "tab"))
+        raise ValueError("not valid")
+
+    with pytest.raises(ValueError, match="not valid"):
+        write_layer(spark.range(9), base, "t_commit", "tab", validate=doomed)
+
+    def crash(_):
+        raise KeyboardInterrupt  # the process ends without any clean-up
+
+    with pytest.raises(KeyboardInterrupt):
+        write_layer(spark.range(9), base, "t_commit", "tab", validate=crash)
+    assert seen == [old] and current_version(spark, base, "t_commit", "tab") == old
+
+
+def test_every_unmatched_code_is_reported_and_the_fact_prunes_by_date(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tierline.schemas import SILVER_FLIGHTS_SCHEMA
+    from tierline.sources.layers import write_layer
+
+    base = f"file:{tmp_path}/lake"
+    rows = spark.range(6000).selectExpr(
+        *[
+            {
+                "AIRLINE": "if(id % 10 = 0, concat('Q', id % 300), 'AA') as AIRLINE",
+                "FLIGHT_DATE": "date_add(date'2015-01-01', cast(id % 365 as int)) as FLIGHT_DATE",
+                "FLIGHT_NUMBER": "cast(id as string) as FLIGHT_NUMBER",
+            }.get(f.name, f"cast(null as {f.dataType.simpleString()}) as {f.name}")
+            for f in SILVER_FLIGHTS_SCHEMA.fields
+        ]
+    )
+    write_layer(rows, base, "silver", "flights", overwrite_schema=True)
+    write_layer(spark.createDataFrame([("AA", "Air A")], "IATA_CODE string, AIRLINE string"), base, "bronze", "airlines", overwrite_schema=True)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        m = P.run_gold(spark, base, log=lambda s: None, overwrite_schema=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    codes = spark.read.parquet(m["unmatched_codes_location"]).collect()
+    assert len(codes) == m["unmatched_codes"] == 30 and sum(r["rows"] for r in codes) == m["unmatched"] == 600
+    met = 0
+    files = glob.glob(m["location"].replace("file:", "") + "/*.parquet")
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("FLIGHT_DATE")
+        stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        met += any(str(s.min) <= "2015-06-30" and str(s.max) >= "2015-06-01" for s in stats if s)
+    assert len(files) >= 6 and met <= 2  # one month meets the statistics of one or two files

@@ -20,7 +20,7 @@ import json
 import sys
 
 from .plans import pipeline as P
-from .session import build_session
+from .session import build_session, durable_catalog
 from .sources.catalog import register_layers
 
 
@@ -46,9 +46,10 @@ def main(argv: list[str] | None = None) -> int:
                     help="accept a changed table shape in the clean and fact layers")
     ap.add_argument("--keep-versions", type=int, default=None,
                     help="after a successful 'all', delete layer versions beyond the newest N")
+    ap.add_argument("--catalog", choices=["in-memory", "hive"], default=None, help="Spark's catalog implementation")
     args = ap.parse_args(argv)
 
-    spark = build_session(f"tierline-{args.stage}", base_uri=args.base)
+    spark = build_session(f"tierline-{args.stage}", base_uri=args.base, catalog=args.catalog)
     keep = not args.drop_malformed
     try:
         if args.stage == "all":
@@ -62,6 +63,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.stage == "fact":
             out = P.run_gold(spark, args.base, overwrite_schema=args.overwrite_schema)
         else:
+            if not durable_catalog(spark):
+                raise SystemExit(
+                    "register: Spark's in-memory catalog ends with this process, so nothing would stay registered; "
+                    "pass --catalog hive with a configured metastore, or register inside the session that queries"
+                )
             out = register_layers(spark, args.base)
         print(json.dumps(out, default=str))
     finally:

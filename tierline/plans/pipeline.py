@@ -5,11 +5,12 @@ metrics instead of extra count jobs:
 
 * raw: one full-width parse of each CSV writes the layer and observes rows,
   malformed rows and every column's null count; the file is read again for
-  the quarantine only when malformed rows exist;
+  the quarantine only when malformed rows exist, but a quarantine version (empty
+  without such rows) is published on every ingest;
 * clean: rows, invalid dates and out-of-range rows are observed on the write;
-* fact: rows and unmatched rows are observed on the write; only when some
-  rows are unmatched does a second job list the distinct codes, from two
-  columns of the written fact (no second join).
+* fact: rows and unmatched rows are observed on the write; all unmatched codes
+  with their row counts go to ``gold._unmatched_airline_codes`` on every run, from
+  two columns of the written fact (no second join).
 
 Layers are the only hand-over between stages, so any stage can run alone,
 and every stage raises on error (the source ingest printed and went on).
@@ -35,6 +36,12 @@ from ..sources.layers import ensure_layer, read_layer, vacuum_layer, write_layer
 Log = Callable[[str], None]
 
 
+#: Every airline code without a dimension row, with its number of fact rows.
+UNMATCHED_TABLE = "_unmatched_airline_codes"
+#: Range keys of the fact files.
+FACT_ORDER = ("FLIGHT_DATE", "AIRLINE_CODE", "FLIGHT_NUMBER")
+
+
 class ContractViolation(ValueError):
     pass
 
@@ -60,13 +67,14 @@ def ingest(
     staged: bool = False,
     log: Log = print,
 ) -> dict:
-    """One CSV into ``bronze.<name>`` plus ``bronze._quarantine_<name>`` when malformed rows exist.
+    """One CSV into ``bronze.<name>`` and its malformed rows into ``bronze._quarantine_<name>``.
 
     One pass parses the file at full width and writes the layer while
     observing rows, malformed rows and every column's null count.  The
-    contract's not-null rule is checked from those counts, and the quarantine
-    written when malformed rows were seen (the only second read of the file),
-    before the new layer version is published.  ``staged`` parses once into a staged copy first
+    contract's not-null rule is checked from those counts, and the quarantine is
+    written before the new layer version is committed.  Malformed rows need a second
+    read of the file; without any the quarantine is an empty version, so rows of an
+    earlier ingest never stay current.  ``staged`` parses once into a staged copy first
     (for sources that may change between two reads).
     """
     contract = contract or CONTRACTS[name]
@@ -78,14 +86,14 @@ def ingest(
     quarantine: list[str] = []
 
     def before_publish(metrics: Mapping) -> None:
-        # Runs before the new layer version becomes visible: a not-null
-        # violation or a failed quarantine write leaves the layer unpublished.
+        # Runs before the new layer version is marked as committed: a not-null
+        # violation or a failed quarantine write leaves the layer as it was.
         broken = [c for c in contract.not_null if metrics.get(f"null:{c}", 0)]
         if broken:
             raise ContractViolation(f"{name}: nulls in columns declared not null: {broken}")
-        if metrics["malformed"]:
-            q = write_layer(C.quarantine_rows(source), base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
-            quarantine.append(q["location"])
+        bad = C.quarantine_rows(source) if metrics["malformed"] else spark.createDataFrame([], source.schema)
+        q = write_layer(bad, base, "bronze", f"_quarantine_{name}", overwrite_schema=True)
+        quarantine.append(q["location"])
 
     try:
         if stage_metrics:
@@ -100,9 +108,7 @@ def ingest(
         metrics = stage_metrics or obs.get
         report = {"dataset": name, "rows_read": metrics["rows"], "malformed": metrics["malformed"],
                   "nulls": null_report(metrics, contract), "rows_written": written["rows"],
-                  "location": written["location"]}
-        if quarantine:
-            report["quarantine"] = quarantine[0]
+                  "location": written["location"], "quarantine": quarantine[0]}
         log(f"{name}: {metrics['rows']:,} rows read, {metrics['malformed']:,} malformed")
         for item in report["nulls"]:
             log(f"  - {item['column_name']}: {item['null_count']:,} / {metrics['rows']:,} ({item['null_pct']:.2f}%)")
@@ -177,12 +183,17 @@ def run_gold(
     spark: SparkSession,
     base: str,
     log: Log = print,
-    show_codes: int = 20,
+    log_codes: int = 20,
     preview_rows: int = 5,
     overwrite_schema: bool = False,
 ) -> dict:
     """L3: clean flights + airlines -> fact table, with the FK integrity report.
 
+    The fact is dealt out by ranges of its date (then code and number, so that one busy
+    day splits) before the write: each file holds a few days, and a date filter opens
+    only the files whose statistics meet it.  Every unmatched code is written to
+    ``gold._unmatched_airline_codes``; ``log_codes`` bounds the log line alone.
+
     The preview (P14) reads a few rows of the version just written, not the
     job's input again.
     """
@@ -190,28 +201,25 @@ def run_gold(
     airlines = read_layer(spark, "bronze", "airlines", base)
     fact = T.fact(flights, airlines, check_unique=True)
     m = write_layer(
-        fact, base, "gold", "fact_flights_delay",
+        fact.repartitionByRange(*FACT_ORDER), base, "gold", "fact_flights_delay",
         metrics=[F.count_if(F.col("AIRLINE_NAME").isNull()).alias("unmatched")],
-        # Reports filter the fact by date ranges: cluster row groups by date.
         cluster_by=["FLIGHT_DATE"],
         overwrite_schema=overwrite_schema,
     )
     log(f"gold: {m['rows']:,} rows")
+    # Names are contract not-null, so a null name marks an unmatched row.
+    written = spark.read.parquet(m["location"])
+    codes = (
+        written.filter(F.col("AIRLINE_NAME").isNull())
+        .groupBy(F.col("AIRLINE_CODE").alias("airline_code"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    u = write_layer(codes, base, "gold", UNMATCHED_TABLE)
+    m["unmatched_codes"], m["unmatched_codes_location"] = u["rows"], u["location"]
     if m["unmatched"]:
-        # Names are contract not-null, so a null name marks an unmatched row:
-        # list the codes from the fact just written (two columns, distinct
-        # with map-side combine), with no second join.
-        written = spark.table("gold.fact_flights_delay")
-        codes = (
-            written.filter(F.col("AIRLINE_NAME").isNull())
-            .select(F.col("AIRLINE_CODE").alias("airline_code"))
-            .distinct()
-            .orderBy(F.asc_nulls_last("airline_code"))
-            .limit(show_codes)
-            .collect()
-        )
-        m["unmatched_codes"] = [r["airline_code"] for r in codes]
-        log(f"[WARN] flights with unmatched airline codes: {m['unmatched']:,}, e.g. {m['unmatched_codes']}")
+        some = spark.read.parquet(u["location"]).orderBy(F.desc("rows"), "airline_code").limit(log_codes).collect()
+        log(f"[WARN] flights with unmatched airline codes: {m['unmatched']:,} rows, {u['rows']:,} codes, "
+            f"most rows: {[r['airline_code'] for r in some]} (all in gold.{UNMATCHED_TABLE})")
     if preview_rows:
         m["preview"] = [r.asDict() for r in Q.preview(spark.table("gold.fact_flights_delay"), preview_rows).collect()]
         for row in m["preview"]:
@@ -221,7 +229,7 @@ def run_gold(
 
 def vacuum_layers(spark: SparkSession, base: str, keep: int, names: Sequence[str] = ()) -> list[str]:
     """Retention over every layer table (and the quarantine of ``names``)."""
-    tables = list(LAYER_TABLES) + [("bronze", f"_quarantine_{n}") for n in names]
+    tables = list(LAYER_TABLES) + [("gold", UNMATCHED_TABLE)] + [("bronze", f"_quarantine_{n}") for n in names]
     deleted: list[str] = []
     for layer, table in tables:
         deleted += vacuum_layer(spark, base, layer, table, keep)

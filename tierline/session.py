@@ -23,6 +23,8 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the rows must be shuffled again for what follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Broadcast only what is proven small.  Static estimates are guesses (a
     # join's estimate is the product of its inputs, so the *fact* side can look
     # smaller than the dimension), so estimate-based broadcast is off; a join
@@ -47,17 +49,22 @@ def build_session(
     base_uri: str | None = None,
     conf: dict[str, str] | None = None,
     master: str | None = None,
+    catalog: str | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the engine defaults.
 
     ``base_uri`` is any Hadoop filesystem URI (``s3a://bucket/lake``,
-    ``hdfs://...``, ``file:/...``) under which the layers live.
+    ``hdfs://...``, ``file:/...``) under which the layers live.  ``catalog`` is Spark's
+    catalog implementation: ``hive`` keeps registered tables in the configured metastore,
+    the default ``in-memory`` keeps them for the life of the process.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
+    if catalog:
+        builder = builder.config("spark.sql.catalogImplementation", catalog)
     if base_uri:
         builder = builder.config(BASE_URI_CONF, base_uri)
     spark = builder.getOrCreate()
@@ -92,6 +99,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def durable_catalog(spark: SparkSession) -> bool:
+    """True when registered tables outlive this process."""
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") != "in-memory"
+
+
 def base_uri(spark: SparkSession, default: str | None = None) -> str:
     value = spark.conf.get(BASE_URI_CONF, None) or default
     if not value:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import durable_catalog
 from .fs import list_dirs
 from .layers import current_version, ensure_layer, register_table, schema_diff
 
@@ -21,13 +22,17 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
     """Create the layer schemas and register each table (and any quarantine) at its newest committed version.
 
     Idempotent: a table already registered is re-pointed (or left) and counts
-    as success.  Tables with no committed version are reported, not created.
+    as success.  Tables with no committed version are reported, not created.  ``durable``
+    says whether the registration outlives this process (it does not in Spark's
+    in-memory catalog).
     """
     out = []
+    durable = durable_catalog(spark)
     for layer in sorted({layer for layer, _ in LAYER_TABLES}):
         ensure_layer(spark, base, layer)
-    # Quarantine tables exist only for sources that had malformed rows.
-    quarantines = [("bronze", n) for n in list_dirs(spark, f"{base.rstrip('/')}/bronze") if n.startswith("_quarantine_")]
+    root = base.rstrip("/")
+    quarantines = [("bronze", n) for n in list_dirs(spark, f"{root}/bronze") if n.startswith("_quarantine_")]
+    quarantines += [("gold", n) for n in list_dirs(spark, f"{root}/gold") if n.startswith("_unmatched_")]
     for layer, table in list(LAYER_TABLES) + quarantines:
         loc = current_version(spark, base, layer, table)
         if loc is None:
@@ -41,7 +46,7 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
             schema_diff(spark.table(f"{layer}.{table}").schema, spark.read.format(fmt).load(loc).schema)
         )
         register_table(spark, layer, table, loc, fmt, replace=stale, partitioned=partitioned)
-        out.append({"table": f"{layer}.{table}", "status": "registered", "location": loc})
+        out.append({"table": f"{layer}.{table}", "status": "registered", "location": loc, "durable": durable})
     return out
 
 

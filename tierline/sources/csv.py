@@ -41,19 +41,23 @@ def read_csv(
     schema = contract.schema
     if corrupt_col:
         schema = StructType(list(schema.fields) + [StructField(corrupt_col, StringType(), True)])
-    reader = (
-        spark.read.option("header", "true")
-        .option("mode", "PERMISSIVE")
-        .option("enforceSchema", "false")
-        .schema(schema)
-    )
-    if corrupt_col:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    for k, v in (options or {}).items():
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").schema(schema)
+    for k, v in {**parse_options(corrupt_col), **(options or {})}.items():
         reader = reader.option(k, v)
     return reader.csv(path)
 
 
+def parse_options(corrupt_col: str | None = CORRUPT) -> dict[str, str]:
+    """How a line is parsed, from files and from columns alike."""
+    return {"mode": "PERMISSIVE", **({"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {})}
+
+
+def parse_csv(lines: DataFrame, column: str, contract: Contract, corrupt_col: str = CORRUPT) -> DataFrame:
+    """Lines of text in a column, parsed as ``read_csv`` parses lines of files."""
+    schema = StructType(list(contract.schema.fields) + [StructField(corrupt_col, StringType(), True)])
+    return lines.select(F.from_csv(F.col(column), schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), parse_options(corrupt_col)).alias("_row")).select("_row.*")
+
+
 def staging_uri(spark: SparkSession, name: str) -> str:
     """A fresh folder for one staged copy, under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -27,3 +27,8 @@ def list_dirs(spark: SparkSession, uri: str) -> list[str]:
 def delete(spark: SparkSession, uri: str) -> bool:
     path, fs = _fs(spark, uri)
     return bool(fs.delete(path, True))
+
+def touch(spark: SparkSession, uri: str) -> None:
+    """Create an empty file."""
+    path, fs = _fs(spark, uri)
+    fs.create(path, True).close()

@@ -25,6 +25,8 @@ from pyspark.sql.types import StructType
 
 from . import fs
 
+#: Hadoop setting that lets a write job leave its own marker.
+NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 VERSION_PREFIX = "v"
 
 
@@ -63,9 +65,14 @@ def schema_diff(old: StructType, new: StructType) -> list[str]:
     return out
 
 
+def _quoted(uri: str) -> str:
+    """A URI inside a SQL string literal."""
+    return uri.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def ensure_layer(spark: SparkSession, base: str, layer: str) -> None:
     """``CREATE SCHEMA IF NOT EXISTS`` with the layer's location."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}` LOCATION '{layer_uri(base, layer)}'")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}` LOCATION '{_quoted(layer_uri(base, layer))}'")
 
 
 def _new_version(base: str, layer: str, table: str) -> str:
@@ -103,10 +110,10 @@ def register_table(
     if replace or (partitioned and spark.catalog.tableExists(f"{layer}.{table}")):
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the data stays
     if spark.catalog.tableExists(f"{layer}.{table}"):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(location)}'")
         spark.sql(f"REFRESH TABLE {name}")
     else:
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{location}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{_quoted(location)}'")
         if partitioned:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
@@ -126,11 +133,10 @@ def write_layer(
     """Full refresh of ``layer.table`` (S5, S6); returns the observed metrics.
 
     ``rows`` is always observed; ``metrics`` adds named aggregate columns.
-    ``validate`` sees the metrics after the data is written and before the
-    catalog is switched; if it raises, the new version is removed unpublished.
-    ``cluster_by`` sorts rows *within* each write task (no shuffle) so that the
-    min/max statistics of parquet row groups become narrow on those columns
-    and range filters on them skip most row groups.
+    ``validate`` sees the metrics after the data is written and before the version is
+    marked as committed (``_SUCCESS``) and the catalog is switched.  If it raises, or the
+    process ends there, the version stays uncommitted and no reader picks it.
+    ``cluster_by`` sorts rows *within* each write task (no shuffle).
     """
     spark = df.sparkSession
     ensure_layer(spark, base, layer)
@@ -158,7 +164,8 @@ def write_layer(
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
     if cluster_by:
         out = out.sortWithinPartitions(*cluster_by)
-    writer = out.write.format(fmt).mode("errorifexists")
+    # The job itself leaves no marker: a version counts only once it is validated.
+    writer = out.write.format(fmt).mode("errorifexists").option(NO_MARKER, "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(target)
@@ -169,6 +176,7 @@ def write_layer(
         except Exception:
             fs.delete(spark, target)
             raise
+    fs.touch(spark, f"{target}/_SUCCESS")
     register_table(spark, layer, table, target, fmt, replace=exists and overwrite_schema,
                    partitioned=bool(partition_by))
     result["location"] = target
