@@ -75,11 +75,9 @@ def test_filter_empty_lists_mean_all_and_dates_drop_null(spark):
 
 def test_resolve_codes_by_name(spark, airlines):
     f = _fact(spark, [(D1, c, None, "1", "X1", "X2", 1.0, 1.0, 0) for c in ["AA", "BB", "CC", "ZZ", None]])
-    for max_codes in (1000, 1, 0):  # IN list within the bound; semi join beyond it
-        out = resolve_codes(f, airlines, ["Air A"], "AIRLINE_CODE", max_codes=max_codes)
-        assert sorted(r.AIRLINE_CODE for r in out.collect()) == ["AA", "CC"]
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert ("LeftSemi" in plan) == (max_codes < 2)
+    out = resolve_codes(f, airlines, ["Air A"], "AIRLINE_CODE")
+    assert sorted(r.AIRLINE_CODE for r in out.collect()) == ["AA", "CC"]
+    assert "LeftSemi" in out._jdf.queryExecution().executedPlan().toString()
     assert resolve_codes(f, airlines, [], "AIRLINE_CODE").count() == 5
     assert resolve_codes(f, airlines, ["Nobody"], "AIRLINE_CODE").count() == 0
 
@@ -97,8 +95,8 @@ def test_leaderboard_merges_codes_sharing_a_name(spark, airlines):
     assert [r.airline for r in R.worst_airline(f, airlines).collect()] == ["Air A"]
 
 
-def test_worst_group_on_empty_has_no_row(spark, airlines):
-    assert R.worst_airline(_fact(spark, []), airlines).count() == 0
+def test_worst_group_on_empty_is_not_available(spark, airlines):
+    assert [r.airline for r in R.worst_airline(_fact(spark, []), airlines).collect()] == ["N/A"]
 
 
 def test_kpis(spark):
@@ -181,38 +179,33 @@ def test_broadcast_only_within_checked_bound(spark):
 
 def test_one_decimal_rates(spark):
     f = _fact(spark, [(D1, "AA", None, str(i), "X1", "X2", 0.0, 20.0 if i < 2 else 0.0, 0) for i in range(3)])
-    r = R.kpis(f, digits=1).first()
-    assert (r.delay_pct, r.on_time_pct) == (66.7, 33.3)
+    r = R.kpis(f, rate_digits=1).first()
+    assert (r.delay_pct, r.on_time_pct, r.avg_arrival_delay) == (66.7, 33.3, 13.33)
+    assert R.kpis(f, mean_digits=1).first().avg_arrival_delay == 13.3
     assert R.kpis(f).first().delay_pct == 66.67
 
 
-def test_size_verdicts_are_reused_only_for_the_same_files(spark, tmp_path):
+def test_size_checks_are_fresh_and_no_funnel(spark, tmp_path):
     from tierline.operators import joins as J
 
-    a, b = str(tmp_path / "a"), str(tmp_path / "b")
-    spark.range(5).write.parquet(a)
-    spark.range(50).write.parquet(b)
-    calls = []
-    real_limit = spark.read.parquet(a).__class__.limit
-
-    def counting_limit(self, n):
-        calls.append(n)
-        return real_limit(self, n)
-
-    cls = spark.read.parquet(a).__class__
-    cls.limit = counting_limit
+    a = str(tmp_path / "a")
+    spark.range(10).write.parquet(a)
+    assert J.fits_broadcast(spark.read.parquet(a), 50) is True
+    spark.range(1000).write.mode("overwrite").parquet(a)  # the same path with other content
+    assert J.fits_broadcast(spark.read.parquet(a), 50) is False
+    plan = J.dimension_size(spark.read.parquet(a))._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "partial_count" in plan
+    wide = spark.range(20).selectExpr("id", "repeat('x', 100000) as v")
+    spark.conf.set(J.MAX_BYTES_CONF, "1000000")
     try:
-        assert J.fits_broadcast(spark.read.parquet(a), 10) is True
-        assert J.fits_broadcast(spark.read.parquet(a), 10) is True      # same plan and files: reused
-        assert len(calls) == 1
-        assert J.fits_broadcast(spark.read.parquet(b), 10) is False     # other files: counted
-        assert len(calls) == 2
-        spark.conf.set(J.CACHE_CONF, "false")
-        assert J.fits_broadcast(spark.read.parquet(a), 10) is True      # reuse off: counted
-        assert len(calls) == 3
+        assert J.fits_broadcast(wide, 50) is False  # few rows, many bytes
     finally:
-        cls.limit = real_limit
-        spark.conf.unset(J.CACHE_CONF)
+        spark.conf.unset(J.MAX_BYTES_CONF)
+
+
+def test_worst_group_of_nothing_is_not_available(spark, airlines):
+    none = _fact(spark, [(D1, "ZZ", None, "1", "X1", "X2", 1.0, 1.0, 0)])
+    assert [r.airline for r in R.worst_airline(none, airlines).collect()] == ["N/A"]
 
 
 def test_empty_edges(spark):

@@ -76,3 +76,18 @@ def test_hot_key_is_combined_map_side(spark, skewed):
     clean, dim = skewed
     plan = R.airline_leaderboard(T.fact(clean, dim), dim)._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan or "partial_count" in plan
+
+
+def test_boards_past_the_broadcast_bound_join_no_fact_rows(spark):
+    """The fact side of a board is aggregated before any join, so no join meets the hot code's rows."""
+    from tierline.plans.queries import QUERIES
+
+    from .conftest import SF001
+
+    spark.conf.set(MAX_ROWS_CONF, "0")
+    try:
+        for key in ("airline_leaderboard", "top10_airlines", "worst_airline", "kpis"):
+            plan = QUERIES[key](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+            assert "LeftOuter" not in plan and "AIRLINE_NAME" not in plan, key
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)

@@ -62,22 +62,14 @@ def resolve_codes(
     fact_key: str,
     dim_key: str = "IATA_CODE",
     dim_name: str = "AIRLINE",
-    max_codes: int = 1000,
 ) -> DataFrame:
     """Keep fact rows whose dimension *name* is selected.
 
-    The selected names are resolved to codes by Spark.  When a bounded fetch
-    (at most ``max_codes + 1`` codes) proves the selection small, it becomes
-    an ``IN`` filter on the fact key, which reaches the parquet scan and lets
-    row-group statistics skip data; otherwise the selection is a ``left_semi``
-    join to the filtered dimension, so an unbounded set of codes never
-    travels through the driver.  No names means no filter.
+    The selection is a ``left_semi`` join to the filtered dimension, so names and codes are
+    resolved when the query runs and no code travels through the driver.  A dimension
+    that is counted to be small is broadcast.  No names means no filter.
     """
     if not names:
         return fact
     chosen = dim.filter(F.col(dim_name).isin(list(names))).select(F.col(dim_key).alias("_sel_key"))
-    if max_codes > 0:
-        codes = [r["_sel_key"] for r in chosen.distinct().limit(max_codes + 1).collect()]
-        if len(codes) <= max_codes:
-            return fact.filter(F.col(fact_key).isin([c for c in codes if c is not None]))
     return fact.join(maybe_broadcast(chosen), F.col(fact_key) == F.col("_sel_key"), "left_semi")

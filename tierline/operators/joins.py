@@ -1,37 +1,27 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only after a bounded count proves it small.  The
-count reads no columns and stops each partition after ``max_rows + 1`` rows,
-so it costs at most one pass over the *dimension* (row-group metadata for a
-plain parquet scan) and never touches the fact, whatever its size.  Beyond the
-bound the join is left to Spark as a shuffle join, where adaptive execution
-can still switch to a broadcast from measured sizes and split skewed key
-partitions.
-
-The bound is in rows (default 500,000, conf ``tierline.broadcast.maxRows``)
-and applies to the projected dimension, which carries only the key and the
-attributes the join needs; lower it for dimensions with wide rows.
+A dimension is broadcast only after an aggregate proves it small, in rows and in bytes.
+Each task of that aggregate sends one row, so the check is no funnel whatever the size, and it reads
+the *dimension* alone, never the fact.  Nothing is remembered between checks: a file replaced
+in place is counted again.  Beyond the bounds the join is left to Spark as a shuffle join, where
+adaptive execution can still switch to a broadcast from measured sizes and split skewed
+key partitions.
+
+The bounds (500,000 rows, conf ``tierline.broadcast.maxRows``; 64 MB of values, conf
+``tierline.broadcast.maxBytes``) apply to the projected dimension, which carries only the key and the
+attributes the join needs.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Conf key overriding the broadcast bound (rows).
+#: Conf keys overriding the broadcast bounds.
 MAX_ROWS_CONF = "tierline.broadcast.maxRows"
+MAX_BYTES_CONF = "tierline.broadcast.maxBytes"
 DEFAULT_MAX_ROWS = 500_000
-#: Conf key switching off the reuse of size verdicts ("false").
-CACHE_CONF = "tierline.broadcast.reuseChecks"
-
-# Verdicts of past checks, keyed by the dimension's semantic plan hash, its
-# exact input files and the bound.  Parquet files are immutable and a layer
-# refresh writes a new version folder, so the same plan over the same files
-# has the same row count: the proof stays valid while the key matches.
-_VERDICTS: dict[tuple, bool] = {}
-_MAX_VERDICTS = 4096
+DEFAULT_MAX_BYTES = 64 << 20
 
 
 def broadcast_bound(df: DataFrame) -> int:
@@ -39,26 +29,29 @@ def broadcast_bound(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_MAX_ROWS
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (a proven size bound).
+def byte_bound(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get(MAX_BYTES_CONF, None)
+    return int(value) if value else DEFAULT_MAX_BYTES
 
-    A verdict is reused for the same plan over the same input files (a
-    dashboard re-running reports, or several queries over one dimension);
-    any change of files or plan runs the count again.
-    """
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values written as text, plus 16 per column."""
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for c in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    return size
+
+
+def dimension_size(dim: DataFrame) -> DataFrame:
+    """One row with the dimension's rows and bytes."""
+    return dim.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(dim)), F.lit(0)).alias("bytes"))
+
+
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``dim`` is counted to stay within both bounds."""
     bound = broadcast_bound(dim) if max_rows is None else max_rows
-    reuse = dim.sparkSession.conf.get(CACHE_CONF, "true") != "false"
-    files = sorted(dim.inputFiles()) if reuse else []
-    # A digest of the file list keeps the key small for dimensions with many files.
-    key = (dim.semanticHash(), hashlib.sha256("\n".join(files).encode()).hexdigest(), bound)
-    if reuse and files and key in _VERDICTS:
-        return _VERDICTS[key]
-    verdict = dim.limit(bound + 1).count() <= bound
-    if reuse and files:
-        if len(_VERDICTS) >= _MAX_VERDICTS:
-            _VERDICTS.clear()
-        _VERDICTS[key] = verdict
-    return verdict
+    size = dimension_size(dim).first()
+    return size["rows"] <= bound and size["bytes"] <= byte_bound(dim)
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -76,16 +69,17 @@ def join_dimension(
     return fact.join(maybe_broadcast(dim, max_rows), on, how)
 
 
-def profile_dimension(dim: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[int, int]:
-    """(rows, keys that repeat) of a dimension in one aggregate job.
+def profile_dimension(dim: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[int, int, int]:
+    """(rows, keys that repeat, bytes) of a dimension in one aggregate job.
 
     Serves both checks a dimension join needs: the key must be unique (else
     the join fans out) and the row count bounds the broadcast.  Partial
     aggregation by key keeps a repeated hot key cheap.
     """
-    per_key = dim.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"))
+    per_key = dim.groupBy(*key).agg(F.count(F.lit(1)).alias("_copies"), F.sum(row_bytes(dim)).alias("_bytes"))
     row = per_key.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
         F.count_if(F.col("_copies") > 1).alias("repeated"),
+        F.coalesce(F.sum("_bytes"), F.lit(0)).alias("bytes"),
     ).first()
-    return int(row["rows"]), int(row["repeated"])
+    return int(row["rows"]), int(row["repeated"]), int(row["bytes"])

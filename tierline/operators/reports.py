@@ -70,19 +70,19 @@ def _join_states(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, a
 
 # -- headline KPIs -----------------------------------------------------------
 
-def kpis(fact: DataFrame, digits: int = 2) -> DataFrame:
+def kpis(fact: DataFrame, mean_digits: int = 2, rate_digits: int = 2) -> DataFrame:
     """Total, mean delays, delay and cancel rates, on-time rate.
 
-    ``digits`` is the rounding of every measure: 2 as the report SQL states;
-    1 reproduces an engine that divides in one-decimal fixed point.
+    Both roundings are 2 as the report SQL states; ``rate_digits=1`` reproduces an engine
+    that divides in one-decimal fixed point, which touches the rates alone.
     """
     return fact.agg(
         M.row_count().alias("total_flights"),
-        M.mean("ARRIVAL_DELAY", digits).alias("avg_arrival_delay"),
-        M.mean("DEPARTURE_DELAY", digits).alias("avg_departure_delay"),
-        M.rate_pct(M.delayed(), digits).alias("delay_pct"),
-        M.rate_pct(M.cancelled(), digits).alias("cancel_pct"),
-    ).withColumn("on_time_pct", F.round(F.lit(100.0) - F.col("delay_pct"), digits))
+        M.mean("ARRIVAL_DELAY", mean_digits).alias("avg_arrival_delay"),
+        M.mean("DEPARTURE_DELAY", mean_digits).alias("avg_departure_delay"),
+        M.rate_pct(M.delayed(), rate_digits).alias("delay_pct"),
+        M.rate_pct(M.cancelled(), rate_digits).alias("cancel_pct"),
+    ).withColumn("on_time_pct", F.round(F.lit(100.0) - F.col("delay_pct"), rate_digits))
 
 
 # -- grouped leaderboards ----------------------------------------------------
@@ -95,7 +95,8 @@ def leaderboard(
     by: Sequence[str],
     count_name: str,
     order: str,
-    digits: int = 2,
+    mean_digits: int = 2,
+    rate_digits: int = 2,
 ) -> DataFrame:
     """Counts, rounded mean arrival delay and delay rate per dimension attribute(s).
 
@@ -105,23 +106,23 @@ def leaderboard(
     joined = _join_states(fact, fact_key, dim, dim_key, by)
     out = joined.groupBy(*_lower(by)).agg(
         F.sum("_rows").alias(count_name),
-        finish_mean("_arr_sum", "_arr_n", digits).alias("avg_arrival_delay"),
-        finish_rate(digits=digits).alias("delay_pct"),
+        finish_mean("_arr_sum", "_arr_n", mean_digits).alias("avg_arrival_delay"),
+        finish_rate(digits=rate_digits).alias("delay_pct"),
     )
     keys = [c.lower() for c in by]
     return out.orderBy(F.desc_nulls_last(order), *[F.asc_nulls_last(k) for k in keys])
 
 
-def airline_leaderboard(fact: DataFrame, airlines: DataFrame, digits: int = 2) -> DataFrame:
+def airline_leaderboard(fact: DataFrame, airlines: DataFrame, mean_digits: int = 2, rate_digits: int = 2) -> DataFrame:
     return leaderboard(
-        fact, airlines, "AIRLINE_CODE", "IATA_CODE", ["AIRLINE"], "num_flights", "avg_arrival_delay", digits
+        fact, airlines, "AIRLINE_CODE", "IATA_CODE", ["AIRLINE"], "num_flights", "avg_arrival_delay", mean_digits, rate_digits
     )
 
 
-def airport_leaderboard(fact: DataFrame, airports: DataFrame, digits: int = 2) -> DataFrame:
+def airport_leaderboard(fact: DataFrame, airports: DataFrame, mean_digits: int = 2, rate_digits: int = 2) -> DataFrame:
     return leaderboard(
         fact, airports, "ORIGIN_AIRPORT", "IATA_CODE", ["AIRPORT", "CITY", "STATE"], "num_departures", "delay_pct",
-        digits,
+        mean_digits, rate_digits,
     )
 
 
@@ -135,27 +136,29 @@ def airport_label(name: str = "airport", state: str = "state", width: int = 35)
     return F.concat(F.substring(F.col(name), 1, width), F.lit(" ("), F.col(state), F.lit(")"))
 
 
-def top10_airports(fact: DataFrame, airports: DataFrame, n: int = 10, digits: int = 2) -> DataFrame:
-    return top_n(airport_leaderboard(fact, airports, digits), n).withColumn("label", airport_label())
+def top10_airports(fact: DataFrame, airports: DataFrame, n: int = 10, mean_digits: int = 2, rate_digits: int = 2) -> DataFrame:
+    return top_n(airport_leaderboard(fact, airports, mean_digits, rate_digits), n).withColumn("label", airport_label())
 
 
 def worst_group(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, name: str) -> DataFrame:
     """Group with the highest *unrounded* mean arrival delay.
 
-    Ties are broken by name; no row when nothing joins.
+    Ties are broken by name; ``N/A`` when nothing joins.
     """
     joined = _join_states(fact, fact_key, dim, dim_key, [name])
     per = joined.groupBy(F.col(name).alias(name.lower())).agg(
         finish_mean("_arr_sum", "_arr_n", digits=None).alias("_mean")
     )
-    return per.orderBy(F.desc_nulls_last("_mean"), F.asc_nulls_last(name.lower())).limit(1).select(name.lower())
+    best = per.orderBy(F.desc_nulls_last("_mean"), F.asc_nulls_last(name.lower())).limit(1)
+    # One row in any case: a global aggregate over the single best group.
+    return best.agg(F.coalesce(F.first(name.lower()), F.lit("N/A")).alias(name.lower()))
 
 
 def worst_airline(fact: DataFrame, airlines: DataFrame) -> DataFrame:
     return worst_group(fact, airlines, "AIRLINE_CODE", "IATA_CODE", "AIRLINE")
 
 
-def map_points(fact: DataFrame, airports: DataFrame, digits: int = 2) -> DataFrame:
+def map_points(fact: DataFrame, airports: DataFrame, mean_digits: int = 2, rate_digits: int = 2) -> DataFrame:
     """Per origin airport with its coordinates, unordered.
 
     Null coordinates are ordinary group values.
@@ -164,8 +167,8 @@ def map_points(fact: DataFrame, airports: DataFrame, digits: int = 2) -> DataFra
     joined = _join_states(fact, "ORIGIN_AIRPORT", airports, "IATA_CODE", attrs)
     return joined.groupBy(*_lower(attrs)).agg(
         F.sum("_rows").alias("num_departures"),
-        finish_mean("_arr_sum", "_arr_n", digits).alias("avg_arrival_delay"),
-        finish_rate(digits=digits).alias("delay_pct"),
+        finish_mean("_arr_sum", "_arr_n", mean_digits).alias("avg_arrival_delay"),
+        finish_rate(digits=rate_digits).alias("delay_pct"),
     )
 
 
@@ -248,7 +251,7 @@ def dashboard(
     Selected airline and airport *names* narrow the trend only, through
     ``left_semi`` joins to the filtered dimensions; the date range applies to
     the trend too.  Everything else is unfiltered, as on the dashboard.
-    Nothing is collected here.
+    No table data is collected; the size checks of the dimensions run while plans are built.
     """
     from ..functions.filters import FactFilter, resolve_codes
 

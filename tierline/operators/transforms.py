@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import compose_date
 from ..schemas import DATE_PARTS, DELAY_COLUMNS, FACT_COLUMNS
-from .joins import broadcast_bound, maybe_broadcast, profile_dimension
+from .joins import broadcast_bound, byte_bound, maybe_broadcast, profile_dimension
 
 
 def with_flight_date(raw: DataFrame, name: str = "FLIGHT_DATE", strict: bool = False) -> DataFrame:
@@ -57,11 +57,11 @@ def enrich(
     )
     if check_unique:
         # One job gives both the uniqueness verdict and the broadcast bound.
-        rows, repeated = profile_dimension(dim, ["_DIM_CODE"])
+        rows, repeated, size = profile_dimension(dim, ["_DIM_CODE"])
         if repeated:
             raise ValueError(f"airlines: key ('IATA_CODE',) is not unique ({repeated} codes repeat)")
         bound = broadcast_bound(dim) if max_broadcast_rows is None else max_broadcast_rows
-        dim_side = F.broadcast(dim) if rows <= bound else dim
+        dim_side = F.broadcast(dim) if rows <= bound and size <= byte_bound(dim) else dim
     else:
         dim_side = maybe_broadcast(dim, max_broadcast_rows)
     flights = clean_df.withColumnRenamed("AIRLINE", "AIRLINE_CODE")
@@ -74,6 +74,15 @@ def build_fact(enriched: DataFrame) -> DataFrame:
     return enriched.select(*FACT_COLUMNS)
 
 
+def fact_measures(clean_df: DataFrame) -> DataFrame:
+    """The fact's own columns, for reports that do not read the dimension's name.
+
+    The dimension key is unique, so the left join neither adds nor drops rows, and
+    a report without the name needs no join.
+    """
+    return clean_df.withColumnRenamed("AIRLINE", "AIRLINE_CODE").select(*[c for c in FACT_COLUMNS if c != "AIRLINE_NAME"])
+
+
 def fact(clean_df: DataFrame, airlines: DataFrame, check_unique: bool = True) -> DataFrame:
     """Clean layer to fact layer (L3)."""
     return build_fact(enrich(clean_df, airlines, check_unique=check_unique))
