@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tierline.plans.oracle import ORACLE_SQL
+from tierline.plans.queries import QUERIES
 
 from .conftest import SF001
 
@@ -34,17 +36,16 @@ def con():
     return c
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    from tierline.plans.queries import ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(ORACLE_SQL) == set(QUERIES) <= set(E.queries())
+    assert set(ORACLE_SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
-    assert set(E.oracle_sql()) | ROWS_ONLY == set(E.queries())
 
-
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF001)
+    df = QUERIES[key](spark, SF001)
     got = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(ORACLE_SQL[key])
     want = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, got) == _rows(rel.columns, want)
@@ -69,12 +70,12 @@ def test_results_do_not_depend_on_join_strategy(spark, con, key):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        df = E.queries()[key](spark, SF001)
+        df = QUERIES[key](spark, SF001)
         got = [tuple(r) for r in df.collect()]
         plan = df._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in saved.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "BroadcastHashJoin" not in plan
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(ORACLE_SQL[key])
     assert _rows(df.columns, got) == _rows(rel.columns, rel.fetchall())

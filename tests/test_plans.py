@@ -2,7 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as E
+from tierline.plans.oracle import ORACLE_SQL
+from tierline.plans.queries import QUERIES
 
 from .conftest import SF001
 
@@ -19,7 +20,7 @@ def _final_plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def q():
-    return E.queries()
+    return QUERIES
 
 
 def test_cause_report_scans_lineitem_once(spark, q):
@@ -69,7 +70,7 @@ def test_only_top_k_queries_cap_rows(spark, q):
         plan = _plan(fn(spark, SF001))
         capped = any(node in plan for node in ("GlobalLimit", "CollectLimit", "TakeOrderedAndProject", "Sample"))
         assert capped == (name in LIMITED), name
-    for name, sql in E.oracle_sql().items():
+    for name, sql in ORACLE_SQL.items():
         assert ("LIMIT" in sql.upper()) == (name in LIMITED), name
 
 

@@ -11,7 +11,6 @@ DataFrame operators over the fact and its dimensions.
     operators   transforms, joins, quality checks, reports
     sources     CSV sources, layer tables, catalog, test view
     plans       pipeline stages, registered queries, SQL oracle
-    streaming   empty: the source system has no streams
 """
 
 __version__ = "0.1.0"

@@ -9,17 +9,33 @@ decimal.
 
 from __future__ import annotations
 
-from ..schemas import CAUSES, DATE_PARTS, FACT_COLUMNS, FLIGHTS_SCHEMA
-from .queries import (
-    TREND_AIRLINE_NAMES,
-    TREND_AIRLINES,
-    TREND_AIRPORT_NAMES,
-    TREND_AIRPORTS,
-    TREND_FROM,
-    TREND_TO,
+# Fixed values, written out here so that a mistake in the engine's own constants shows.
+_TYPES = {
+    "INTEGER": "YEAR MONTH DAY DAY_OF_WEEK DIVERTED CANCELLED",
+    "VARCHAR": "AIRLINE FLIGHT_NUMBER TAIL_NUMBER ORIGIN_AIRPORT DESTINATION_AIRPORT SCHEDULED_DEPARTURE DEPARTURE_TIME "
+    "WHEELS_OFF WHEELS_ON SCHEDULED_ARRIVAL ARRIVAL_TIME CANCELLATION_REASON",
+    "DOUBLE": "DEPARTURE_DELAY TAXI_OUT SCHEDULED_TIME ELAPSED_TIME AIR_TIME DISTANCE TAXI_IN ARRIVAL_DELAY AIR_SYSTEM_DELAY "
+    "SECURITY_DELAY AIRLINE_DELAY LATE_AIRCRAFT_DELAY WEATHER_DELAY",
+}
+_TYPE_OF = {c: t for t, names in _TYPES.items() for c in names.split()}
+DATE_PARTS = ("YEAR", "MONTH", "DAY")
+FACT_COLUMNS = (
+    "FLIGHT_DATE", "AIRLINE_CODE", "AIRLINE_NAME", "FLIGHT_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT",
+    "DEPARTURE_DELAY", "ARRIVAL_DELAY", "CANCELLED",
+)
+CAUSES = (
+    ("Airline Delay", "AIRLINE_DELAY"),
+    ("Weather Delay", "WEATHER_DELAY"),
+    ("NAS Delay", "AIR_SYSTEM_DELAY"),
+    ("Late Aircraft Delay", "LATE_AIRCRAFT_DELAY"),
+    ("Security Delay", "SECURITY_DELAY"),
 )
-
-_SQL_TYPE = {"IntegerType": "INTEGER", "StringType": "VARCHAR", "DoubleType": "DOUBLE", "DateType": "DATE"}
+TREND_AIRLINES = ("1", "2", "3")
+TREND_AIRPORTS = ("3", "15", "16", "20", "21")
+TREND_FROM = "1996-02-10"
+TREND_TO = "1999-12-31"
+TREND_AIRLINE_NAMES = ("Supplier#000000001", "Supplier#000000002", "Supplier#000000003")
+TREND_AIRPORT_NAMES = ("NATION_3", "NATION_15", "NATION_16", "NATION_20", "NATION_21")
 
 
 def _r2(x: str) -> str:
@@ -70,8 +86,7 @@ _RAW_EXPR = {
 }
 
 _RAW_SELECT = ",\n    ".join(
-    f'CAST({_RAW_EXPR[f.name]} AS {_SQL_TYPE[type(f.dataType).__name__]}) AS "{f.name}"'
-    for f in FLIGHTS_SCHEMA.fields
+    f'CAST({expr} AS {_TYPE_OF[name]}) AS "{name}"' for name, expr in _RAW_EXPR.items()
 )
 
 _DATE_TEXT = (
@@ -91,7 +106,7 @@ def _silver_col(name: str) -> str:
 
 
 _SILVER_SELECT = ",\n    ".join(
-    [_silver_col(f.name) for f in FLIGHTS_SCHEMA.fields if f.name not in DATE_PARTS]
+    [_silver_col(c) for c in _RAW_EXPR if c not in DATE_PARTS]
     + [f'{_FLIGHT_DATE} AS "FLIGHT_DATE"']
 )
 
@@ -209,9 +224,9 @@ ORDER BY pos
 
 def _null_profile() -> str:
     branches = "\n  UNION ALL\n  ".join(
-        f"SELECT '{f.name}' AS column_name, CAST(COUNT(*) - COUNT(\"{f.name}\") AS BIGINT) AS null_count, "
+        f"SELECT '{name}' AS column_name, CAST(COUNT(*) - COUNT(\"{name}\") AS BIGINT) AS null_count, "
         f"COUNT(*) AS n FROM raw_flights"
-        for f in FLIGHTS_SCHEMA.fields
+        for name in _RAW_EXPR
     )
     return f"""
 , counts AS (
@@ -241,6 +256,9 @@ _SQL = {
     + 'CASE WHEN "CANCELLED" = 1 THEN CAST(0 AS DOUBLE) ELSE "ARRIVAL_DELAY" END AS "ARRIVAL_DELAY" FROM raw_flights',
     "silver_flights": "SELECT * FROM silver",
     "gold_fact": "SELECT * FROM gold",
+    "fact_preview": "SELECT * FROM gold ORDER BY " + ", ".join(f'"{c}" ASC NULLS LAST' for c in FACT_COLUMNS) + " LIMIT 5",
+    "csv_quarantine": "SELECT * REPLACE (CASE WHEN CAST(FLIGHT_NUMBER AS BIGINT) % 23 = 0 THEN NULL ELSE TAXI_IN END AS TAXI_IN), "
+    "CAST(FLIGHT_NUMBER AS BIGINT) % 23 = 0 AS malformed FROM raw_flights",
     "invalid_dates": f'SELECT COUNT(*) AS total_rows, {_count_if("FLIGHT_DATE IS NULL")} AS invalid_dates FROM silver',
     "out_of_range": f"SELECT COUNT(*) AS total_rows, {_count_if(_OUT_OF_RANGE)} AS out_of_range FROM silver",
     "clean_metrics": f"SELECT COUNT(*) AS total_rows, {_count_if('FLIGHT_DATE IS NULL')} AS invalid_dates, "

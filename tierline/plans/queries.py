@@ -2,7 +2,8 @@
 
 Each query takes ``(spark, sf_dir)``, derives the flight-shaped layers from
 the given parquet tables (``sources.testview``) and returns a DataFrame; no
-query collects or caps its input.  The layer chain is the same one the
+query caps its input, and what runs while a plan is built are the one-row size checks
+of dimensions.  The layer chain is the same one the
 pipeline writes: raw -> clean -> fact.
 """
 
@@ -17,7 +18,9 @@ from ..functions.filters import FactFilter, resolve_codes as _resolve
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..operators import transforms as T
+from ..schemas import FACT_COLUMNS, FLIGHTS
 from ..sources import testview as V
+from ..sources.csv import CORRUPT, parse_csv
 
 # The filter the dashboard applies in the filtered-trend check.
 TREND_AIRLINES = ("1", "2", "3")
@@ -57,6 +60,10 @@ class Layers:
     def silver(self) -> DataFrame:
         return self._get("silver", lambda: T.clean(self.raw()))
 
+    def measures(self) -> DataFrame:
+        """The fact without the dimension join, for reports that do not read the name."""
+        return self._get("measures", lambda: T.fact_measures(self.silver()))
+
     def gold(self, check_unique: bool = False) -> DataFrame:
         # Reports read the fact as the gold job writes it; the key check
         # itself runs in ``gold_fact`` and in the pipeline.
@@ -138,38 +145,38 @@ def unmatched_codes(L: Layers) -> DataFrame:
 
 def kpis(L: Layers) -> DataFrame:
     """R1, A5-A8, P15."""
-    return R.kpis(L.gold())
+    return R.kpis(L.measures())
 
 
 def worst_airline(L: Layers) -> DataFrame:
     """R2, A17, O4, O5."""
-    return R.worst_airline(L.gold(), L.airlines())
+    return R.worst_airline(L.measures(), L.airlines())
 
 
 def airline_leaderboard(L: Layers) -> DataFrame:
     """R3, J2, A9, O2."""
-    return R.airline_leaderboard(L.gold(), L.airlines())
+    return R.airline_leaderboard(L.measures(), L.airlines())
 
 
 def top10_airlines(L: Layers) -> DataFrame:
     """R3, O6."""
-    return R.top_n(R.airline_leaderboard(L.gold(), L.airlines()), 10)
+    return R.top_n(R.airline_leaderboard(L.measures(), L.airlines()), 10)
 
 
 def trend_monthly(L: Layers) -> DataFrame:
     """Unfiltered, the null month stays."""
-    return R.trend(L.gold(), period="month", departure=False)
+    return R.trend(L.measures(), period="month", departure=False)
 
 
 def trend_filtered(L: Layers) -> DataFrame:
     """R4, P9-P11."""
     flt = FactFilter(TREND_AIRLINES, TREND_AIRPORTS, TREND_FROM, TREND_TO)
-    return R.trend(L.gold(), flt)
+    return R.trend(L.measures(), flt)
 
 
 def resolve_codes(L: Layers) -> DataFrame:
     """The filtered trend selected by airline and airport *names*."""
-    fact = L.gold()
+    fact = L.measures()
     fact = _resolve(fact, L.airlines(), TREND_AIRLINE_NAMES, "AIRLINE_CODE", dim_name="AIRLINE")
     fact = _resolve(fact, L.airports(), TREND_AIRPORT_NAMES, "ORIGIN_AIRPORT", dim_name="AIRPORT")
     return R.trend(fact, FactFilter(date_from=TREND_FROM, date_to=TREND_TO))
@@ -187,22 +194,22 @@ def delay_cause_shares(L: Layers) -> DataFrame:
 
 def airport_leaderboard(L: Layers) -> DataFrame:
     """R7, J3, A10, O2."""
-    return R.airport_leaderboard(L.gold(), L.airports())
+    return R.airport_leaderboard(L.measures(), L.airports())
 
 
 def top10_airports(L: Layers) -> DataFrame:
     """R7, O7, P13."""
-    return R.top10_airports(L.gold(), L.airports())
+    return R.top10_airports(L.measures(), L.airports())
 
 
 def airport_map(L: Layers) -> DataFrame:
     """R8, A11."""
-    return R.map_points(L.gold(), L.airports())
+    return R.map_points(L.measures(), L.airports())
 
 
 def date_bounds(L: Layers) -> DataFrame:
     """R9, A15."""
-    return R.date_bounds(L.gold())
+    return R.date_bounds(L.measures())
 
 
 def dim_airlines(L: Layers) -> DataFrame:
@@ -229,8 +236,20 @@ def layer_counts(L: Layers) -> DataFrame:
 
 
 def fact_preview(L: Layers) -> DataFrame:
-    """Five fact rows, unordered (row count only)."""
-    return Q.preview(L.gold(), 5)
+    """Five fact rows, the first by all columns so that they are the same in every run."""
+    return L.gold().orderBy(*[F.asc_nulls_last(c) for c in FACT_COLUMNS]).limit(5)
+
+
+def csv_quarantine(L: Layers) -> DataFrame:
+    """Every raw row written as CSV, some damaged, parsed under the contract, with its flag.
+
+    Damaged rows have a letter in the numeric TAXI_IN; they keep their other fields.
+    """
+    raw = L.raw()
+    damaged = F.concat(F.lit("x"), F.coalesce(F.col("TAXI_IN").cast("string"), F.lit("")))
+    text = raw.withColumn("TAXI_IN", F.when(F.col("FLIGHT_NUMBER").cast("long") % 23 == 0, damaged).otherwise(F.col("TAXI_IN").cast("string")))
+    parsed = parse_csv(text.select(F.to_csv(F.struct(*raw.columns)).alias("line")), "line", FLIGHTS)
+    return parsed.select(*raw.columns, F.col(CORRUPT).isNotNull().alias("malformed"))
 
 
 _ALL = [
@@ -239,10 +258,7 @@ _ALL = [
     unmatched_codes, kpis, worst_airline, airline_leaderboard, top10_airlines,
     trend_monthly, trend_filtered, resolve_codes, delay_causes, delay_cause_shares,
     airport_leaderboard, top10_airports, airport_map, date_bounds, dim_airlines,
-    dim_airports, layer_counts, fact_preview,
+    dim_airports, layer_counts, fact_preview, csv_quarantine,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in _ALL}
-
-#: Queries whose result is not fixed by SQL (unordered limit): row count only.
-ROWS_ONLY = {"fact_preview"}
