@@ -1,8 +1,11 @@
 """Operators against brute force, over nulls, empty and long texts, ties, repeated rows and extra columns."""
 
 import os
+import random
+import re
 import zlib
 from collections import Counter
+from math import log
 
 import numpy as np
 import pytest
@@ -117,6 +120,32 @@ def test_disclosing_terms_and_redaction(spark):
     assert clean[10]["text"] == lines[10]
 
 
+def test_disclosing_terms_equal_counts_by_hand(spark):
+    rng = random.Random(3)
+    lines = []
+    for _ in range(400):
+        who = rng.randrange(6)
+        near = f"helper{chr(97 + who)}{'abc'[rng.randrange(3)] * 4}" if rng.random() < 0.9 else "common"
+        mail = f"p{who}@x.example" if rng.random() < 0.4 else ""
+        lines.append(" ".join([near, "plain", chr(97 + rng.randrange(26)) * 5, mail]))
+    lines += ["hot text p0@x.example"] * 300  # copies of one line count once
+    df = spark.createDataFrame([("k", "\n".join(lines)), ("l", ""), ("m", "\n".join(lines[:50]))], "key string, text string")
+    different = set(lines) | {""}
+    terms = {x: {w for w in re.findall("[a-z]+", re.sub(r"\S+@\S+", " ", x)) if len(w) > 3} for x in different}
+    everywhere = {x: {w for w in re.findall("[a-z]+", x) if len(w) > 3} for x in different}
+    want, n = {}, len(different)
+    for e in {f"p{i}@x.example" for i in range(6)}:
+        own = [x for x in different if e in x]
+        for t in set().union(*(terms[x] for x in own)):
+            both, of_t = sum(t in terms[x] for x in own), sum(t in everywhere[x] for x in different)
+            if both >= 3:
+                share = log(both * n / (len(own) * of_t)) / log(n / len(own))
+                if share >= 0.3:
+                    want["0:" + e, t] = (round(share, 9), "remove" if share >= 0.5 else "generalise")
+    got = pii.disclosing(df, 3, 0.5, 0.3, 4).collect()
+    assert want and {(r["entity"], r["term"]): (round(r["share"], 9), r["action"]) for r in got} == want
+
+
 def test_copies_of_a_line_disclose_nothing(spark):
     df = spark.createDataFrame([(i, "ask Zyxwv via boss@corp.example") for i in range(30)], "doc_id long, text string")
     assert {r["spans"] for r in pii.report(df).collect()} == {"email:14:31"}

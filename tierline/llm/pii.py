@@ -104,19 +104,19 @@ def disclosing(texts: DataFrame, min_support: int, remove: float, generalise: fl
         values.append(F.when(_gate(i, F.col("line")), F.transform(got, lambda m, i=i: entity(F.lit(i), m))).otherwise(F.array().cast("array<string>")))
         rest = F.regexp_replace(rest, p, " ")
     some = _gate(0, F.col("line")) | _gate(1, F.col("line")) | _gate(2, F.col("line")) | _gate(3, F.col("line"))
-    held = lines.where(some).distinct().select(F.xxhash64("line").alias("h"), rest.alias("rest"), F.explode(F.array_distinct(F.concat(*values))).alias("entity"))
+    held = lines.where(some).distinct().select(rest.alias("rest"), F.explode(F.array_distinct(F.concat(*values))).alias("entity"))
     held = materialize(held, "entity-lines")
-    frequent = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_support)
-    pairs = held.join(frequent, "entity").select("entity", "n_entity", F.explode(_terms(F.col("rest"), min_length)).alias("term"))
-    pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
-    pairs = materialize(pairs, "pairs")
-    wanted = small_side(materialize(pairs.select("term").distinct(), "terms"))
-    seen = lines.select(F.xxhash64("line").alias("h"), F.explode(_terms(F.col("line"), min_length)).alias("term")).join(wanted, "term")
-    n_term = seen.groupBy("term").agg(F.countDistinct("h").alias("n_term"))
-    total = lines.agg(F.approx_count_distinct(F.xxhash64("line"), 0.01).alias("n"))
-    n = total.first()["n"] or 1
+    n_entity = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= min_support)
+    # Counted before the join, so that an entity on very many lines is no single task.
+    pairs = held.select("entity", F.explode(_terms(F.col("rest"), min_length)).alias("term")).groupBy("entity", "term")
+    pairs = pairs.agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support).join(n_entity, "entity")
+    # Distinct lines are dealt out once; of their terms only counts are.  The empty term counts the lines.
+    terms = F.array_append(_terms(F.col("line"), min_length), F.lit(""))
+    n_term = lines.distinct().select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    n_term = materialize(n_term, "term-lines")
+    n = n_term.where("term = ''").agg(F.max("n_term").alias("n")).first()["n"] or 1
     both, e, t = F.col("n_both"), F.col("n_entity"), F.col("n_term")
-    # The count of lines is an estimate, so it may fall below an exact one.
+    # Above both counts, so that no logarithm below the line is zero.
     size = F.greatest(F.lit(float(n)), e + 1.0, t + 1.0)
     share = F.log(both * size / (e * t)) / F.log(size / e)
     action = F.when(F.col("share") >= remove, "remove").when(F.col("share") >= generalise, "generalise")
