@@ -56,6 +56,40 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
 
+def _candidates(lines: DataFrame, idf: dict[str, float], rare: float, threshold: float) -> DataFrame:
+    """``(key, at, n, norm, terms)`` of the lines that can reach ``threshold``, without a shuffle.
+
+    A template is a unit vector over the vocabulary, so a line's cosine is at most the norm of its
+    vocabulary part divided by its whole norm.  Lines below that bound are out; ``terms`` holds the
+    others' ``(word, x)`` inside the vocabulary.
+    """
+    known = F.create_map(*[F.lit(x) for w in VOCABULARY for x in (w, idf[w])])
+    # A value bound to a lambda's variable is computed once, however often the body names it.
+    bound = lambda value, body: F.get(F.transform(F.array(value), body), 0)
+    square = lambda terms: F.aggregate(terms, F.lit(0.0), lambda a, t: a + t["x"] * t["x"])
+
+    def terms(inside: Column) -> Column:
+        count = lambda w: F.size(F.filter(inside, lambda x: x == w))
+        return F.transform(F.array_distinct(inside), lambda w: F.struct(w.alias("word"), (count(w) * F.try_element_at(known, w)).alias("x")))
+
+    def squares(outside: Column) -> Column:
+        """Sum of squared counts of words: the k-th of a run of equal words adds 2k - 1."""
+        start = F.struct(F.lit("").alias("word"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("sum"))
+        run = lambda a, w: F.when(a["word"] == w, a["run"] + 1).otherwise(F.lit(1).cast("long"))
+        step = lambda a, w: F.struct(w.alias("word"), run(a, w).alias("run"), (a["sum"] + 2 * run(a, w) - 1).alias("sum"))
+        return F.aggregate(F.array_sort(outside), start, step, lambda a: a["sum"])
+
+    def vector(w: Column) -> Column:
+        own = bound(F.filter(w, lambda x: x.isin(VOCABULARY)), terms)
+        others = squares(F.filter(w, lambda x: ~x.isin(VOCABULARY))) * F.lit(rare * rare)
+        parts = F.struct(F.size(w).alias("n"), own.alias("terms"), others.alias("others"))
+        return bound(parts, lambda p: F.struct(p["n"].alias("n"), F.sqrt(square(p["terms"]) + p["others"]).alias("norm"), p["terms"].alias("terms")))
+
+    able = lambda v: F.sqrt(square(v["terms"])) >= (threshold - 1e-6) * v["norm"]
+    some = lines.where(F.arrays_overlap("w", F.array(*map(F.lit, ANCHORS))))
+    return some.select("key", "at", F.inline(F.filter(F.transform(F.array("w"), vector), able)))
+
+
 def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", threshold: float = 0.7, file_share: float = 0.5) -> DataFrame:
     """``(doc_id, path, license, similarity, origin, source_path)``, one row per input row.
 
@@ -83,14 +117,10 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
         norm = sum((n * idf[w]) ** 2 for w, n in tf.items()) ** 0.5
         weights += [(i, name, w, n * idf[w] / norm) for w, n in sorted(tf.items())]
     template = F.broadcast(spark.createDataFrame(weights, "template int, license string, word string, weight double"))
-    known = F.create_map(*[F.lit(x) for w in VOCABULARY for x in (w, idf[w])])
-
-    near = lines.where(F.arrays_overlap("w", F.array(*map(F.lit, ANCHORS)))).select("key", "at", F.size("w").alias("n"), "w").distinct()
-    near = near.select("key", "at", "n", F.explode("w").alias("word")).groupBy("key", "at", "n", "word").agg(F.count("*").alias("tf"))
-    near = near.withColumn("x", F.col("tf") * F.coalesce(F.try_element_at(known, F.col("word")), F.lit(_idf(total, 0))))
-    norms = near.groupBy("key", "at").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = near.join(template, "word").groupBy("key", "at", "n", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    like = dots.join(norms, ["key", "at"]).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= threshold)
+    near = _candidates(lines, idf, _idf(total, 0), threshold).distinct()
+    near = near.select("key", "at", "n", "norm", F.inline("terms"))
+    dots = near.join(template, "word").groupBy("key", "at", "n", "norm", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    like = dots.withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= threshold)
     best = like.groupBy("key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license", "n")).alias("b"))
     best = materialize(best.select("key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("similarity"), "b.n"), "own")
 
