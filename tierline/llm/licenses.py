@@ -15,7 +15,7 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import materialize, row_key, small_side
 
 # Licence statements as projects write them, by SPDX id.
 TEMPLATES = (
@@ -136,7 +136,9 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     folders = placed.where("folder is not null").select("folder").distinct().select("folder", F.explode(F.array_distinct(prefixes)).alias("ancestor"))
     nearest = folders.join(licence_files, "ancestor").groupBy("folder")
     nearest = nearest.agg(F.max(F.struct(F.length("ancestor").alias("depth"), "source_path", "from_license", "from_similarity")).alias("f"))
-    out = placed.join(nearest.select("folder", "f.*"), "folder", "left")
+    # One row per folder; a folder may hold very many documents.
+    nearest = small_side(materialize(nearest.select("folder", "f.*"), "nearest"))
+    out = placed.join(nearest, "folder", "left")
     own = F.col("license").isNotNull()
     return out.select(
         "doc_id",
