@@ -252,3 +252,30 @@ def test_licenses(spark):
         (6, None, None, None), (7, None, None, None), (8, "MIT", "inherited", "a/LICENSE"), (9, None, None, None),
     ])
     assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_licence_cosines_equal_counts_by_hand(spark):
+    rng = random.Random(11)
+    words = licenses.VOCABULARY + [f"other{i}" for i in range(30)]
+    lines = [" ".join(rng.choices(words, k=rng.randrange(1, 14))) for _ in range(60)] + ["", "license " * 3000, "word " * 3000 + "license"]
+    for _, text in licenses.TEMPLATES:  # statements with other words between
+        lines += [" ".join([*licenses._split(text), *rng.choices(words, k=k), *["again"] * (k // 3)]) for k in range(8)]
+    n, idf = len(lines), {}
+    for w in {w for x in lines for w in licenses._split(x)} | set(licenses.VOCABULARY):
+        idf[w] = licenses._idf(n, sum(w in licenses._split(x) for x in lines) if w in licenses.VOCABULARY else 0)
+
+    def unit(text):
+        x = {w: c * idf[w] for w, c in Counter(licenses._split(text)).items()}
+        norm = sum(v * v for v in x.values()) ** 0.5
+        return {w: v / norm for w, v in x.items()}
+
+    vectors = [(name, unit(t)) for name, t in licenses.TEMPLATES]
+    want = {}
+    for i, x in enumerate(map(unit, lines)):
+        like = [(-round(sum(v * t.get(w, 0) for w, v in x.items()), 6), name) for name, t in vectors]
+        if any(w in licenses.ANCHORS for w in x) and -min(like)[0] >= 0.7:
+            want[i] = (min(like)[1], -min(like)[0])
+    df = spark.createDataFrame([(i, None, x) for i, x in enumerate(lines)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["license"], r["similarity"]) for r in licenses.scan(df).collect() if r["license"]}
+    assert got.keys() == want.keys() and len(want) > 40
+    assert all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 3e-6 for i in want)
