@@ -38,6 +38,7 @@ class Params:
     min_chi2: float = 40.0  # far beyond chance for millions of candidate features
     min_lift: float = 4.0
     k: int = 15
+    rows_per_task: int = 50_000  # searches of one task; vectors are too small to be dealt out by bytes
 
 
 def term_features(word: str) -> list[str]:
@@ -272,6 +273,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
             ]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "key", "score", "neighbours", "similarities"])
 
-    out = vecs.mapInArrow(run, "doc_id long, key string, score double, neighbours array<long>, similarities array<double>")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_docs // params.rows_per_task))
+    out = vecs.repartition(tasks).mapInArrow(run, "doc_id long, key string, score double, neighbours array<long>, similarities array<double>")
     held = F.coalesce(~is_training(F.col("doc_id")), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "neighbours", "similarities", "key")
