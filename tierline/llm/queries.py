@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import decontaminate, html_extract, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
 from .common import documents
 from .html_labels import LABELLED
+from .oracle import ORACLE_SQL as ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,5 +88,3 @@ QUERIES: dict[str, Query] = {
         op10_phrase_dedup,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
