@@ -6,6 +6,7 @@ import duckdb
 import pyarrow as pa
 
 from tests.llm import brute
+from tierline.llm import quality_rules
 from tierline.llm.oracle import ORACLE_SQL
 from tierline.llm.queries import QUERIES
 
@@ -38,3 +39,13 @@ def test_phrase_dedup_sql(rows):
     got = _rows(ORACLE_SQL["op10_phrase_dedup"], documents=_documents(known))
     found = brute.repeats([r[:2] for r in known])
     assert got == Counter((i, *found[i]) for i, *_ in known)
+
+
+def test_quality_sql(docs, rows):
+    got = _rows(ORACLE_SQL["op4_quality_rules"], documents=_documents(rows))
+    cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    assert got == Counter(map(tuple, quality_rules.quality(docs).select(*cols).collect()))
+    base = Counter()
+    for k, n in got.items():
+        base[k[:-1]] += n
+    assert base == Counter((i, *brute.quality(t)) for i, t, *_ in rows)

@@ -6,6 +6,49 @@ from string import ascii_lowercase, ascii_uppercase
 
 _ITEM_WORDS = rf"regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: The cascade keeps what no rule rejects, in whatever order the rules ran.
+OP4 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sizes AS (
+  SELECT r, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS letters,
+    length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS capitals,
+    len(list_filter(string_split_regex(t, '[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'),
+      lambda x: regexp_matches(x, '[\p{L}\p{Nl}\p{No}]'))) AS worded,
+    len(list_distinct(w)) AS kinds
+  FROM docs
+),
+lines AS (
+  SELECT r, count(*) AS n_lines, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs) AS x
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r
+),
+places AS (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM docs WHERE len(w) >= 5),
+runs AS (SELECT r, i, array_to_string(list_slice(w, i, i + 4), ' ') AS run FROM places),
+twice AS (SELECT r, run FROM runs GROUP BY r, run HAVING count(*) > 1),
+repeats AS (
+  SELECT r, count(DISTINCT word) AS n_repeat_words
+  FROM (SELECT r, unnest(generate_series(i, i + 4)) AS word FROM runs JOIN twice USING (r, run)) AS x GROUP BY r
+),
+facts AS (
+  SELECT doc_id, n_words, word_chars, n_symbols, letters, capitals, worded, kinds, coalesce(n_lines, 0) AS n_lines,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM docs JOIN sizes USING (r) LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM facts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > 3 * n_words OR word_chars < 2 * n_words OR word_chars > 25 * n_words
+    OR 2 * n_dup_lines > n_lines OR 10 * worded < 6 * n_words OR (2 * capitals > letters AND letters > 0)
+    OR (n_words >= 50 AND 20 * kinds < n_words)) AS kept
+FROM judged
+"""
+
 #: All runs of each window's size in the documents meet the windows by their words.
 OP5 = f"""
 WITH docs AS (
@@ -68,4 +111,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM docs LEFT JOIN kept USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_decontamination": OP5, "op10_phrase_dedup": OP10}
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4, "op5_decontamination": OP5, "op10_phrase_dedup": OP10}
