@@ -254,6 +254,55 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_licence_texts_and_headers(spark):
+    from tierline.llm.license_texts import HEADERS, TEXTS
+
+    bag = lambda items, name: [w for w, n in dict(items)[name].items() for _ in range(n)]
+    wrap = lambda w, start="": "\n".join(start + " ".join(w[i : i + 9]) for i in range(0, len(w), 9))
+    plain = [(100 + i, f"other/f{i}.txt", f"the story of a town and number{i} in it " * 9) for i in range(40)]
+    files = [
+        (1, "a/LICENSE", MIT_TEXT), (2, "a/b/x.py", "code"),
+        (3, "c/notes.txt", MIT_TEXT.replace("\n", " ")), (4, "c/d/y.py", "code"),  # on one line, any name
+        (5, "e/COPYING", wrap(bag(TEXTS, "GPL-3.0"))), (6, "e/z.py", "code"),
+        (7, "g/COPYING", wrap(bag(TEXTS, "AGPL-3.0"))),
+        (8, "h/m.c", wrap(bag(HEADERS, "Apache-2.0"), "# ") + "\nimport os\n" + "value of things\n" * 300), (9, "h/n.c", "code"),
+        (10, "i/LICENSE.txt", "Released under the MIT License.\n" + "history of the house " * 30), (11, "i/o.c", "code"),
+        (12, "j/readme", "Released under the MIT License.\n" + "history of the house " * 30), (13, "j/o.c", "code"),
+        *plain,
+    ]
+    df = spark.createDataFrame(files + files[:2], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["license"], r["origin"]) for r in licenses.scan(df).collect()}
+    assert {k: v for k, v in got.items() if k < 100} == {
+        1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("MIT", "own"), 4: ("MIT", "inherited"), 5: ("GPL-3.0", "own"), 6: ("GPL-3.0", "inherited"),
+        7: ("AGPL-3.0", "own"), 8: ("Apache-2.0", "own"), 9: (None, None), 10: ("MIT", "own"), 11: ("MIT", "inherited"), 12: ("MIT", "own"), 13: (None, None),
+    }
+    assert {v for k, v in got.items() if k >= 100} == {(None, None)}
+
+
 def test_licence_cosines_equal_counts_by_hand(spark):
     rng = random.Random(11)
     words = licenses.VOCABULARY + [f"other{i}" for i in range(30)]

@@ -2,9 +2,11 @@
 
 Lines of documents are compared with licence statements by the cosine of sparse TF-IDF vectors.
 Only words of the statements (a fixed list) have statistics of their own; other words count as rare.
-A document that consists mainly of a licence statement is its folder's licence file, and documents
-without a statement of their own inherit from the nearest ancestor folder that has one, found by joining
-on path prefixes.
+Whole documents and blocks of joined lines (paragraphs and the leading comment) are compared with licence
+texts, file headers and statements as well, there with counts of all words.  A document that is a licence
+text, consists mainly of a statement, or holds one and is named like a licence file, is its folder's licence
+file, and documents without a licence of their own inherit from the nearest ancestor folder that has
+one, found by joining on path prefixes.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, row_key, small_side
+from .license_texts import HEADERS, TEXTS
 
 # Licence statements as projects write them, by SPDX id.
 TEMPLATES = (
@@ -52,6 +55,12 @@ VOCABULARY = sorted({w for _, t in TEMPLATES for w in _split(t)})
 ANCHORS = [w for w in VOCABULARY if w not in PLAIN]
 
 
+#: Names of licence files, whatever follows a dot, dash or underscore.
+FILE_NAME = r"(?i)^(?:(?:un)?licen[cs]es?|copying)(?:[._-][^/]*)?$"
+#: Lines at the start of a text that are comments or empty.
+COMMENT = r"^(?:[ \t]*+(?:#|//|/\*|\*|--|;|%|<!--|\r?\n)[^\n]*+\n?+)++"
+
+
 def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
@@ -90,12 +99,83 @@ def _candidates(lines: DataFrame, idf: dict[str, float], rare: float, threshold:
     return some.select("key", "at", F.inline(F.filter(F.transform(F.array("w"), vector), able)))
 
 
+def _frequencies(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(word, n)``: rows that hold each of the ``wanted`` words, which come as one column of distinct ones."""
+    held = rows.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    return held.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+
+
+def _block_templates(counts: dict[str, int], total: int) -> list[tuple[int, str, bool, bool, int, str, float]]:
+    """``(template, license, text, joined, size, word, weight)`` of what blocks are compared with."""
+    bags = [(name, True, False, bag) for name, bag in TEXTS] + [(name, False, True, bag) for name, bag in HEADERS]
+    bags += [(name, False, True, {w: _split(t).count(w) for w in _split(t)}) for name, t in TEMPLATES]
+    out = []
+    for i, (name, text, joined, bag) in enumerate(bags):
+        x = {w: n * _idf(total, counts.get(w, 0)) for w, n in sorted(bag.items())}
+        norm = sum(v * v for v in x.values()) ** 0.5
+        out += [(i, name, text, joined, sum(bag.values()), w, v / norm) for w, v in x.items()]
+    return out
+
+
+def _heavy(weights: list[tuple], threshold: float) -> list[str]:
+    """Words of which a text holds one at least if its cosine with a template reaches ``threshold``.
+
+    The cosine is at most the norm of the part of the template whose words the text holds.
+    """
+    found = set()
+    for i in {x[0] for x in weights}:
+        light = 0.0
+        for *_, w, weight in sorted((x for x in weights if x[0] == i), key=lambda x: x[-1]):
+            light += weight * weight
+            if light >= threshold * threshold - 1e-6:
+                found.add(w)
+    return sorted(found)
+
+
+def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: float) -> DataFrame:
+    """``(key, license, similarity, n, text)`` of whole documents and joined lines that match.
+
+    Licence texts are compared with every block; file headers and statements with blocks of several lines,
+    as single lines are compared by themselves; of such a block ``n`` is at most the length of the statement.
+    ``text`` tells a match with a licence text.
+    """
+    spark = rows.sparkSession
+    weights = _block_templates(counts, total)
+    template = F.broadcast(spark.createDataFrame(weights, "template int, license string, text boolean, joined boolean, size int, word string, weight double"))
+    some = rows.where(F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, _heavy(weights, threshold)))))
+    comment = F.regexp_extract("text", COMMENT, 0)
+    paragraphs = F.filter(F.split("text", r"\n[ \t\r]*+\n"), lambda p: F.contains(p, F.lit("\n")))
+    parts = F.array_distinct(F.concat(F.array(F.col("text"), comment), paragraphs))
+    blocks = some.select("key", F.posexplode(parts).alias("at", "block")).withColumn("w", words(F.col("block")))
+    blocks = blocks.select("key", "at", F.size("w").alias("n"), F.contains(F.rtrim("block"), F.lit("\n")).alias("several"), "w")
+    # A block can only match a template whose words it holds for threshold² of the squared weight.
+    cover = blocks.select("key", "at", "several", F.explode(F.array_distinct("w")).alias("word")).distinct().join(template, "word")
+    cover = cover.where(F.col("several") | ~F.col("joined")).groupBy("key", "at", "template").agg(F.sum(F.col("weight") * F.col("weight")).alias("part"))
+    able = materialize(cover.where(F.col("part") >= threshold * threshold - 1e-6).select("key", "at").distinct(), "able")
+    # Repeated rows multiply all counts of a block, which leaves its cosine.
+    tf = blocks.join(small_side(able), ["key", "at"]).select("key", "at", "n", "several", F.explode("w").alias("word"))
+    tf = materialize(tf.groupBy("key", "at", "n", "several", "word").agg(F.count("*").alias("c")), "block-words")
+    known = spark.createDataFrame([(w, float(_idf(total, counts.get(w, 0)))) for w in BLOCK_WORDS], "word string, idf double")
+    outside = small_side(materialize(tf.select("word").distinct().join(F.broadcast(known), "word", "left_anti"), "outside"))
+    others = _frequencies(rows, outside).select("word", (F.log((1.0 + total) / (1 + F.col("n"))) + 1).alias("idf"))
+    idf = small_side(materialize(known.unionByName(others), "idf"))
+    x = tf.join(idf, "word").select("key", "at", "n", "several", "word", (F.col("c") * F.col("idf")).alias("x"))
+    norm = x.groupBy("key", "at").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = x.join(template, "word").where(F.col("several") | ~F.col("joined")).withColumn("n", F.when(F.col("joined"), F.least("n", "size")).otherwise(F.col("n")))
+    dots = dots.groupBy("key", "at", "n", "license", "template", "text").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    like = dots.join(norm, ["key", "at"]).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
+    return like.where(F.col("similarity") >= threshold).select("key", "license", "similarity", "n", "text")
+
+
+BLOCK_WORDS = sorted({*VOCABULARY, *(w for _, bag in TEXTS + HEADERS for w in bag)})
+
+
 def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", threshold: float = 0.7, file_share: float = 0.5) -> DataFrame:
     """``(doc_id, path, license, similarity, origin, source_path)``, one row per input row.
 
     ``origin`` is ``own``, ``inherited`` or null without a licence.  Of several statements the most
-    similar counts, ties go to the smaller licence name; of several licence files in one folder the most
-    similar, then the smallest path.  Null and empty texts hold no statement; a null path has no
+    similar counts, ties go to the smaller licence name; a document that is a licence text as a whole has that
+    licence.  Of several licence files in one folder the most similar counts, then the smallest path.  Null and empty texts hold no statement; a null path has no
     folder and inherits nothing.  Repeated rows get equal results, an empty table gives no rows,
     further columns are ignored.
     """
@@ -107,8 +187,8 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
     lines = rows.select("key", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("w", words(F.col("line")))
-    seen = rows.select(F.explode(F.array_intersect(words(F.col("text")), F.array(*map(F.lit, VOCABULARY)))).alias("word"))
-    counts = {r["word"]: r["n"] for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}  # one row per fixed word at most
+    fixed = F.broadcast(spark.createDataFrame([(w,) for w in BLOCK_WORDS], "word string"))
+    counts = {r["word"]: r["n"] for r in _frequencies(rows, fixed).collect()}  # one row per fixed word at most
     total = rows.count()
     idf = {w: float(_idf(total, counts.get(w, 0))) for w in VOCABULARY}
     weights = []
@@ -121,14 +201,24 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     near = near.select("key", "at", "n", "norm", F.inline("terms"))
     dots = near.join(template, "word").groupBy("key", "at", "n", "norm", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
     like = dots.withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= threshold)
-    best = like.groupBy("key").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license", "n")).alias("b"))
-    best = materialize(best.select("key", F.col("b.license").alias("license"), (-F.col("b.s")).alias("similarity"), "b.n"), "own")
+    like = like.select("key", "license", "similarity", "n", F.lit(False).alias("text"))
+    like = materialize(like.unionByName(_blocks(rows, counts, total, threshold)), "like")
 
     folder = F.regexp_replace("path", "/?[^/]*$", "")
-    placed = rows.select("key", "doc_id", "path", folder.alias("folder"), F.size(words(F.col("text"))).alias("n_words")).join(best, "key", "left")
+    placed = rows.select("key", "doc_id", "path", folder.alias("folder"), F.size(words(F.col("text"))).alias("n_words"))
     placed = materialize(placed, "placed")
-    is_file = F.col("license").isNotNull() & F.col("path").isNotNull() & (F.col("n") >= file_share * F.col("n_words"))
-    licence_files = placed.where(is_file).groupBy("folder").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "path", "license")).alias("f"))
+    # What a document holds counts for its folder if it fills the document or the document is named so.
+    whole = F.col("n") >= file_share * F.col("n_words")
+    named = F.coalesce(F.regexp_extract("path", "[^/]*$", 0).rlike(FILE_NAME), F.lit(False))
+    rank = F.struct(~(whole & F.col("text")), (-F.col("similarity")).alias("s"), "license")
+    sized = placed.select("key", "path", "n_words").join(small_side(like), "key")
+    best = sized.groupBy("key").agg(F.min(rank).alias("b"), F.min(F.when(whole | named, rank)).alias("f"))
+    best = materialize(best, "own")
+    placed = placed.join(small_side(best), "key", "left")
+    placed = placed.select("key", "doc_id", "path", "folder", "f", F.col("b.license").alias("license"), (-F.col("b.s")).alias("similarity"))
+    is_file = F.col("f").isNotNull() & F.col("path").isNotNull()
+    files_of = placed.where(is_file).select("folder", "path", F.col("f.license").alias("license"), (-F.col("f.s")).alias("similarity"))
+    licence_files = files_of.groupBy("folder").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "path", "license")).alias("f"))
     licence_files = licence_files.select(F.col("folder").alias("ancestor"), F.col("f.path").alias("source_path"), F.col("f.license").alias("from_license"), (-F.col("f.s")).alias("from_similarity"))
     # Every folder is joined with its own prefixes; the deepest one with a licence file is the nearest.
     steps = F.split("folder", "/")
