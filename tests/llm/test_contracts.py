@@ -254,6 +254,17 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+def test_licences_of_fixed_lines_at_growing_sizes(spark):
+    fixed = [(0, "All rights reserved."), (1, "Copyright. All rights reserved."), (2, "Released under the MIT License.")]
+    assert licenses._idf(10**9, 0) == licenses._idf(10**6, 0)
+    for n in (30, 1_000, 30_000):
+        plain = spark.range(10, n).selectExpr("id as doc_id", "concat('all that was reserved by rights', if(id % 3 = 0, '', concat(' word', id))) as text")
+        plain = plain.selectExpr("doc_id", "if(doc_id % 150 = 0, text, 'other words of a town') as text")
+        df = spark.createDataFrame(fixed, "doc_id long, text string").unionByName(plain).selectExpr("*", "cast(null as string) as path")
+        got = {r["doc_id"]: (r["license"], r["similarity"]) for r in licenses.scan(df).where("doc_id < 10").collect()}
+        assert got[0] == ("Proprietary", 1.0) and got[1] == ("Proprietary", 1.0) and got[2] == ("MIT", 1.0), n
+
+
 MIT_TEXT = """MIT License
 
 Copyright (c) 2020 Some Body

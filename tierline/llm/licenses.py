@@ -42,6 +42,7 @@ TEMPLATES = (
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("Proprietary", "Copyright. All rights reserved."),
+    ("Proprietary", "All rights reserved."),
 )
 #: Words too common to make a line a candidate.
 PLAIN = frozenset("the a an of and or to any is in this with that by under it be are you as for may not at 2 3 4 0 1 file work use free met without".split())
@@ -55,6 +56,8 @@ VOCABULARY = sorted({w for _, t in TEMPLATES for w in _split(t)})
 ANCHORS = [w for w in VOCABULARY if w not in PLAIN]
 
 
+#: A word in one of so many documents weighs as much as one in no document of a large corpus.
+ABSENT = 1000
 #: Names of licence files, whatever follows a dot, dash or underscore.
 FILE_NAME = r"(?i)^(?:(?:un)?licen[cs]es?|copying)(?:[._-][^/]*)?$"
 #: Lines at the start of a text that are comments or empty.
@@ -241,4 +244,5 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
 
 
 def _idf(total: int, n: int) -> float:
-    return log((1 + total) / (1 + n)) + 1
+    """Words absent from the corpus weigh at most what a word in one of ``ABSENT`` documents does, however large it is."""
+    return log((1 + total) / (1 + n) if n else min(1 + total, ABSENT)) + 1
