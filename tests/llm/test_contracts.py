@@ -265,6 +265,35 @@ def test_licences_of_fixed_lines_at_growing_sizes(spark):
         assert got[0] == ("Proprietary", 1.0) and got[1] == ("Proprietary", 1.0) and got[2] == ("MIT", 1.0), n
 
 
+def test_licence_cosines_count_all_words(spark):
+    from tierline.llm.license_texts import HEADERS, TEXTS
+
+    rng = random.Random(5)
+    outside = [f"other{i}" for i in range(30)]
+    lines = ["Our code and article: released under the MIT License."] * 3 + ["our code and article", "our article and code"] * 300 + ["some town"] * 500
+    lines += [" ".join(rng.choices(licenses.VOCABULARY + outside, k=rng.randrange(1, 14))) for _ in range(40)]
+    for _, text in licenses.TEMPLATES:
+        lines += [" ".join([*licenses._split(text), *rng.choices(outside + ["our", "code"], k=k)]) for k in range(6)]
+    n, held = len(lines), Counter(w for x in lines for w in set(licenses._split(x)))
+
+    def unit(bag):
+        x = {w: c * licenses._idf(n, held[w]) for w, c in bag.items()}
+        norm = sum(v * v for v in x.values()) ** 0.5
+        return {w: v / norm for w, v in x.items()}
+
+    statements = [(name, unit(Counter(licenses._split(t)))) for name, t in licenses.TEMPLATES] + [(name, unit(b)) for name, b in HEADERS + TEXTS]
+    want = {}
+    for i, x in enumerate(unit(Counter(licenses._split(x))) for x in lines):
+        like = [(-round(sum(v * t.get(w, 0) for w, v in x.items()), 6), name) for name, t in statements]
+        if any(w in licenses.ANCHORS for w in x) and -min(like)[0] >= 0.7:
+            want[i] = (min(like)[1], -min(like)[0])
+    df = spark.createDataFrame([(i, None, x) for i, x in enumerate(lines)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["license"], r["similarity"]) for r in licenses.scan(df, count_outside=True).collect() if r["license"]}
+    assert got.keys() == want.keys() and len(want) > 40 and got[0][0] == "MIT"
+    assert all(got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 3e-6 for i in want)
+    assert 0 not in {r["doc_id"] for r in licenses.scan(df).where("license is not null").collect()}
+
+
 MIT_TEXT = """MIT License
 
 Copyright (c) 2020 Some Body

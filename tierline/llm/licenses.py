@@ -1,9 +1,9 @@
 """Licence scan (DataFrame functions only).
 
 Lines of documents are compared with licence statements by the cosine of sparse TF-IDF vectors.
-Only words of the statements (a fixed list) have statistics of their own; other words count as rare.
 Whole documents and blocks of joined lines (paragraphs and the leading comment) are compared with licence
-texts, file headers and statements as well, there with counts of all words.  A document that is a licence
+texts, file headers and statements as well.  Document frequencies are counted for the templates' words and
+for all words of what may match.  A document that is a licence
 text, consists mainly of a statement, or holds one and is named like a licence file, is its folder's licence
 file, and documents without a licence of their own inherit from the nearest ancestor folder that has
 one, found by joining on path prefixes.
@@ -99,7 +99,7 @@ def _candidates(lines: DataFrame, idf: dict[str, float], rare: float, threshold:
 
     able = lambda v: F.sqrt(square(v["terms"])) >= (threshold - 1e-6) * v["norm"]
     some = lines.where(F.arrays_overlap("w", F.array(*map(F.lit, ANCHORS))))
-    return some.select("key", "at", F.inline(F.filter(F.transform(F.array("w"), vector), able)))
+    return some.select("key", "at", "w", F.inline(F.filter(F.transform(F.array("w"), vector), able)))
 
 
 def _frequencies(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -135,8 +135,8 @@ def _heavy(weights: list[tuple], threshold: float) -> list[str]:
     return sorted(found)
 
 
-def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: float) -> DataFrame:
-    """``(key, license, similarity, n, text)`` of whole documents and joined lines that match.
+def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: float, lines: DataFrame | None = None) -> DataFrame:
+    """``(key, license, similarity, n, text)`` of whole documents, joined lines and given ``lines`` that match.
 
     Licence texts are compared with every block; file headers and statements with blocks of several lines,
     as single lines are compared by themselves; of such a block ``n`` is at most the length of the statement.
@@ -150,21 +150,24 @@ def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: floa
     paragraphs = F.filter(F.split("text", r"\n[ \t\r]*+\n"), lambda p: F.contains(p, F.lit("\n")))
     parts = F.array_distinct(F.concat(F.array(F.col("text"), comment), paragraphs))
     blocks = some.select("key", F.posexplode(parts).alias("at", "block")).withColumn("w", words(F.col("block")))
-    blocks = blocks.select("key", "at", F.size("w").alias("n"), F.contains(F.rtrim("block"), F.lit("\n")).alias("several"), "w")
-    # A block can only match a template whose words it holds for threshold² of the squared weight.
-    cover = blocks.select("key", "at", "several", F.explode(F.array_distinct("w")).alias("word")).distinct().join(template, "word")
+    several = F.contains(F.rtrim("block"), F.lit("\n"))
+    blocks = blocks.select("key", (-1 - F.col("at")).alias("at"), F.size("w").alias("n"), several.alias("several"), F.lit(False).alias("line"), "w")
+    if lines is not None:
+        blocks = blocks.unionByName(lines.select("key", "at", "n", F.lit(True).alias("several"), F.lit(True).alias("line"), "w"))
+    # A block can only match a template whose words it holds for threshold² of the squared weight; repeated rows add up.
+    cover = blocks.select("key", "at", "several", F.explode(F.array_distinct("w")).alias("word")).join(template, "word")
     cover = cover.where(F.col("several") | ~F.col("joined")).groupBy("key", "at", "template").agg(F.sum(F.col("weight") * F.col("weight")).alias("part"))
     able = materialize(cover.where(F.col("part") >= threshold * threshold - 1e-6).select("key", "at").distinct(), "able")
     # Repeated rows multiply all counts of a block, which leaves its cosine.
-    tf = blocks.join(small_side(able), ["key", "at"]).select("key", "at", "n", "several", F.explode("w").alias("word"))
-    tf = materialize(tf.groupBy("key", "at", "n", "several", "word").agg(F.count("*").alias("c")), "block-words")
+    tf = blocks.join(small_side(able), ["key", "at"]).select("key", "at", "n", "several", "line", F.explode("w").alias("word"))
+    tf = materialize(tf.groupBy("key", "at", "n", "several", "line", "word").agg(F.count("*").alias("c")), "block-words")
     known = spark.createDataFrame([(w, float(_idf(total, counts.get(w, 0)))) for w in BLOCK_WORDS], "word string, idf double")
     outside = small_side(materialize(tf.select("word").distinct().join(F.broadcast(known), "word", "left_anti"), "outside"))
     others = _frequencies(rows, outside).select("word", (F.log((1.0 + total) / (1 + F.col("n"))) + 1).alias("idf"))
     idf = small_side(materialize(known.unionByName(others), "idf"))
-    x = tf.join(idf, "word").select("key", "at", "n", "several", "word", (F.col("c") * F.col("idf")).alias("x"))
+    x = tf.join(idf, "word").select("key", "at", "n", "several", "line", "word", (F.col("c") * F.col("idf")).alias("x"))
     norm = x.groupBy("key", "at").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = x.join(template, "word").where(F.col("several") | ~F.col("joined")).withColumn("n", F.when(F.col("joined"), F.least("n", "size")).otherwise(F.col("n")))
+    dots = x.join(template, "word").where(F.col("several") | ~F.col("joined")).withColumn("n", F.when(F.col("joined") & ~F.col("line"), F.least("n", "size")).otherwise(F.col("n")))
     dots = dots.groupBy("key", "at", "n", "license", "template", "text").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
     like = dots.join(norm, ["key", "at"]).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
     return like.where(F.col("similarity") >= threshold).select("key", "license", "similarity", "n", "text")
@@ -173,14 +176,15 @@ def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: floa
 BLOCK_WORDS = sorted({*VOCABULARY, *(w for _, bag in TEXTS + HEADERS for w in bag)})
 
 
-def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", threshold: float = 0.7, file_share: float = 0.5) -> DataFrame:
+def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_col: str = "text", threshold: float = 0.7, file_share: float = 0.5, count_outside: bool = False) -> DataFrame:
     """``(doc_id, path, license, similarity, origin, source_path)``, one row per input row.
 
     ``origin`` is ``own``, ``inherited`` or null without a licence.  Of several statements the most
     similar counts, ties go to the smaller licence name; a document that is a licence text as a whole has that
-    licence.  Of several licence files in one folder the most similar counts, then the smallest path.  Null and empty texts hold no statement; a null path has no
-    folder and inherits nothing.  Repeated rows get equal results, an empty table gives no rows,
-    further columns are ignored.
+    licence.  Of several licence files in one folder the most similar counts, then the smallest path.  Null and
+    empty texts hold no statement; a null path has no folder and inherits nothing.  ``count_outside`` gives
+    the words of lines outside the statements their document frequencies too; without it they count as
+    absent.  Repeated rows get equal results, an empty table gives no rows, further columns are ignored.
     """
     spark = files.sparkSession
     rows = files.select(
@@ -194,18 +198,22 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     counts = {r["word"]: r["n"] for r in _frequencies(rows, fixed).collect()}  # one row per fixed word at most
     total = rows.count()
     idf = {w: float(_idf(total, counts.get(w, 0))) for w in VOCABULARY}
-    weights = []
-    for i, (name, text) in enumerate(TEMPLATES):
-        tf = {w: _split(text).count(w) for w in _split(text)}
-        norm = sum((n * idf[w]) ** 2 for w, n in tf.items()) ** 0.5
-        weights += [(i, name, w, n * idf[w] / norm) for w, n in sorted(tf.items())]
-    template = F.broadcast(spark.createDataFrame(weights, "template int, license string, word string, weight double"))
-    near = _candidates(lines, idf, _idf(total, 0), threshold).distinct()
-    near = near.select("key", "at", "n", "norm", F.inline("terms"))
-    dots = near.join(template, "word").groupBy("key", "at", "n", "norm", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
-    like = dots.withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= threshold)
-    like = like.select("key", "license", "similarity", "n", F.lit(False).alias("text"))
-    like = materialize(like.unionByName(_blocks(rows, counts, total, threshold)), "like")
+    if count_outside:
+        # No word weighs less than 1, so that no line is lost by counting the others as 1 at first.
+        like = _blocks(rows, counts, total, threshold, materialize(_candidates(lines, idf, 1.0, threshold).select("key", "at", "n", "w"), "lines"))
+    else:
+        weights = []
+        for i, (name, text) in enumerate(TEMPLATES):
+            tf = {w: _split(text).count(w) for w in _split(text)}
+            norm = sum((n * idf[w]) ** 2 for w, n in tf.items()) ** 0.5
+            weights += [(i, name, w, n * idf[w] / norm) for w, n in sorted(tf.items())]
+        template = F.broadcast(spark.createDataFrame(weights, "template int, license string, word string, weight double"))
+        near = _candidates(lines, idf, _idf(total, 0), threshold).distinct()
+        near = near.select("key", "at", "n", "norm", F.inline("terms"))
+        dots = near.join(template, "word").groupBy("key", "at", "n", "norm", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+        like = dots.withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6)).where(F.col("similarity") >= threshold)
+        like = like.select("key", "license", "similarity", "n", F.lit(False).alias("text")).unionByName(_blocks(rows, counts, total, threshold))
+    like = materialize(like, "like")
 
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     placed = rows.select("key", "doc_id", "path", folder.alias("folder"), F.size(words(F.col("text"))).alias("n_words"))

@@ -34,7 +34,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents; a document lies in the folder of its source and language."""
     path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return licenses.scan(documents(spark, sf_dir).withColumn("path", path))
+    return licenses.scan(documents(spark, sf_dir).withColumn("path", path), count_outside=True)
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
