@@ -120,15 +120,16 @@ def _block_templates(counts: dict[str, int], total: int) -> list[tuple[int, str,
     return out
 
 
-def _heavy(weights: list[tuple], threshold: float) -> list[str]:
+def _heavy(weights: list[tuple], counts: dict[str, int], threshold: float) -> list[str]:
     """Words of which a text holds one at least if its cosine with a template reaches ``threshold``.
 
-    The cosine is at most the norm of the part of the template whose words the text holds.
+    The cosine is at most the norm of the part of the template whose words the text holds, and the
+    template's commonest words alone fall short.
     """
     found = set()
     for i in {x[0] for x in weights}:
         light = 0.0
-        for *_, w, weight in sorted((x for x in weights if x[0] == i), key=lambda x: x[-1]):
+        for *_, w, weight in sorted((x for x in weights if x[0] == i), key=lambda x: (-counts.get(x[-2], 0), x[-1])):
             light += weight * weight
             if light >= threshold * threshold - 1e-6:
                 found.add(w)
@@ -145,7 +146,7 @@ def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: floa
     spark = rows.sparkSession
     weights = _block_templates(counts, total)
     template = F.broadcast(spark.createDataFrame(weights, "template int, license string, text boolean, joined boolean, size int, word string, weight double"))
-    some = rows.where(F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, _heavy(weights, threshold)))))
+    some = rows.where(F.arrays_overlap(words(F.col("text")), F.array(*map(F.lit, _heavy(weights, counts, threshold)))))
     comment = F.regexp_extract("text", COMMENT, 0)
     paragraphs = F.filter(F.split("text", r"\n[ \t\r]*+\n"), lambda p: F.contains(p, F.lit("\n")))
     parts = F.array_distinct(F.concat(F.array(F.col("text"), comment), paragraphs))
@@ -162,6 +163,12 @@ def _blocks(rows: DataFrame, counts: dict[str, int], total: int, threshold: floa
     tf = blocks.join(small_side(able), ["key", "at"]).select("key", "at", "n", "several", "line", F.explode("w").alias("word"))
     tf = materialize(tf.groupBy("key", "at", "n", "several", "line", "word").agg(F.count("*").alias("c")), "block-words")
     known = spark.createDataFrame([(w, float(_idf(total, counts.get(w, 0)))) for w in BLOCK_WORDS], "word string, idf double")
+    # No word weighs less than 1: blocks that fail with the others at 1 fail anyway, and their words need no count.
+    least = tf.join(F.broadcast(known), "word", "left").withColumn("x", F.col("c") * F.coalesce("idf", F.lit(1.0)))
+    norm = least.groupBy("key", "at").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = least.join(template, "word").groupBy("key", "at", "template").agg(F.sum(F.col("x") * F.col("weight")).alias("dot"))
+    near = dots.join(norm, ["key", "at"]).where(F.col("dot") >= (threshold - 1e-6) * F.col("norm")).select("key", "at").distinct()
+    tf = materialize(tf.join(small_side(materialize(near, "near")), ["key", "at"]), "near-words")
     outside = small_side(materialize(tf.select("word").distinct().join(F.broadcast(known), "word", "left_anti"), "outside"))
     others = _frequencies(rows, outside).select("word", (F.log((1.0 + total) / (1 + F.col("n"))) + 1).alias("idf"))
     idf = small_side(materialize(known.unionByName(others), "idf"))
