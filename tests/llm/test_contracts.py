@@ -146,6 +146,21 @@ def test_disclosing_terms_equal_counts_by_hand(spark):
     assert want and {(r["entity"], r["term"]): (round(r["share"], 9), r["action"]) for r in got} == want
 
 
+def test_terms_on_other_lines_and_of_rare_entities_disclose(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rows = [(i, f"plain talk number{str(i).translate(letters)} about towns") for i in range(300)]
+    rows += [(1000 + i, f"about {w} towns\nZyxwv Qrstu\nboss@corp.example\nplain {w}x talk") for i, w in enumerate(["alpha", "beta"])]
+    rows += [(2000 + i, "plain talk\nUvwxy\nonce@corp.example\nabout") for i in range(30)]  # copies of one text
+    rows += [(3000, "Zyxwv wrote\n" + "plain talk\n" * 60 + "boss@corp.example")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in pii.redact(df).collect()}
+    for i, w in enumerate(["alpha", "beta"]):
+        lines = clean[1000 + i].split("\n")
+        assert lines[0] == f"about {w} towns" and set(lines[1].split()) <= {"[TERM]", "[WORD]"} and lines[2:] == ["[EMAIL]", f"plain {w}x talk"]
+    assert clean[2000] == "plain talk\nUvwxy\n[EMAIL]\nabout" and clean[5] == rows[5][1]
+    assert clean[3000].split()[0] in ("[TERM]", "[WORD]")
+
+
 def test_copies_of_a_line_disclose_nothing(spark):
     df = spark.createDataFrame([(i, "ask Zyxwv via boss@corp.example") for i in range(30)], "doc_id long, text string")
     assert {r["spans"] for r in pii.report(df).collect()} == {"email:14:31"}

@@ -8,6 +8,8 @@ With counts over all documents, a term's pointwise mutual information with an en
 with the entity's own information: the share is 1 if the term never occurs without the entity.  Pairs
 need ``min_support`` different lines, so copies of a line prove nothing.  Terms above ``generalise``
 are to be generalised, above ``remove`` to be removed, in the documents that hold the entity.
+The same is counted over the words around each entity, whatever their lines, with documents of different
+text as contexts; there two contexts that differ are enough, and half a pair is taken off every count.
 """
 
 from __future__ import annotations
@@ -124,6 +126,56 @@ def disclosing(texts: DataFrame, min_support: int, remove: float, generalise: fl
     return out.withColumn("action", action).where("action is not null")
 
 
+#: Words on each side of an entity that are its window, and characters they are looked for in.
+WINDOW, REACH = 20, 400
+
+
+def disclosing_near(texts: DataFrame, base: DataFrame, remove: float, generalise: float, min_length: int) -> DataFrame:
+    """``(entity, term, share, action)`` from the words around the base spans of all documents.
+
+    A window counts once however often it is repeated, and so does a document's text.
+    """
+    places = base.groupBy("key").agg(F.collect_set(F.struct("start", "end", entity(F.col("kind"), F.col("m")).alias("entity"))).alias("places"))
+    places = small_side(materialize(places, "places"), 20_000)
+
+    def cleaned(piece: Column) -> Column:
+        for p in PATTERNS:
+            piece = F.regexp_replace(piece, p, " ")
+        return F.filter(F.split(F.lower(piece), r"\P{L}+"), lambda w: w != "")
+
+    def window(s: Column) -> Column:
+        first = F.greatest(s["start"] - REACH, F.lit(0).cast("long"))
+        left = cleaned(F.regexp_replace(F.substr("text", (first + 1).cast("int"), (s["start"] - first).cast("int")), F.when(first > 0, r"^\S*+").otherwise("^$"), ""))
+        right = F.substr("text", (s["end"] + 1).cast("int"), F.lit(REACH))
+        right = cleaned(F.regexp_replace(right, F.when(F.char_length(right) == REACH, r"(?<!\S)\S*+$").otherwise("^$"), ""))
+        left = F.when(F.size(left) > WINDOW, F.slice(left, -WINDOW, WINDOW)).otherwise(left)
+        return F.concat(left, F.slice(right, 1, WINDOW))
+
+    around = texts.join(places, "key").select(F.xxhash64("text").alias("doc"), F.explode("places").alias("s"), "text")
+    around = around.select("doc", F.col("s.entity").alias("entity"), window(F.col("s")).alias("near"))
+    around = around.groupBy("entity", "near").agg(F.min("doc").alias("doc"))
+    held = around.select("entity", "doc", F.explode(F.filter(F.array_distinct("near"), lambda w: F.char_length(w) >= min_length)).alias("term"))
+    held = materialize(held.distinct(), "near-terms")
+    contexts = held.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where("n_entity >= 2")
+    pairs = held.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where("n_both >= 2").join(contexts, "entity")
+    pairs = materialize(pairs, "near-pairs")
+    wanted = small_side(materialize(pairs.select("term").distinct(), "near-wanted"))
+    # Texts are counted once: their copies are few and leave before any word is looked at.
+    heads = texts.select(F.xxhash64("text").alias("doc")).groupBy("doc").agg(F.count("*").alias("rows"))
+    heads = materialize(heads, "heads")
+    n = heads.count() or 1
+    copied = small_side(materialize(heads.where("rows > 1").select("doc"), "copied"))
+    every = texts.select(F.xxhash64("text").alias("doc"), F.explode(_terms(F.col("text"), min_length)).alias("term")).join(wanted, "term", "left_semi")
+    once = every.join(copied, "doc", "left_anti").groupBy("term").agg(F.count("*").alias("n"))
+    again = every.join(copied, "doc", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n"))
+    n_term = once.unionByName(again).groupBy("term").agg(F.sum("n").alias("n_term"))
+    both, e, t = F.col("n_both") - 0.5, F.col("n_entity"), F.greatest("n_term", "n_both")
+    size = F.greatest(F.lit(float(n)), e + 1.0, t + 1.0)
+    share = F.log(both * size / (e * t)) / F.log(size / e)
+    action = F.when(F.col("share") >= remove, "remove").when(F.col("share") >= generalise, "generalise")
+    return pairs.join(n_term, "term").select("entity", "term", share.alias("share")).withColumn("action", action).where("action is not null")
+
+
 def spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -140,7 +192,8 @@ def spans(
     """
     texts = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = materialize(base_spans(texts), "base-spans")
-    flagged = materialize(disclosing(texts, min_support, remove, generalise, min_length), "disclosing")
+    flagged = disclosing(texts, min_support, remove, generalise, min_length)
+    flagged = materialize(flagged.unionByName(disclosing_near(texts, base, remove, generalise, min_length)), "disclosing")
     named = base.select("key", entity(F.col("kind"), F.col("m")).alias("entity")).distinct().join(flagged, "entity")
     named = named.groupBy("key", "term").agg(F.max("action").alias("action"))  # remove over generalise
     named = materialize(named, "document-terms")
