@@ -76,7 +76,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", pack),
 ]
 
-#: Votes, classes and packing are not SQL; tests compare the stages with brute-force versions.
+#: Votes, classes and packing are not SQL.  Tests compare near-duplicates and decontamination with brute-force
+#: versions; toxicity and redaction as stages, and the whole run, are only checked for empty tables and row counts.
 ORACLE_SQL = None
 
 
