@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
+from . import align, decontaminate, html_extract, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
 from .common import documents
 from .html_labels import LABELLED
 from .oracle import ORACLE_SQL as ORACLE_SQL
@@ -73,6 +73,14 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.dedup(documents(spark, sf_dir), window=50)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers over all documents, aligned by bytes."""
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align.alignment(documents(spark, sf_dir), a, b).drop("key")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -86,5 +94,6 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_simhash,
         op10_phrase_dedup,
+        op13_token_alignment,
     )
 }
