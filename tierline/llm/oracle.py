@@ -111,4 +111,54 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS
 FROM docs LEFT JOIN kept USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4, "op5_decontamination": OP5, "op10_phrase_dedup": OP10}
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Lloyd's rounds over all kept vectors, one common table expression each."""
+    sql = f"""
+WITH finite AS (
+  SELECT vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % {parts} = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+most AS (SELECT len(embedding) AS dim FROM finite GROUP BY dim ORDER BY count(*) DESC, dim DESC LIMIT 1),
+whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM finite JOIN most ON len(embedding) = dim
+),
+kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) AS r, * FROM whole),
+long AS MATERIALIZED (
+  SELECT r, (i - 1) // w AS part, (i - 1) % w AS place, v[i] AS x
+  FROM (SELECT r, v, len(v) // {parts} AS w, unnest(generate_series(1, len(v))) AS i FROM kept) AS y
+),
+book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, place, x AS c FROM long WHERE r <= {entries}),"""
+    near = """
+near{k} AS MATERIALIZED (
+  SELECT r, part, min(d * {entries} + entry) AS m
+  FROM (SELECT r, part, entry, sum((x - c) * (x - c)) AS d FROM long JOIN book{k} USING (part, place) GROUP BY r, part, entry) AS y
+  GROUP BY r, part
+),"""
+    book = """
+mean{k} AS (
+  SELECT part, m % {entries} AS entry, place, sum(x) AS s, count(*) AS n FROM long JOIN near{k} USING (r, part) GROUP BY ALL
+),
+book{n} AS MATERIALIZED (
+  SELECT part, entry, place, CAST(coalesce((s - ((s % n) + n) % n) // n, c) AS BIGINT) AS c
+  FROM book{k} LEFT JOIN mean{k} USING (part, entry, place)
+),"""
+    for k in range(rounds):
+        sql += near.format(k=k, entries=entries) + book.format(k=k, n=k + 1, entries=entries)
+    sql += near.format(k=rounds, entries=entries)
+    return (
+        sql
+        + f"""
+coded AS (
+  SELECT r, string_agg(printf('%02x', CAST(m % {entries} AS INTEGER)), '' ORDER BY part) AS code, sum(m // {entries}) AS error
+  FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, place)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)
+"""
+    )
+
+
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4, "op5_decontamination": OP5, "op10_phrase_dedup": OP10, "op11_vector_codes": vector_codes()}

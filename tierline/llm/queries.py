@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, decontaminate, html_extract, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
+from . import align, codebooks, decontaminate, html_extract, langid, licenses, packing, phrase_dedup, pii, quality_rules, sharding, simhash, toxicity
 from .common import documents
 from .html_labels import LABELLED
 from .oracle import ORACLE_SQL as ORACLE_SQL
@@ -73,6 +73,16 @@ def op10_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.dedup(documents(spark, sf_dir), window=50)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings."""
+    return codebooks.codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those not held out."""
+    return langid.language_id(documents(spark, sf_dir))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers over all documents, aligned by bytes."""
     import public_tokenizers
@@ -94,6 +104,8 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_simhash,
         op10_phrase_dedup,
+        op11_vector_codes,
+        op12_language_id,
         op13_token_alignment,
     )
 }
