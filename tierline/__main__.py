@@ -7,6 +7,7 @@
     python -m tierline raw --base URI --source flights=PATH [--drop-malformed]
     python -m tierline clean --base URI
     python -m tierline fact --base URI
+    python -m tierline rollup --base URI
     python -m tierline register --base URI
 
 Stages hand over through the layer tables only, so a scheduler can run them
@@ -36,12 +37,12 @@ def _sources(items: list[str]) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tierline")
-    ap.add_argument("stage", choices=["all", "raw", "clean", "fact", "register"])
+    ap.add_argument("stage", choices=["all", "raw", "clean", "fact", "rollup", "register"])
     ap.add_argument("--base", required=True, help="layer base URI (any Hadoop filesystem)")
     ap.add_argument("--source", action="append", default=[], help="name=path of a source CSV")
     ap.add_argument("--drop-malformed", action="store_true", help="remove malformed rows from the raw layer")
-    ap.add_argument("--staged", action="store_true",
-                    help="parse each CSV once into a staged copy (for sources that may change between reads)")
+    ap.add_argument("--resume", action="store_true",
+                    help="skip stages whose newest version was made of what they would read now")
     ap.add_argument("--overwrite-schema", action="store_true",
                     help="accept a changed table shape in the clean and fact layers")
     ap.add_argument("--keep-versions", type=int, default=None,
@@ -55,13 +56,15 @@ def main(argv: list[str] | None = None) -> int:
         if args.stage == "all":
             out = P.run_all(spark, args.base, _sources(args.source), keep_malformed=keep,
                             keep_versions=args.keep_versions, overwrite_schema=args.overwrite_schema,
-                            staged=args.staged)
+                            resume=args.resume)
         elif args.stage == "raw":
-            out = P.run_bronze(spark, args.base, _sources(args.source), keep_malformed=keep, staged=args.staged)
+            out = P.run_bronze(spark, args.base, _sources(args.source), keep_malformed=keep, resume=args.resume)
         elif args.stage == "clean":
-            out = P.run_silver(spark, args.base, overwrite_schema=args.overwrite_schema)
+            out = P.run_silver(spark, args.base, overwrite_schema=args.overwrite_schema, resume=args.resume)
         elif args.stage == "fact":
-            out = P.run_gold(spark, args.base, overwrite_schema=args.overwrite_schema)
+            out = P.run_gold(spark, args.base, overwrite_schema=args.overwrite_schema, resume=args.resume)
+        elif args.stage == "rollup":
+            out = P.run_rollup(spark, args.base, resume=args.resume)
         else:
             if not durable_catalog(spark):
                 raise SystemExit(

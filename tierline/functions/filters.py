@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import maybe_broadcast
+from ..operators.joins import maybe_broadcast_all
 
 
 def _date(value: str | dt.date | None) -> dt.date | None:
@@ -55,6 +55,35 @@ class FactFilter:
         return df.filter(self.to_column())
 
 
+@dataclass(frozen=True)
+class Selection:
+    """Dimension rows chosen by name, and the fact column that holds their key."""
+
+    dim: DataFrame
+    names: Sequence[str]
+    fact_key: str
+    dim_key: str = "IATA_CODE"
+    dim_name: str = "AIRLINE"
+
+    def keys(self) -> DataFrame:
+        return self.dim.filter(F.col(self.dim_name).isin(list(self.names))).select(F.col(self.dim_key).alias("_sel_key"))
+
+
+def resolve_selections(fact: DataFrame, *selections: Selection) -> DataFrame:
+    """Keep fact rows whose dimension *names* are all selected.
+
+    Every selection is a ``left_semi`` join to the filtered dimension, so names and codes are
+    resolved when the query runs and no code travels through the driver.  Selections that are
+    counted to be small (in one job for all) are broadcast.  No names means no filter.
+    """
+    wanted = [s for s in selections if s.names]
+    if not wanted:
+        return fact
+    for selection, keys in zip(wanted, maybe_broadcast_all(*[s.keys() for s in wanted])):
+        fact = fact.join(keys, F.col(selection.fact_key) == F.col("_sel_key"), "left_semi")
+    return fact
+
+
 def resolve_codes(
     fact: DataFrame,
     dim: DataFrame,
@@ -63,13 +92,5 @@ def resolve_codes(
     dim_key: str = "IATA_CODE",
     dim_name: str = "AIRLINE",
 ) -> DataFrame:
-    """Keep fact rows whose dimension *name* is selected.
-
-    The selection is a ``left_semi`` join to the filtered dimension, so names and codes are
-    resolved when the query runs and no code travels through the driver.  A dimension
-    that is counted to be small is broadcast.  No names means no filter.
-    """
-    if not names:
-        return fact
-    chosen = dim.filter(F.col(dim_name).isin(list(names))).select(F.col(dim_key).alias("_sel_key"))
-    return fact.join(maybe_broadcast(chosen), F.col(fact_key) == F.col("_sel_key"), "left_semi")
+    """One selection by name (P12, J6); see ``resolve_selections``."""
+    return resolve_selections(fact, Selection(dim, names, fact_key, dim_key, dim_name))

@@ -54,6 +54,17 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     return size["rows"] <= bound and size["bytes"] <= byte_bound(dim)
 
 
+def maybe_broadcast_all(*dims: DataFrame) -> list[DataFrame]:
+    """``maybe_broadcast`` of several dimensions whose sizes are counted in one job."""
+    sizes = [dimension_size(d).select(F.lit(i).alias("dim"), "rows", "bytes") for i, d in enumerate(dims)]
+    both = sizes[0]
+    for s in sizes[1:]:
+        both = both.unionAll(s)
+    counted = {r["dim"]: r for r in both.collect()}  # one row per dimension
+    fits = [counted[i]["rows"] <= broadcast_bound(d) and counted[i]["bytes"] <= byte_bound(d) for i, d in enumerate(dims)]
+    return [F.broadcast(d) if ok else d for d, ok in zip(dims, fits)]
+
+
 def maybe_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 

@@ -322,8 +322,38 @@ UNION ALL SELECT 'gold_fact', COUNT(*) FROM gold
 }
 
 
+_SQL["fact_rollup"] = f"""
+SELECT FLIGHT_DATE, AIRLINE_CODE, ORIGIN_AIRPORT, COUNT(*) AS "ROW_COUNT",
+       {_count_if("ARRIVAL_DELAY > 15")} AS "LATE_COUNT", {_count_if("CANCELLED = 1")} AS "CANCELLED_COUNT",
+       SUM(ARRIVAL_DELAY) AS "ARRIVAL_DELAY_SUM", COUNT(ARRIVAL_DELAY) AS "ARRIVAL_DELAY_COUNT",
+       SUM(DEPARTURE_DELAY) AS "DEPARTURE_DELAY_SUM", COUNT(DEPARTURE_DELAY) AS "DEPARTURE_DELAY_COUNT"
+FROM gold GROUP BY 1, 2, 3
+"""
+# The same reports by other ways: from a rollup, as SQL functions.
+_SAME = {
+    "rollup_kpis": "kpis",
+    "rollup_airline_leaderboard": "airline_leaderboard",
+    "rollup_airport_map": "airport_map",
+    "rollup_trend": "trend_filtered",
+    "sql_trend": "resolve_codes",
+    "sql_kpis": "kpis",
+    "sql_airline_leaderboard": "airline_leaderboard",
+}
+_SQL |= {new: _SQL[old] for new, old in _SAME.items()}
+_SQL["sql_top_airports"] = f"""
+SELECT CAST(row_number() OVER (ORDER BY delay_pct DESC NULLS LAST, airport NULLS LAST, city NULLS LAST, state NULLS LAST) AS INTEGER) AS place,
+       *, concat(substr(airport, 1, 35), ' (', state, ')') AS label
+FROM ({_AIRPORT_BOARD} LIMIT 10) t
+"""
+_FOOTERS = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, MIN({key}) AS min_key, MAX({key}) AS max_key FROM {t}"
+    for t, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey"), ("customer", "c_custkey"), ("supplier", "s_suppkey"))
+)
+
+
 def _build() -> dict[str, str]:
     out = {k: _with(v) for k, v in _SQL.items()}
+    out["footer_bounds"] = _FOOTERS
     out["delay_causes"] = f"WITH {LAYERS.strip()}{_causes(False)}"
     out["delay_cause_shares"] = f"WITH {LAYERS.strip()}{_causes(True)}"
     out["null_profile"] = f"WITH {LAYERS.strip()}{_null_profile()}"

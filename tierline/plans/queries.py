@@ -9,18 +9,23 @@ pipeline writes: raw -> clean -> fact.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.filters import FactFilter, resolve_codes as _resolve
+from ..functions.filters import FactFilter, Selection, resolve_selections
 from ..operators import quality as Q
 from ..operators import reports as R
 from ..operators import transforms as T
+from ..operators.rollup import build_rollup, choose
 from ..schemas import FACT_COLUMNS, FLIGHTS
+from ..session import ensure_checkpoint_dir
 from ..sources import testview as V
 from ..sources.csv import CORRUPT, parse_csv
+from ..sources.footers import footer_stats
+from ..sources.report_functions import create_statement
 
 # The filter the dashboard applies in the filtered-trend check.
 TREND_AIRLINES = ("1", "2", "3")
@@ -73,6 +78,27 @@ class Layers:
         )
 
 
+    def rollup(self) -> DataFrame:
+        """The rollup as a written table (in the shared checkpoint folder), as a refresh leaves it."""
+
+        def write() -> DataFrame:
+            path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/tierline-rollup/{uuid.uuid4().hex}"
+            rollup = build_rollup(self.measures())
+            rollup.write.parquet(path)
+            return self.spark.read.schema(rollup.schema).parquet(path)
+
+        return self._get("rollup", write)
+
+    def function(self, name: str) -> str:
+        """A report's SQL function over views of these layers; returns what to call."""
+        views = {"states": self.measures(), "airlines": self.airlines(), "airports": self.airports(), "raw": self.raw()}
+        named = {k: f"tierline_view_{k}" for k in views}
+        for k, df in views.items():
+            df.createOrReplaceTempView(named[k])
+        self.spark.sql(create_statement(name, f"tierline_{name}", named, rollup=False, temporary=True))
+        return f"tierline_{name}"
+
+
 def _q(fn: Callable[[Layers], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Layers(spark, sf_dir))
@@ -176,9 +202,11 @@ def trend_filtered(L: Layers) -> DataFrame:
 
 def resolve_codes(L: Layers) -> DataFrame:
     """The filtered trend selected by airline and airport *names*."""
-    fact = L.measures()
-    fact = _resolve(fact, L.airlines(), TREND_AIRLINE_NAMES, "AIRLINE_CODE", dim_name="AIRLINE")
-    fact = _resolve(fact, L.airports(), TREND_AIRPORT_NAMES, "ORIGIN_AIRPORT", dim_name="AIRPORT")
+    fact = resolve_selections(
+        L.measures(),
+        Selection(L.airlines(), TREND_AIRLINE_NAMES, "AIRLINE_CODE", dim_name="AIRLINE"),
+        Selection(L.airports(), TREND_AIRPORT_NAMES, "ORIGIN_AIRPORT", dim_name="AIRPORT"),
+    )
     return R.trend(fact, FactFilter(date_from=TREND_FROM, date_to=TREND_TO))
 
 
@@ -223,14 +251,14 @@ def dim_airports(L: Layers) -> DataFrame:
 
 
 def layer_counts(L: Layers) -> DataFrame:
-    """R11, A1, A18, U2."""
+    """The dimension key is unique, so the fact has as many rows without its join."""
     return Q.layer_counts(
         [
             ("bronze_flights", L.raw()),
             ("bronze_airlines", L.airlines()),
             ("bronze_airports", L.airports()),
             ("silver_flights", L.silver()),
-            ("gold_fact", L.gold()),
+            ("gold_fact", L.measures()),
         ]
     )
 
@@ -252,6 +280,80 @@ def csv_quarantine(L: Layers) -> DataFrame:
     return parsed.select(*raw.columns, F.col(CORRUPT).isNotNull().alias("malformed"))
 
 
+# -- the same reports from a rollup, from SQL and from footers ---------------------
+
+def fact_rollup(L: Layers) -> DataFrame:
+    """States of the fact by date, airline and origin."""
+    return build_rollup(L.measures())
+
+
+def rollup_kpis(L: Layers) -> DataFrame:
+    """R1 from the written rollup."""
+    return R.kpis(choose(L.measures(), L.rollup()))
+
+
+def rollup_airline_leaderboard(L: Layers) -> DataFrame:
+    """R3 from the written rollup."""
+    return R.airline_leaderboard(choose(L.measures(), L.rollup(), ["AIRLINE_CODE"]), L.airlines())
+
+
+def rollup_airport_map(L: Layers) -> DataFrame:
+    """R8 from the written rollup."""
+    return R.map_points(choose(L.measures(), L.rollup(), ["ORIGIN_AIRPORT"]), L.airports())
+
+
+def rollup_trend(L: Layers) -> DataFrame:
+    """R4 from the written rollup, which covers the whole filter."""
+    flt = FactFilter(TREND_AIRLINES, TREND_AIRPORTS, TREND_FROM, TREND_TO).to_column()
+    return R.trend(choose(L.measures(), L.rollup(), ["FLIGHT_DATE"], flt))
+
+
+def _literals(values) -> str:
+    return "array(" + ", ".join("'" + v.replace("'", "\\'") + "'" for v in values) + ")"
+
+
+def sql_trend(L: Layers) -> DataFrame:
+    """The trend as a SQL table function, airlines and airports chosen by name."""
+    call = L.function("trend")
+    return L.spark.sql(
+        f"SELECT * FROM {call}(airlines => {_literals(TREND_AIRLINE_NAMES)}, airports => {_literals(TREND_AIRPORT_NAMES)}, "
+        f"date_from => DATE'{TREND_FROM}', date_to => DATE'{TREND_TO}')"
+    )
+
+
+def sql_kpis(L: Layers) -> DataFrame:
+    """S9, R1."""
+    return L.spark.sql(f"SELECT * FROM {L.function('kpis')}()")
+
+
+def sql_airline_leaderboard(L: Layers) -> DataFrame:
+    """S9, R3."""
+    return L.spark.sql(f"SELECT * FROM {L.function('airline_leaderboard')}()")
+
+
+def sql_top_airports(L: Layers) -> DataFrame:
+    """The ten worst by their place."""
+    return L.spark.sql(f"SELECT * FROM {L.function('top_airports')}(n => 10)")
+
+
+#: Test tables with the key whose bounds their footers hold.
+FOOTER_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "supplier": "s_suppkey"}
+
+
+def footer_bounds(L: Layers) -> DataFrame:
+    """Rows and key bounds of stored tables from their footers alone."""
+    parts = [
+        footer_stats(L.spark, f"{L.sf_dir.rstrip('/')}/{t}.parquet", [key]).select(
+            F.lit(t).alias("table_name"), "row_count", F.col(f"min_{key}").alias("min_key"), F.col(f"max_{key}").alias("max_key")
+        )
+        for t, key in FOOTER_KEYS.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 _ALL = [
     bronze_flights, compose_date, neutralise_delays, silver_flights, gold_fact,
     null_profile, invalid_dates, out_of_range, clean_metrics, unmatched_count,
@@ -259,6 +361,8 @@ _ALL = [
     trend_monthly, trend_filtered, resolve_codes, delay_causes, delay_cause_shares,
     airport_leaderboard, top10_airports, airport_map, date_bounds, dim_airlines,
     dim_airports, layer_counts, fact_preview, csv_quarantine,
+    fact_rollup, rollup_kpis, rollup_airline_leaderboard, rollup_airport_map, rollup_trend,
+    sql_trend, sql_kpis, sql_airline_leaderboard, sql_top_airports, footer_bounds,
 ]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _q(f) for f in _ALL}

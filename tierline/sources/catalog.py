@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import durable_catalog
 from .fs import list_dirs
-from .layers import current_version, ensure_layer, register_table, schema_diff
+from .layers import current_version, ensure_layer, layer_location, read_layer, read_record, read_version, register_version, schema_diff, version_name
 
 # Layer namespaces and the tables each holds.
 LAYER_TABLES = (
@@ -16,6 +16,9 @@ LAYER_TABLES = (
     ("silver", "flights"),
     ("gold", "fact_flights_delay"),
 )
+FACT = LAYER_TABLES[-1]
+#: States of the fact by date, airline and origin.
+ROLLUP_TABLE = "rollup_flights_delay"
 
 
 def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> list[dict]:
@@ -32,8 +35,8 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
         ensure_layer(spark, base, layer)
     root = base.rstrip("/")
     quarantines = [("bronze", n) for n in list_dirs(spark, f"{root}/bronze") if n.startswith("_quarantine_")]
-    quarantines += [("gold", n) for n in list_dirs(spark, f"{root}/gold") if n.startswith("_unmatched_")]
-    for layer, table in list(LAYER_TABLES) + quarantines:
+    quarantines += [("gold", n) for n in list_dirs(spark, f"{root}/gold") if n.startswith("_unmatched_") or n == ROLLUP_TABLE]
+    for layer, table in quarantines + list(LAYER_TABLES):
         loc = current_version(spark, base, layer, table)
         if loc is None:
             out.append({"table": f"{layer}.{table}", "status": "missing"})
@@ -43,13 +46,30 @@ def register_layers(spark: SparkSession, base: str, fmt: str = "parquet") -> lis
         # Re-pointing keeps the catalog's column list, so a stored version of
         # another shape is registered afresh.
         stale = spark.catalog.tableExists(f"{layer}.{table}") and bool(
-            schema_diff(spark.table(f"{layer}.{table}").schema, spark.read.format(fmt).load(loc).schema)
+            schema_diff(spark.table(f"{layer}.{table}").schema, read_version(spark, loc, fmt, table).schema)
         )
-        register_table(spark, layer, table, loc, fmt, replace=stale, partitioned=partitioned)
-        out.append({"table": f"{layer}.{table}", "status": "registered", "location": loc, "durable": durable})
+        for name in register_version(spark, layer, table, loc, fmt, replace=stale, partitioned=partitioned and "tables" not in read_record(spark, loc).get("options", {})):
+            out.append({"table": f"{layer}.{name}", "status": "registered", "location": loc, "durable": durable})
     return out
 
 
+def current_rollup(spark: SparkSession, base: str, max_share: float = 0.5) -> DataFrame | None:
+    """The rollup of the current fact, if there is one and it is worth reading.
+
+    A rollup of an older fact is never handed out, nor one with more than ``max_share`` of the fact's rows.
+    """
+    fact, at = layer_location(spark, base, *FACT), layer_location(spark, base, "gold", ROLLUP_TABLE)
+    if fact is None or at is None:
+        return None
+    record = read_record(spark, at)
+    rows, of = record.get("metrics", {}).get("rows"), record.get("options", {}).get("fact_rows")
+    if record.get("inputs", {}).get(".".join(FACT)) != version_name(fact):
+        return None
+    if rows is not None and of is not None and rows > max_share * of:
+        return None
+    return read_layer(spark, "gold", ROLLUP_TABLE, base)
+
+
 def catalog_tables(spark: SparkSession) -> DataFrame:
     """Registered layer tables as a DataFrame (namespace, table)."""
     frames = [spark.sql(f"SHOW TABLES IN `{layer}`") for layer in sorted({l for l, _ in LAYER_TABLES})

@@ -15,9 +15,10 @@ write itself, so a layer costs one pass over its input.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ from . import fs
 #: Hadoop setting that lets a write job leave its own marker.
 NO_MARKER = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 VERSION_PREFIX = "v"
+#: What a version was made of; readers of the table skip names that begin with an underscore.
+RECORD = "_record.json"
+#: Reader option under which a location's folders are no partitions.
+ALL_FOLDERS = "recursiveFileLookup"
+#: Folder column of a version that is dealt by validity.
+VALID = "is_valid"
 
 
 class SchemaMismatchError(ValueError):
@@ -89,6 +96,24 @@ def current_version(spark: SparkSession, base: str, layer: str, table: str) -> s
     return None
 
 
+def version_name(location: str) -> str:
+    """The version folder's own name; two spellings of one URI share it."""
+    return next((p for p in reversed(location.rstrip("/").split("/")) if p.startswith(VERSION_PREFIX) and "-" in p), location)
+
+
+def _reads_all_folders(spark: SparkSession, layer: str, table: str) -> bool:
+    if not spark.catalog.tableExists(f"{layer}.{table}"):
+        return False
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(layer, table)}").filter("col_name = 'Storage Properties'").collect()
+    return bool(rows) and ALL_FOLDERS in rows[0]["data_type"]
+
+
+def read_record(spark: SparkSession, location: str) -> dict:
+    """The version record below ``location``: rows, observed metrics, inputs and options ({} without one)."""
+    text = fs.read_text(spark, f"{location.rstrip('/')}/{RECORD}")
+    return json.loads(text) if text else {}
+
+
 def register_table(
     spark: SparkSession,
     layer: str,
@@ -97,9 +122,13 @@ def register_table(
     fmt: str = "parquet",
     replace: bool = False,
     partitioned: bool = False,
+    schema: StructType | None = None,
 ) -> None:
     """Create the external table, or point an existing one at ``location``.
 
+    With a ``schema`` the table has these columns alone and reads the files of all folders below the
+    location, whatever those folders are called.
+
     Registering an already registered table is a success.  A partitioned
     table keeps one catalog entry per partition, each with its own folder, so
     it is recreated at the new location and its partitions are recovered from
@@ -107,17 +136,47 @@ def register_table(
     no table).
     """
     name = table_name(layer, table)
+    # A table of another kind (its own columns, or all folders) cannot be re-pointed.
+    replace = replace or (schema is not None) != _reads_all_folders(spark, layer, table)
     if replace or (partitioned and spark.catalog.tableExists(f"{layer}.{table}")):
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the data stays
     if spark.catalog.tableExists(f"{layer}.{table}"):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(location)}'")
         spark.sql(f"REFRESH TABLE {name}")
+    elif schema is not None:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} OPTIONS ({ALL_FOLDERS} 'true') LOCATION '{_quoted(location)}'")
     else:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{_quoted(location)}'")
         if partitioned:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def check_shape(spark: SparkSession, base: str, layer: str, table: str, incoming: StructType, fmt: str = "parquet") -> None:
+    """Refuse columns that differ from the registered table's, else (a fresh session) the newest version's."""
+    qualified = f"{layer}.{table}"
+    if spark.catalog.tableExists(qualified):
+        previous = spark.table(qualified).schema
+    else:
+        loc = current_version(spark, base, layer, table)
+        previous = read_version(spark, loc, fmt).schema if loc else None
+    diff = schema_diff(previous, incoming) if previous is not None else []
+    if diff:
+        raise SchemaMismatchError(
+            f"{qualified}: schema differs from the registered table ({'; '.join(diff)}); "
+            "pass overwrite_schema=True to replace it"
+        )
+
+
+def commit_version(
+    spark: SparkSession, target: str, metrics: Mapping, inputs: Mapping[str, str] | None = None, options: Mapping | None = None
+) -> None:
+    """Write the record of a finished version, then its marker."""
+    record = {"metrics": dict(metrics), "inputs": dict(inputs or {}), "options": dict(options or {})}
+    fs.write_text(spark, f"{target}/{RECORD}", json.dumps(record, default=str, sort_keys=True))
+    fs.touch(spark, f"{target}/_SUCCESS")
+
+
 def write_layer(
     df: DataFrame,
     base: str,
@@ -129,6 +188,8 @@ def write_layer(
     metrics: Sequence[Column] = (),
     validate: Callable[[dict], None] | None = None,
     cluster_by: Sequence[str] | None = None,
+    inputs: Mapping[str, str] | None = None,
+    options: Mapping | None = None,
 ) -> dict:
     """Full refresh of ``layer.table`` (S5, S6); returns the observed metrics.
 
@@ -137,28 +198,18 @@ def write_layer(
     marked as committed (``_SUCCESS``) and the catalog is switched.  If it raises, or the
     process ends there, the version stays uncommitted and no reader picks it.
     ``cluster_by`` sorts rows *within* each write task (no shuffle).
+    ``inputs`` (what the version is made of) and ``options`` go into its record next to the metrics,
+    before the marker, so a committed version always has its record.
     """
     spark = df.sparkSession
     ensure_layer(spark, base, layer)
-    qualified = f"{layer}.{table}"
-    exists = spark.catalog.tableExists(qualified)
+    exists = spark.catalog.tableExists(f"{layer}.{table}")
     if not overwrite_schema:
-        # The registered table, else (a fresh session) the newest committed version.
-        if exists:
-            previous = spark.table(qualified).schema
-        else:
-            loc = current_version(spark, base, layer, table)
-            previous = spark.read.format(fmt).load(loc).schema if loc else None
         incoming = df.schema
         if partition_by:  # partition columns are stored (and read back) last
             rest = [f for f in incoming.fields if f.name not in partition_by]
             incoming = StructType(rest + [incoming[c] for c in partition_by])
-        diff = schema_diff(previous, incoming) if previous is not None else []
-        if diff:
-            raise SchemaMismatchError(
-                f"{qualified}: schema differs from the registered table ({'; '.join(diff)}); "
-                "pass overwrite_schema=True to replace it"
-            )
+        check_shape(spark, base, layer, table, incoming, fmt)
     target = _new_version(base, layer, table)
     obs = Observation(f"write-{layer}-{table}-{uuid.uuid4().hex[:8]}")
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
@@ -176,13 +227,82 @@ def write_layer(
         except Exception:
             fs.delete(spark, target)
             raise
-    fs.touch(spark, f"{target}/_SUCCESS")
+    commit_version(spark, target, result, inputs, options)
     register_table(spark, layer, table, target, fmt, replace=exists and overwrite_schema,
                    partitioned=bool(partition_by))
     result["location"] = target
     return result
 
 
+def write_split(
+    df: DataFrame,
+    base: str,
+    layer: str,
+    table: str,
+    rest_table: str,
+    flag: str,
+    keep: bool = True,
+    metrics: Sequence[Column] = (),
+    validate: Callable[[dict], None] | None = None,
+    inputs: Mapping[str, str] | None = None,
+    options: Mapping | None = None,
+) -> dict:
+    """One write of ``df`` as one version that two tables read.
+
+    Rows whose ``flag`` column is null are valid.  ``layer.table`` holds all columns but the flag, of all rows (``keep``)
+    or of the valid ones; ``layer.rest_table`` holds all columns of the others.  The rows are dealt into two
+    folders of the version, so the input is computed once, and both tables appear with its one marker.
+    """
+    spark = df.sparkSession
+    ensure_layer(spark, base, layer)
+    schema = StructType([f for f in df.schema.fields if f.name != flag])
+    check_shape(spark, base, layer, table, schema)
+    target = _new_version(base, layer, table)
+    obs = Observation(f"write-{layer}-{table}-{uuid.uuid4().hex[:8]}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics).withColumn(VALID, F.col(flag).isNull())
+    out.write.mode("errorifexists").option(NO_MARKER, "false").partitionBy(VALID).parquet(target)
+    result = dict(obs.get)
+    if validate is not None:
+        try:
+            validate(result)
+        except Exception:
+            fs.delete(spark, target)
+            raise
+    for folder in ("true", "false"):  # a side without rows is an empty folder
+        fs.make_dir(spark, f"{target}/{VALID}={folder}")
+    tables = {table: {"folder": "" if keep else f"{VALID}=true", "schema": schema.json()}}
+    tables[rest_table] = {"folder": f"{VALID}=false", "schema": df.schema.json()}
+    commit_version(spark, target, result, inputs, {**(options or {}), "tables": tables})
+    register_version(spark, layer, table, target)
+    return {**result, "location": target, "rest": f"{target}/{VALID}=false"}
+
+
+def version_tables(spark: SparkSession, table: str, location: str) -> dict[str, tuple[str, StructType | None]]:
+    """Table -> (folder, columns) of everything a version holds; mostly the table itself and no columns."""
+    named = read_record(spark, location).get("options", {}).get("tables")
+    if not named:
+        return {table: (location, None)}
+    place = lambda folder: f"{location}/{folder}" if folder else location
+    return {t: (place(x["folder"]), StructType.fromJson(json.loads(x["schema"]))) for t, x in named.items()}
+
+
+def register_version(spark: SparkSession, layer: str, table: str, location: str, fmt: str = "parquet", replace: bool = False, partitioned: bool = False) -> list[str]:
+    """Register every table of a version; returns their names."""
+    found = version_tables(spark, table, location)
+    for name, (place, schema) in found.items():
+        register_table(spark, layer, name, place, fmt, replace=replace, partitioned=partitioned, schema=schema)
+    return list(found)
+
+
+def read_version(spark: SparkSession, location: str, fmt: str = "parquet", table: str | None = None) -> DataFrame:
+    """A stored version as its table reads it."""
+    name = table or location.rstrip("/").split("/")[-2]
+    place, schema = version_tables(spark, name, location).get(name, (location, None))
+    if schema is None:
+        return spark.read.format(fmt).load(place)
+    return spark.read.schema(schema).option(ALL_FOLDERS, "true").format(fmt).load(place)
+
+
 def read_layer(spark: SparkSession, layer: str, table: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
     """The current version of a layer table: from the catalog, else from storage."""
     if spark.catalog.tableExists(f"{layer}.{table}"):
@@ -192,7 +312,15 @@ def read_layer(spark: SparkSession, layer: str, table: str, base: str | None = N
     loc = current_version(spark, base, layer, table)
     if loc is None:
         raise FileNotFoundError(f"no committed version of {layer}.{table} under {base}")
-    return spark.read.format(fmt).load(loc)
+    return read_version(spark, loc, fmt)
+
+
+def layer_location(spark: SparkSession, base: str, layer: str, table: str) -> str | None:
+    """The version a reader of the table gets: the registered one, else the newest committed."""
+    at = registered_location(spark, layer, table)
+    if at is None:
+        return current_version(spark, base, layer, table)
+    return f"{layer_uri(base, layer, table)}/{version_name(at)}" if version_name(at) != at else at
 
 
 def registered_location(spark: SparkSession, layer: str, table: str) -> str | None:
@@ -223,7 +351,7 @@ def old_versions(spark: SparkSession, base: str, layer: str, table: str, keep: i
     out = []
     for n in names:
         uri = f"{root}/{n}"
-        if n < cutoff and (pinned is None or uri.rstrip("/") != pinned.rstrip("/")):
+        if n < cutoff and (pinned is None or n != version_name(pinned)):
             out.append(uri)
     return out
 

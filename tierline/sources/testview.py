@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_dimension
+from ..operators.joins import join_dimension, maybe_broadcast_all
 from ..schemas import AIRLINES_SCHEMA, AIRPORTS_SCHEMA, FLIGHTS_SCHEMA
 
 
@@ -126,14 +126,15 @@ def flights_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
-    order_nation = join_dimension(orders, customer, "o_custkey").select(
+    customer, supplier = maybe_broadcast_all(customer, supplier)
+    order_nation = orders.join(customer, "o_custkey").select(
         F.col("o_orderkey").alias("l_orderkey"), "c_nationkey"
     )
     # Both sides grow with the data: a shuffle join.  Adaptive execution turns
     # it into a broadcast when the measured order side is small, and splits a
     # skewed order key otherwise.
     rows = lineitem.join(order_nation, "l_orderkey")
-    rows = join_dimension(rows, supplier, "l_suppkey")
+    rows = rows.join(supplier, "l_suppkey")
     return rows.selectExpr("*", *ROW_HELPERS).selectExpr(*_typed_sql(FLIGHT_SQL, FLIGHTS_SCHEMA))
 
 
