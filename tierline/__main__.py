@@ -22,7 +22,6 @@ import sys
 
 from .plans import pipeline as P
 from .session import build_session, durable_catalog
-from .sources.catalog import register_layers
 
 
 def _sources(items: list[str]) -> dict[str, str]:
@@ -71,7 +70,7 @@ def main(argv: list[str] | None = None) -> int:
                     "register: Spark's in-memory catalog ends with this process, so nothing would stay registered; "
                     "pass --catalog hive with a configured metastore, or register inside the session that queries"
                 )
-            out = register_layers(spark, args.base)
+            out = P.register(spark, args.base)
         print(json.dumps(out, default=str))
     finally:
         spark.stop()

@@ -7,7 +7,7 @@ known beforehand: earlier writes observe them in passing.
    ``2 ** BITS`` buckets of about equal rows.
 2. A row's buckets, interleaved bit by bit, are its cell on a space-filling curve (Z order): rows that are
    near in all dimensions are near on the curve.  The clean write observes quantiles of the cells.
-3. The fact write deals cells out to files in curve order, each file about the same number of rows.  A cell
+3. The fact write deals the curve out to files, half by half, each file about the same number of rows.  A cell
    that fills several files (a hot date, code and origin) is spread over them by a hash of the row.
 
 So every file holds a small range of every dimension, and a date, an airline list or an origin list each skip
@@ -16,7 +16,7 @@ most files by their statistics.  All expressions are native and compiled.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 #: Bits of every dimension on the curve; three dimensions make 4,096 cells.
 BITS = 4
-#: Quantiles of the cells; a file boundary is at most this share of the rows off.
+#: Quantiles of the cells: shares of rows are known to one part in so many.
 CELL_QUANTILES = 512
 #: Accuracy of the observed quantiles: their sketches stay below 100 KB a task.
 ACCURACY = 2000
@@ -92,21 +92,31 @@ class Layout:
     cell_quantiles: tuple[int, ...]
 
     def spans(self, files: int) -> list[tuple[int, int]]:
-        """First and last file of every cell, by its rows' place among all rows.
+        """First and last file of every cell.
 
-        A cell with no more rows than a file goes to the file its middle lies in, a larger one to as many
-        whole files as it fills; so a file holds at most about twice its share.
+        The curve is halved again and again, and every half gets files by its share of the rows, so a file is
+        a box of the dimensions and not a stretch of the curve that runs through several.  A half
+        with less than half a file joins its neighbour; a single cell with several files is spread over them.
         """
-        q, steps = self.cell_quantiles, len(self.cell_quantiles) + 1
-        out = []
-        for cell in range(self.curve.cells):
-            start, end = bisect_left(q, cell) * files / steps, bisect_right(q, cell) * files / steps
-            if end - start <= 1:
-                first = last = int((start + end) / 2)
+        q, out = self.cell_quantiles, [(0, 0)] * self.curve.cells
+
+        def deal(lo: int, hi: int, first: int, n: int) -> None:
+            if n == 1 or hi - lo == 1:
+                out[lo:hi] = [(first, first + n - 1)] * (hi - lo)
+                return
+            mid = (lo + hi) // 2
+            low, all_rows = bisect_left(q, mid) - bisect_left(q, lo), bisect_left(q, hi) - bisect_left(q, lo)
+            left = round(n * low / all_rows) if all_rows else n // 2
+            if left:
+                deal(lo, mid, first, left)
             else:
-                first, last = round(start), round(end) - 1
-            first = min(first, files - 1)
-            out.append((first, max(first, min(last, files - 1))))
+                out[lo:mid] = [(first, first)] * (mid - lo)
+            if left < n:
+                deal(mid, hi, first + left, n - left)
+            else:
+                out[mid:hi] = [(first + n - 1, first + n - 1)] * (hi - mid)
+
+        deal(0, self.curve.cells, 0, files)
         return out
 
     def file_of(self, columns: Mapping[str, Column], files: int, spread: Sequence[Column]) -> Column:

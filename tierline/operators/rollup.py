@@ -9,9 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from .states import STATE_COLUMNS, States
 
@@ -35,20 +33,27 @@ def merge_rollups(first: DataFrame, *others: DataFrame) -> DataFrame:
     return States(both, merged=True).by(*keys)
 
 
-def covers(rollup: DataFrame, group: Sequence[Column | str] = (), where: Column | None = None) -> bool:
-    """Whether ``group`` and ``where`` are made of the rollup's keys alone.
+def _read_columns(frame: DataFrame) -> set[str] | None:
+    """Columns that the last step of ``frame`` reads, lower case; ``None`` if its values change from run to run."""
+    step = frame._jdf.queryExecution().analyzed()
+    if not step.deterministic():
+        return None
+    read = step.references().toSeq()
+    return {read.apply(i).name().lower() for i in range(read.size())}
 
-    Spark's own analysis decides: it resolves them against the keys or refuses.  A filter that differs
-    from row to row by itself (a random number, a file name) holds for no group.
+
+def covers(fact: DataFrame, rollup: DataFrame, group: Sequence[Column | str] = (), where: Column | None = None) -> bool:
+    """Whether ``group`` and ``where``, both over the fact, are made of the rollup's keys alone.
+
+    Spark's own analysis says which columns they read.  A filter that differs from row to row by itself (a
+    random number, a file name) holds for no group.
     """
-    keys = rollup.drop(*STATE_COLUMNS)
-    try:
-        found = keys.where(where) if where is not None else keys
-        fixed = where is None or found._jdf.queryExecution().analyzed().deterministic()
-        keys.select(*[F.col(c) if isinstance(c, str) else c for c in group])
-    except AnalysisException:
-        return False
-    return bool(fixed)
+    keys = {c.lower() for c in rollup.columns if c not in STATE_COLUMNS}
+    steps = [] if where is None else [fact.where(where)]
+    if group:
+        steps.append(fact.select(*group))
+    found = [_read_columns(s) for s in steps]
+    return all(columns is not None and columns <= keys for columns in found)
 
 
 def choose(
@@ -56,6 +61,6 @@ def choose(
 ) -> States:
     """The states to answer from, filtered: those of the rollup if it covers the question, else the fact's."""
     source = fact if isinstance(fact, States) else States(fact)
-    if rollup is not None and covers(rollup, group, where):
+    if rollup is not None and covers(source.frame, rollup, group, where):
         source = States(rollup, merged=True)
     return source if where is None else source.where(where)

@@ -37,7 +37,8 @@ from ..operators.rollup import build_rollup
 from ..schemas import CONTRACTS, DATE_PARTS, FLIGHTS, Contract
 from ..sources import csv as C
 from ..sources import fs
-from ..sources.catalog import FACT, LAYER_TABLES, ROLLUP_TABLE, register_layers
+from ..session import durable_catalog
+from ..sources.catalog import FACT, LAYER_TABLES, ROLLUP_TABLE, current_rollup, register_layers
 from ..sources.layers import (
     current_version,
     ensure_layer,
@@ -50,6 +51,7 @@ from ..sources.layers import (
     write_layer,
     write_split,
 )
+from ..sources.report_functions import point_states, register_report_functions
 
 Log = Callable[[str], None]
 
@@ -303,6 +305,7 @@ def run_gold(
         overwrite_schema=overwrite_schema,
         inputs=inputs,
     )
+    point_states(spark, rollup=False)  # until the rollup of this fact is written
     log(f"gold: {m['rows']:,} rows")
     # Names are contract not-null, so a null name marks an unmatched row.
     written = spark.read.parquet(m["location"])
@@ -343,9 +346,19 @@ def run_rollup(spark: SparkSession, base: str, log: Log = print, resume: bool =
         cluster_by=["FLIGHT_DATE"], inputs=inputs, options={"fact_rows": fact_count},
     )
     log(f"rollup: {m['rows']:,} rows")
+    point_states(spark, rollup=current_rollup(spark, base) is not None)
     return m
 
 
+def register(spark: SparkSession, base: str) -> list[dict]:
+    """L4: the layer tables, and the reports as SQL functions once all tables they read are there."""
+    out = register_layers(spark, base)
+    if all(spark.catalog.tableExists(f"{layer}.{table}") for layer, table in LAYER_TABLES):
+        names = register_report_functions(spark, rollup=current_rollup(spark, base) is not None)
+        out += [{"function": name, "status": "registered", "durable": durable_catalog(spark)} for name in names]
+    return out
+
+
 def vacuum_layers(spark: SparkSession, base: str, keep: int, names: Sequence[str] = ()) -> list[str]:
     """Retention over every layer table (and quarantine folders that earlier releases kept for ``names``)."""
     tables = list(LAYER_TABLES) + [("gold", UNMATCHED_TABLE), ("gold", ROLLUP_TABLE)]
@@ -378,7 +391,7 @@ def run_all(
         "silver": run_silver(spark, base, log=log, overwrite_schema=overwrite_schema, resume=resume),
         "gold": run_gold(spark, base, log=log, overwrite_schema=overwrite_schema, resume=resume),
         "rollup": run_rollup(spark, base, log=log, resume=resume),
-        "register": register_layers(spark, base),
+        "register": register(spark, base),
     }
     if keep_versions is not None:
         out["vacuum"] = vacuum_layers(spark, base, keep_versions, list(sources))

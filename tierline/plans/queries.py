@@ -25,7 +25,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import testview as V
 from ..sources.csv import CORRUPT, parse_csv
 from ..sources.footers import footer_stats
-from ..sources.report_functions import create_statement
+from ..sources.report_functions import create_statement, states_query
 
 # The filter the dashboard applies in the filtered-trend check.
 TREND_AIRLINES = ("1", "2", "3")
@@ -91,11 +91,13 @@ class Layers:
 
     def function(self, name: str) -> str:
         """A report's SQL function over views of these layers; returns what to call."""
-        views = {"states": self.measures(), "airlines": self.airlines(), "airports": self.airports(), "raw": self.raw()}
+        views = {"fact": self.measures(), "airlines": self.airlines(), "airports": self.airports(), "raw": self.raw()}
         named = {k: f"tierline_view_{k}" for k in views}
         for k, df in views.items():
             df.createOrReplaceTempView(named[k])
-        self.spark.sql(create_statement(name, f"tierline_{name}", named, rollup=False, temporary=True))
+        named["states"] = "tierline_view_states"
+        self.spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {named['states']} AS {states_query(named['fact'], rollup=False)}")
+        self.spark.sql(create_statement(name, f"tierline_{name}", named, temporary=True))
         return f"tierline_{name}"
 
 

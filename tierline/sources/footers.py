@@ -30,7 +30,7 @@ def _stats(df: DataFrame, bounds: Sequence[str]) -> DataFrame:
 
 def footer_stats(spark: SparkSession, paths: str | Sequence[str], bounds: Sequence[str] = (), schema: StructType | None = None) -> DataFrame:
     """One row ``(row_count, min_<c>, max_<c>, ...)``, planned as a pushed aggregation; running it fails
-    where a footer lacks the statistics."""
+    where a footer lacks the statistics.  Without any file to read Spark's pushed count is null."""
     session = spark.newSession()
     for key, value in _FOOTER_CONF.items():
         session.conf.set(key, value)
@@ -40,6 +40,7 @@ def footer_stats(spark: SparkSession, paths: str | Sequence[str], bounds: Sequen
 def file_stats(spark: SparkSession, paths: str | Sequence[str], bounds: Sequence[str] = (), schema: StructType | None = None) -> dict:
     """The same row as a dict, from footers where they hold it, else from a scan of the bound columns."""
     try:
-        return footer_stats(spark, paths, bounds, schema).first().asDict()
+        row = footer_stats(spark, paths, bounds, schema).first()
     except (PySparkException, Py4JJavaError):  # a footer without statistics; what else is wrong fails the scan as well
-        return _stats(_frame(spark, [paths] if isinstance(paths, str) else list(paths), schema), bounds).first().asDict()
+        row = _stats(_frame(spark, [paths] if isinstance(paths, str) else list(paths), schema), bounds).first()
+    return {**row.asDict(), "row_count": row["row_count"] or 0}

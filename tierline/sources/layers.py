@@ -320,7 +320,8 @@ def layer_location(spark: SparkSession, base: str, layer: str, table: str) -> st
     at = registered_location(spark, layer, table)
     if at is None:
         return current_version(spark, base, layer, table)
-    return f"{layer_uri(base, layer, table)}/{version_name(at)}" if version_name(at) != at else at
+    name = version_name(at)
+    return at[: at.index(name) + len(name)]
 
 
 def registered_location(spark: SparkSession, layer: str, table: str) -> str | None:

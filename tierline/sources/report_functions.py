@@ -2,13 +2,17 @@
 
 ``CREATE FUNCTION ... RETURNS TABLE`` puts every report into the catalog, so that a SQL user asks
 
-    SELECT * FROM gold.trend(airlines => array('Example Air'), date_from => DATE'2015-03-01')
+    USE gold;
+    SELECT * FROM trend(airlines => array('Example Air'), date_from => DATE'2015-03-01')
 
-and needs no Python.  The bodies are plain SQL over the registered tables, expanded by Spark into the calling
-query: the caller's filters, and values given as arguments, reach the scans.  They add up states per key
-before a dimension is joined, from the rollup where there is a current one, else from the fact; which of the two is settled when the functions are created, so
-``register_report_functions`` belongs behind every refresh.  Rows come unordered, as from a
-table: the ranked reports carry their rank.
+and needs no Python (Spark calls table functions of the current schema, without a schema name).  The bodies are
+plain SQL, expanded by Spark into the calling query: the caller's filters, and values given as arguments,
+reach the scans, and states are added up per key before a dimension is joined.
+
+The functions read one view of states, ``report_states``, which stands on the rollup while that is the current
+fact's, and else on the fact itself, every row of which is a state of one flight.  So a refresh re-points
+one view, and the functions stay as they are.  Rows come unordered, as from a table: the ranked reports
+carry their place.
 """
 
 from __future__ import annotations
@@ -22,16 +26,7 @@ from ..operators.rollup import KEYS
 from ..operators.states import STATE_COLUMNS
 from ..schemas import CAUSES
 
-# How a state is taken from the rows of the fact, and from rows that hold states already.
-_FROM_FACT = {
-    "rows": "COUNT(*)",
-    "late": "COUNT_IF(f.ARRIVAL_DELAY > 15)",
-    "cancelled": "COUNT_IF(f.CANCELLED = 1)",
-    "arrival_sum": "SUM(f.ARRIVAL_DELAY)",
-    "arrival_n": "COUNT(f.ARRIVAL_DELAY)",
-    "departure_sum": "SUM(f.DEPARTURE_DELAY)",
-    "departure_n": "COUNT(f.DEPARTURE_DELAY)",
-}
+# How states add up.
 _MERGED = {
     "rows": "COALESCE(SUM(f.ROW_COUNT), 0)",
     "late": "COALESCE(SUM(f.LATE_COUNT), 0)",
@@ -41,10 +36,22 @@ _MERGED = {
     "departure_sum": "SUM(f.DEPARTURE_DELAY_SUM)",
     "departure_n": "SUM(f.DEPARTURE_DELAY_COUNT)",
 }
-
+# The states of one flight, in the same order.
+_OF_ONE_FLIGHT = (
+    "1L",
+    "IF(ARRIVAL_DELAY > 15, 1L, 0L)",
+    "IF(CANCELLED = 1, 1L, 0L)",
+    "ARRIVAL_DELAY",
+    "IF(ARRIVAL_DELAY IS NULL, 0L, 1L)",
+    "DEPARTURE_DELAY",
+    "IF(DEPARTURE_DELAY IS NULL, 0L, 1L)",
+)
 #: States by their place in the rollup.
 _STATE_COLUMNS = dict(zip(_MERGED, STATE_COLUMNS))
 
+#: The view the functions read.
+STATES_VIEW = "report_states"
+
 _AIRPORT = "iata_code STRING, airport STRING, city STRING, state STRING"
 _MEAN = "ROUND({m[%s_sum]} / NULLIF({m[%s_n]}, 0), 2)"
 _ARRIVAL, _DEPARTURE = _MEAN % ("arrival", "arrival"), _MEAN % ("departure", "departure")
@@ -147,39 +154,48 @@ GROUP BY d.IATA_CODE, d.AIRPORT, d.CITY, d.STATE, d.LATITUDE, d.LONGITUDE""",
 }
 
 
-def _grouped(states: str, rollup: bool, *keys: str) -> str:
+def _grouped(states: str, *keys: str) -> str:
     """A derived table of states by ``keys``: joins then meet one row per key, not one per flight."""
-    found = _MERGED if rollup else _FROM_FACT
-    columns = [f"f.{k}" for k in keys] + [f"{found[k]} AS {c}" for k, c in _STATE_COLUMNS.items()]
+    columns = [f"f.{k}" for k in keys] + [f"{_MERGED[k]} AS {c}" for k, c in _STATE_COLUMNS.items()]
     group = f" GROUP BY {', '.join(f'f.{k}' for k in keys)}" if keys else ""
     return f"(SELECT {', '.join(columns)} FROM {states} f{group})"
 
 
-def create_statement(name: str, as_name: str, tables: Mapping[str, str], rollup: bool, temporary: bool) -> str:
+def states_query(source: str, rollup: bool) -> str:
+    """The states of a rollup, or of every flight of a fact."""
+    if rollup:
+        return f"SELECT {', '.join((*KEYS, *STATE_COLUMNS))} FROM {source}"
+    own = [f"{sql} AS {c}" for sql, c in zip(_OF_ONE_FLIGHT, STATE_COLUMNS)]
+    return f"SELECT {', '.join((*KEYS, *own))} FROM {source}"
+
+
+def create_statement(name: str, as_name: str, tables: Mapping[str, str], temporary: bool) -> str:
     """``CREATE FUNCTION`` of one report over ``tables`` (``states``, ``airlines``, ``airports``, ``raw``)."""
     f, states = FUNCTIONS[name], tables["states"]
     groups = {
-        "in_all": _grouped(states, rollup),
-        "by_airline": _grouped(states, rollup, "AIRLINE_CODE"),
-        "by_origin": _grouped(states, rollup, "ORIGIN_AIRPORT"),
-        "by_key": states if rollup else _grouped(states, rollup, *KEYS),
+        "in_all": _grouped(states),
+        "by_airline": _grouped(states, "AIRLINE_CODE"),
+        "by_origin": _grouped(states, "ORIGIN_AIRPORT"),
+        "by_key": _grouped(states, *KEYS),
     }
     body = f.body.format(m=_MERGED, **groups, **tables).strip()
     kind = "TEMPORARY FUNCTION" if temporary else "FUNCTION"
     return f"CREATE OR REPLACE {kind} {as_name}({f.parameters})\nRETURNS TABLE({f.columns})\nRETURN {body}"
 
 
+def point_states(spark: SparkSession, rollup: bool, layer: str = "gold") -> None:
+    """Let the reports read the rollup, or the fact."""
+    table = "rollup_flights_delay" if rollup else "fact_flights_delay"
+    spark.sql(f"CREATE OR REPLACE VIEW `{layer}`.{STATES_VIEW} AS {states_query(f'`{layer}`.{table}', rollup)}")
+
+
 def register_report_functions(spark: SparkSession, rollup: bool, layer: str = "gold") -> list[str]:
     """All reports as functions of the catalog's ``layer``, over the registered tables.
 
-    ``rollup`` says whether ``gold.rollup_flights_delay`` is the current fact's.
+    ``rollup`` says whether the registered rollup is the current fact's.
     """
-    tables = {
-        "states": f"{layer}.rollup_flights_delay" if rollup else f"{layer}.fact_flights_delay",
-        "airlines": "bronze.airlines",
-        "airports": "bronze.airports",
-        "raw": "bronze.flights",
-    }
+    point_states(spark, rollup, layer)
+    tables = {"states": f"{layer}.{STATES_VIEW}", "airlines": "bronze.airlines", "airports": "bronze.airports", "raw": "bronze.flights"}
     for name in FUNCTIONS:
-        spark.sql(create_statement(name, f"`{layer}`.{name}", tables, rollup, temporary=False))
+        spark.sql(create_statement(name, f"`{layer}`.{name}", tables, temporary=False))
     return [f"{layer}.{name}" for name in FUNCTIONS]
