@@ -69,17 +69,38 @@ class Selection:
         return self.dim.filter(F.col(self.dim_name).isin(list(self.names))).select(F.col(self.dim_key).alias("_sel_key"))
 
 
-def resolve_selections(fact: DataFrame, *selections: Selection) -> DataFrame:
+def _within_ranges(column: Column, keys: DataFrame, ranges: int) -> Column:
+    """``column`` lies in one of ``ranges`` stretches that together hold all chosen keys.
+
+    The ends are scalar subqueries, so Spark knows them when the scan starts and pushes them into it.
+    With no more keys than ranges every stretch is one key.
+    """
+    n, ends = F.size("keys"), []
+    for i in range(ranges):
+        first = F.floor(n * i / ranges)
+        for place in (first, F.greatest(first, F.ceil(n * (i + 1) / ranges) - 1)):
+            # Spark merges equal subqueries into one struct, and no scan takes a field of a struct as a bound;
+            # a coalesce of its own, which moves nothing here, keeps every subquery apart.
+            found = keys.coalesce(len(ends) + 1).agg(F.array_sort(F.collect_set("_sel_key")).alias("keys"))
+            ends.append(found.select(F.get("keys", place.cast("int"))).scalar())
+    return functools.reduce(lambda a, b: a | b, [column.between(lo, hi) for lo, hi in zip(ends[::2], ends[1::2])])
+
+
+def resolve_selections(fact: DataFrame, *selections: Selection, ranges: int = 0) -> DataFrame:
     """Keep fact rows whose dimension *names* are all selected.
 
     Every selection is a ``left_semi`` join to the filtered dimension, so names and codes are
     resolved when the query runs and no code travels through the driver.  Selections that are
     counted to be small (in one job for all) are broadcast.  No names means no filter.
+    Over a stored fact, ``ranges`` above 0 also filters by that many key ranges known before the scan, so
+    that files and row groups are skipped by their statistics; the join decides what stays.
     """
     wanted = [s for s in selections if s.names]
     if not wanted:
         return fact
     for selection, keys in zip(wanted, maybe_broadcast_all(*[s.keys() for s in wanted])):
+        if ranges:
+            fact = fact.where(_within_ranges(F.col(selection.fact_key), selection.keys(), ranges))
         fact = fact.join(keys, F.col(selection.fact_key) == F.col("_sel_key"), "left_semi")
     return fact
 

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..schemas import DELAY_COLUMNS, DELAY_MAX, DELAY_MIN, Contract
 from .joins import maybe_broadcast
@@ -55,6 +56,25 @@ def schema_drift(actual: Iterable[str], expected: Iterable[str]) -> dict[str, li
     return {"missing": sorted(e - a), "extra": sorted(a - e)}
 
 
+def typed_drift(actual: StructType, expected: StructType) -> dict[str, list[str]]:
+    """Drift in names and types: ``missing``, ``extra``, ``wider`` (safe to read as the wider type) and ``changed``."""
+    from ..sources.layers import SchemaMismatchError, merged_schema
+
+    out = {**schema_drift([f.name for f in actual.fields], [f.name for f in expected.fields]), "wider": [], "changed": []}
+    kinds = {f.name: f for f in expected.fields}
+    for f in actual.fields:
+        want = kinds.get(f.name)
+        if want is None or want.dataType == f.dataType:
+            continue
+        change = f"{f.name}: {want.dataType.simpleString()} -> {f.dataType.simpleString()}"
+        try:
+            wide = merged_schema(StructType([want]), StructType([f])).fields[0].dataType == f.dataType
+        except SchemaMismatchError:
+            wide = False
+        out["wider" if wide else "changed"].append(change)
+    return out
+
+
 class SchemaDriftError(ValueError):
     pass
 

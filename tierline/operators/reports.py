@@ -26,6 +26,10 @@ from .states import States, mean_of, share_of, states_of
 ARRIVAL_STATES = ("ROW_COUNT", "LATE_COUNT", "ARRIVAL_DELAY_SUM", "ARRIVAL_DELAY_COUNT")
 
 
+#: Key ranges that narrow the scan of a stored fact by selected names.
+SCAN_RANGES = 2
+
+
 def _lower(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).alias(c.lower()) for c in cols]
 
@@ -251,6 +255,7 @@ def dashboard(
         chosen.frame,
         Selection(airlines, airline_names, "AIRLINE_CODE", dim_name="AIRLINE"),
         Selection(airports, airport_names, "ORIGIN_AIRPORT", dim_name="AIRPORT"),
+        ranges=0 if chosen.merged else SCAN_RANGES,
     )
     board = airline_leaderboard(by_airline, airlines)
     return {

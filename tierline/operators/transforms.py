@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import compose_date
 from ..schemas import DATE_PARTS, DELAY_COLUMNS, FACT_COLUMNS
-from .joins import broadcast_bound, byte_bound, maybe_broadcast, profile_dimension
+from .joins import broadcast_bound, byte_bound, join_skewed, maybe_broadcast, profile_dimension
 
 
 def with_flight_date(raw: DataFrame, name: str = "FLIGHT_DATE", strict: bool = False) -> DataFrame:
@@ -49,8 +49,9 @@ def enrich(
     With ``check_unique`` one aggregate job over the dimension returns its row
     count and the number of repeated keys: a repeated key raises (the left join
     would silently fan out fact rows), and the row count decides the broadcast.
-    Without it, a bounded count decides the broadcast.  Beyond the bound the
-    join is a shuffle join (adaptive execution splits a hot code).
+    Without it, a bounded count decides the broadcast.  Beyond the bound a checked dimension is
+    joined by ``join_skewed``, which broadcasts the rows of hot codes alone and
+    shuffles the rest; an unchecked one by a plain shuffle join.
     """
     dim = airlines.select(
         F.col("IATA_CODE").alias("_DIM_CODE"), F.col("AIRLINE").alias("AIRLINE_NAME")
@@ -61,12 +62,14 @@ def enrich(
         if repeated:
             raise ValueError(f"airlines: key ('IATA_CODE',) is not unique ({repeated} codes repeat)")
         bound = broadcast_bound(dim) if max_broadcast_rows is None else max_broadcast_rows
-        dim_side = F.broadcast(dim) if rows <= bound and size <= byte_bound(dim) else dim
+        fits = rows <= bound and size <= byte_bound(dim)
+        dim_side = F.broadcast(dim) if fits else dim
     else:
-        dim_side = maybe_broadcast(dim, max_broadcast_rows)
+        fits, dim_side = True, maybe_broadcast(dim, max_broadcast_rows)
     flights = clean_df.withColumnRenamed("AIRLINE", "AIRLINE_CODE")
-    joined = flights.join(dim_side, F.col("AIRLINE_CODE") == F.col("_DIM_CODE"), "left")
-    return joined
+    if not fits:
+        return join_skewed(flights, dim, "AIRLINE_CODE", "_DIM_CODE")
+    return flights.join(dim_side, F.col("AIRLINE_CODE") == F.col("_DIM_CODE"), "left")
 
 
 def build_fact(enriched: DataFrame) -> DataFrame:

@@ -341,9 +341,11 @@ _SAME = {
 }
 _SQL |= {new: _SQL[old] for new, old in _SAME.items()}
 _SQL["sql_top_airports"] = f"""
-SELECT CAST(row_number() OVER (ORDER BY delay_pct DESC NULLS LAST, airport NULLS LAST, city NULLS LAST, state NULLS LAST) AS INTEGER) AS place,
-       *, concat(substr(airport, 1, 35), ' (', state, ')') AS label
-FROM ({_AIRPORT_BOARD} LIMIT 10) t
+SELECT * FROM (
+  SELECT CAST(row_number() OVER (ORDER BY delay_pct DESC NULLS LAST, airport NULLS LAST, city NULLS LAST, state NULLS LAST) AS INTEGER) AS place,
+         *, concat(substr(airport, 1, 35), ' (', state, ')') AS label
+  FROM ({_AIRPORT_BOARD}) t
+) ranked WHERE place <= 10
 """
 _FOOTERS = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, MIN({key}) AS min_key, MAX({key}) AS max_key FROM {t}"

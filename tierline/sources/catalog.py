@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import durable_catalog
+from .footers import file_stats
 from .fs import list_dirs
-from .layers import current_version, ensure_layer, layer_location, read_layer, read_record, read_version, register_version, schema_diff, version_name
+from .layers import current_version, ensure_layer, layer_location, read_layer, read_record, read_version, register_version, schema_diff, version_name, version_tables
 
 # Layer namespaces and the tables each holds.
 LAYER_TABLES = (
@@ -96,6 +97,15 @@ def layer_row_counts(spark: SparkSession) -> DataFrame:
     return layer_counts(present)
 
 
+def stored_stats(spark: SparkSession, base: str, layer: str, table: str, bounds: tuple[str, ...] = ()) -> dict:
+    """Rows, and least and greatest values of ``bounds``, of the current version, from its footers."""
+    at = layer_location(spark, base, layer, table)
+    if at is None:
+        raise FileNotFoundError(f"no committed version of {layer}.{table} under {base}")
+    place, schema = version_tables(spark, table, at).get(table, (at, None))
+    return file_stats(spark, place, bounds, schema)
+
+
 def query(spark: SparkSession, sql: str, args: dict | None = None) -> DataFrame:
     """SQL text over the registered tables; values are bound, never spliced."""
     return spark.sql(sql, args=args) if args else spark.sql(sql)

@@ -22,7 +22,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from . import fs
 
@@ -72,6 +72,67 @@ def schema_diff(old: StructType, new: StructType) -> list[str]:
     return out
 
 
+#: Types whose every value the later types of the same line hold exactly.
+WIDER = (
+    ("tinyint", "smallint", "int", "bigint"),
+    ("tinyint", "smallint", "int", "double"),
+    ("tinyint", "smallint", "float", "double"),
+    ("date", "timestamp_ntz"),
+)
+
+
+def _wider(a: DataType, b: DataType) -> DataType | None:
+    """The one of two types that holds all values of both, if there is one."""
+    if a == b:
+        return a
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType):
+        for x, y in ((a, b), (b, a)):
+            if x.scale >= y.scale and x.precision - x.scale >= y.precision - y.scale:
+                return x
+        return None
+    names = a.simpleString(), b.simpleString()
+    for line in WIDER:
+        if names[0] in line and names[1] in line:
+            return a if line.index(names[0]) > line.index(names[1]) else b
+    return None
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """One schema that reads both: columns of ``old`` in their order, then the added ones, each of the wider type.
+
+    Names match without regard to case and all columns are nullable.  Types with no common one are refused.
+    """
+    later = {f.name.lower(): f for f in new.fields}
+    out = []
+    for f in old.fields:
+        g = later.pop(f.name.lower(), f)
+        kind = _wider(f.dataType, g.dataType)
+        if kind is None:
+            raise SchemaMismatchError(f"column {f.name}: {f.dataType.simpleString()} and {g.dataType.simpleString()} have no common type")
+        out.append(StructField(f.name, kind, True))
+    return StructType(out + [StructField(f.name, f.dataType, True) for f in later.values()])
+
+
+def evolved(old: StructType, new: StructType) -> StructType:
+    """The schema of a table that takes ``new`` after ``old``: columns may be added and types widened.
+
+    A dropped column is refused.  A column that comes narrower than the table's is widened on the way in, so no
+    version ever narrows the table.
+    """
+    missing = [f.name for f in old.fields if f.name.lower() not in {g.name.lower() for g in new.fields}]
+    if missing:
+        raise SchemaMismatchError(f"dropped columns {missing}")
+    return merged_schema(old, new)
+
+
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with exactly these columns and types; what it lacks is null."""
+    have = {c.lower(): c for c in df.columns}
+    return df.select(
+        *[(F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
+
+
 def _quoted(uri: str) -> str:
     """A URI inside a SQL string literal."""
     return uri.replace("\\", "\\\\").replace("'", "\\'")
@@ -152,14 +213,17 @@ def register_table(
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def table_schema(spark: SparkSession, base: str, layer: str, table: str, fmt: str = "parquet") -> StructType | None:
+    """Columns of the registered table, else (a fresh session) of the newest version."""
+    if spark.catalog.tableExists(f"{layer}.{table}"):
+        return spark.table(f"{layer}.{table}").schema
+    loc = current_version(spark, base, layer, table)
+    return read_version(spark, loc, fmt).schema if loc else None
+
+
 def check_shape(spark: SparkSession, base: str, layer: str, table: str, incoming: StructType, fmt: str = "parquet") -> None:
     """Refuse columns that differ from the registered table's, else (a fresh session) the newest version's."""
-    qualified = f"{layer}.{table}"
-    if spark.catalog.tableExists(qualified):
-        previous = spark.table(qualified).schema
-    else:
-        loc = current_version(spark, base, layer, table)
-        previous = read_version(spark, loc, fmt).schema if loc else None
+    qualified, previous = f"{layer}.{table}", table_schema(spark, base, layer, table, fmt)
     diff = schema_diff(previous, incoming) if previous is not None else []
     if diff:
         raise SchemaMismatchError(
@@ -184,6 +248,7 @@ def write_layer(
     table: str,
     fmt: str = "parquet",
     overwrite_schema: bool = False,
+    evolve: bool = False,
     partition_by: Sequence[str] | None = None,
     metrics: Sequence[Column] = (),
     validate: Callable[[dict], None] | None = None,
@@ -197,6 +262,7 @@ def write_layer(
     ``validate`` sees the metrics after the data is written and before the version is
     marked as committed (``_SUCCESS``) and the catalog is switched.  If it raises, or the
     process ends there, the version stays uncommitted and no reader picks it.
+    ``evolve`` accepts a schema that differs by added columns and wider types, and refuses any other change.
     ``cluster_by`` sorts rows *within* each write task (no shuffle).
     ``inputs`` (what the version is made of) and ``options`` go into its record next to the metrics,
     before the marker, so a committed version always has its record.
@@ -204,6 +270,11 @@ def write_layer(
     spark = df.sparkSession
     ensure_layer(spark, base, layer)
     exists = spark.catalog.tableExists(f"{layer}.{table}")
+    if evolve and not overwrite_schema:
+        previous = table_schema(spark, base, layer, table, fmt)
+        if previous is not None and schema_diff(previous, df.schema):
+            df = conform(df, evolved(previous, df.schema))
+            overwrite_schema = bool(schema_diff(previous, df.schema))  # it differs by safe changes alone
     if not overwrite_schema:
         incoming = df.schema
         if partition_by:  # partition columns are stored (and read back) last
@@ -303,6 +374,34 @@ def read_version(spark: SparkSession, location: str, fmt: str = "parquet", table
     return spark.read.schema(schema).option(ALL_FOLDERS, "true").format(fmt).load(place)
 
 
+def versions(spark: SparkSession, base: str, layer: str, table: str) -> list[str]:
+    """All committed versions, oldest first."""
+    root = layer_uri(base, layer, table)
+    names = [n for n in fs.list_dirs(spark, root) if n.startswith(VERSION_PREFIX)]
+    return [f"{root}/{n}" for n in names if fs.exists(spark, f"{root}/{n}/_SUCCESS")]
+
+
+def read_versions(spark: SparkSession, base: str, layer: str, table: str, locations: Sequence[str] | None = None) -> DataFrame:
+    """Several versions (all committed ones by default) as one schema, with the version's name in ``_version``.
+
+    Versions of different shapes read together: the scan itself widens their types, columns that a version lacks
+    are null.
+    """
+    found = list(locations) if locations is not None else versions(spark, base, layer, table)
+    if not found:
+        raise FileNotFoundError(f"no committed version of {layer}.{table} under {base}")
+    parts = {at: version_tables(spark, table, at).get(table, (at, None)) for at in found}
+    schemas = [own if own is not None else spark.read.parquet(place).schema for place, own in parts.values()]
+    merged = schemas[0]
+    for schema in schemas[1:]:
+        merged = merged_schema(merged, schema)
+    out = None
+    for at, (place, _) in parts.items():
+        rows = spark.read.schema(merged).option(ALL_FOLDERS, "true").parquet(place).withColumn("_version", F.lit(version_name(at)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def read_layer(spark: SparkSession, layer: str, table: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
     """The current version of a layer table: from the catalog, else from storage."""
     if spark.catalog.tableExists(f"{layer}.{table}"):
