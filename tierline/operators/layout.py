@@ -17,7 +17,7 @@ most files by their statistics.  All expressions are native and compiled.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +30,7 @@ CELL_QUANTILES = 512
 #: Accuracy of the observed quantiles: their sketches stay below 100 KB a task.
 ACCURACY = 2000
 PREFIX = "layout:"
+LOOKED_AT = 16
 
 
 def number_of(value: Column, kind: str) -> Column:
@@ -40,18 +41,39 @@ def number_of(value: Column, kind: str) -> Column:
     return F.conv(digits, 16, 10).cast("bigint")
 
 
-def quantiles(columns: Mapping[str, tuple[Column, str]], buckets: int = 1 << BITS) -> list[Column]:
+def looked_at(spread: Sequence[Column]) -> Column:
+    """True for one in ``LOOKED_AT`` rows, by a hash: quantiles need no more, and the others cost next to nothing.
+
+    Only the places of file boundaries depend on it.
+    """
+    return F.pmod(F.xxhash64(*spread), F.lit(LOOKED_AT)) == 0
+
+
+def quantiles(columns: Mapping[str, tuple[Column, str]], spread: Sequence[Column], buckets: int = 1 << BITS) -> list[Column]:
     """Aggregates that cut every named dimension into buckets of about equal rows."""
-    at = [i / buckets for i in range(1, buckets)]
-    return [F.percentile_approx(number_of(c, kind), at, ACCURACY).alias(f"{PREFIX}{name}") for name, (c, kind) in columns.items()]
+    at, some = [i / buckets for i in range(1, buckets)], looked_at(spread)
+    return [
+        F.percentile_approx(F.when(some, number_of(c, kind)), at, ACCURACY).alias(f"{PREFIX}{name}") for name, (c, kind) in columns.items()
+    ]
+
+
+def _literals(values: Iterable[int], kind: str = "") -> str:
+    """An array literal: one text that Spark folds, where as many Column objects would take seconds."""
+    return f"array({', '.join(f'{v}{kind}' for v in values)})"
 
 
-def _bucket(number: Column, cuts: Sequence[int]) -> Column:
-    """How many cuts the number has reached; a null is in the first bucket."""
-    out = F.lit(0)
-    for cut in cuts:
-        out = out + F.when(number >= F.lit(cut), 1).otherwise(0)
-    return out
+def _bucket(number: str, cuts: Sequence[int]) -> Column:
+    """How many cuts a column's number has reached; a null is in the first bucket.
+
+    A filter over a literal keeps the compiled code of a row small; fifteen comparisons a dimension do not.
+    The number is bound first, or the optimizer would move its expression into the filter, once for every cut.
+    """
+    return F.expr(f"transform(array(`{number}`), n -> size(filter({_literals(cuts, 'L')}, c -> c <= n)))[0]") if cuts else F.lit(0)
+
+
+def _spread_bits(step: int, shift: int) -> list[int]:
+    """Every bucket with its bits ``step`` apart, from bit ``shift``."""
+    return [sum(((bucket >> bit) & 1) << (bit * step + shift) for bit in range(BITS)) for bucket in range(1 << BITS)]
 
 
 @dataclass(frozen=True)
@@ -67,17 +89,23 @@ class Curve:
             return None
         return cls(tuple((n, k, tuple(sorted(set(metrics[f"{PREFIX}{n}"] or ())))) for n, k in kinds.items()))
 
-    def cell(self, columns: Mapping[str, Column]) -> Column:
-        buckets = [_bucket(number_of(columns[name], kind), cuts) for name, kind, cuts in self.dimensions]
-        out = F.lit(0)
-        for bit in range(BITS):
-            for place, bucket in enumerate(reversed(buckets)):
-                out = out + F.shiftleft(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), bit * len(buckets) + place)
-        return out
-
-    def cell_quantiles(self, columns: Mapping[str, Column]) -> Column:
-        at = [i / CELL_QUANTILES for i in range(1, CELL_QUANTILES)]
-        return F.percentile_approx(self.cell(columns), at, ACCURACY).alias(f"{PREFIX}cells")
+    def with_cell(self, df: DataFrame, columns: Mapping[str, Column], name: str, of: Column | None = None) -> DataFrame:
+        """Adds every row's cell (of rows where ``of`` holds; else null), step by step, so that nothing is computed twice."""
+        number = lambda d, kind: number_of(columns[d], kind) if of is None else F.when(of, number_of(columns[d], kind))
+        numbers = {f"_number_{d}": number(d, kind) for d, kind, _ in self.dimensions}
+        buckets = {f"_bucket_{d}": _bucket(f"_number_{d}", cuts) for d, _, cuts in self.dimensions}
+        last = len(self.dimensions) - 1
+        parts = [f"element_at({_literals(_spread_bits(last + 1, last - i))}, `{b}` + 1)" for i, b in enumerate(buckets)]
+        cell = F.expr(" + ".join(parts))
+        if of is not None:
+            cell = F.when(of, cell)
+        return df.withColumns(numbers).withColumns(buckets).withColumn(name, cell).drop(*numbers, *buckets)
+
+    def observed_cells(self, df: DataFrame, columns: Mapping[str, Column], spread: Sequence[Column], name: str) -> tuple[DataFrame, Column]:
+        """``df`` with a helper column, and the aggregate of it that tells how rows lie on the curve."""
+        at = ", ".join(f"{i / CELL_QUANTILES}D" for i in range(1, CELL_QUANTILES))
+        celled = self.with_cell(df, columns, name, looked_at(spread))
+        return celled, F.expr(f"percentile_approx(`{name}`, array({at}), {ACCURACY})").alias(f"{PREFIX}cells")
 
     @property
     def cells(self) -> int:
@@ -119,17 +147,17 @@ class Layout:
         deal(0, self.curve.cells, 0, files)
         return out
 
-    def file_of(self, columns: Mapping[str, Column], files: int, spread: Sequence[Column]) -> Column:
-        """The file a row goes to, from 0; rows of a cell with several files are spread by a hash."""
+    def file_of(self, cell: Column, files: int, spread: Sequence[Column]) -> Column:
+        """The file a row of a cell goes to, from 0; rows of a cell with several files are spread by a hash."""
         spans = self.spans(files)
-        # One folded literal each instead of thousands of expressions.
+        # Thousands of literals, folded from one text: as separate expressions they take the analyzer seconds.
         table = lambda values: F.from_json(F.lit(str(list(values))), "array<int>")
-        cell = self.curve.cell(columns) + F.lit(1)
-        first, wide = F.element_at(table(a for a, _ in spans), cell), F.element_at(table(b - a + 1 for a, b in spans), cell)
+        first, wide = F.element_at(table(a for a, _ in spans), cell + 1), F.element_at(table(b - a + 1 for a, b in spans), cell + 1)
         return (first + F.pmod(F.xxhash64(*spread), wide.cast("bigint"))).cast("int")
 
 
 def deal(df: DataFrame, layout: Layout, columns: Mapping[str, Column], files: int, spread: Sequence[Column]) -> DataFrame:
     """Rows dealt out to ``files`` tasks along the curve: one exchange, no sampling pass."""
     names = df.columns
-    return df.withColumn("_file", layout.file_of(columns, files, spread)).repartitionById(files, F.col("_file")).select(*names)
+    celled = layout.curve.with_cell(df, columns, "_cell")
+    return celled.withColumn("_file", layout.file_of(F.col("_cell"), files, spread)).repartitionById(files, F.col("_file")).select(*names)

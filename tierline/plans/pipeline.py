@@ -60,8 +60,11 @@ Log = Callable[[str], None]
 UNMATCHED_TABLE = "_unmatched_airline_codes"
 #: Dimensions of the fact's files, in the order of the curve, and what sorts rows inside a file.
 FACT_DIMENSIONS = {"FLIGHT_DATE": "date", "AIRLINE_CODE": "text", "ORIGIN_AIRPORT": "text"}
+#: Columns whose hash spreads rows of one cell; raw, clean and fact rows have them all.
+SPREAD_NAMES = ("FLIGHT_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "ARRIVAL_DELAY")
+SPREAD = [F.col(c) for c in SPREAD_NAMES]
 #: Rows of a fact file (more files where fewer would leave cores idle, down to the second number).
-FACT_FILE_ROWS, FACT_LEAST_ROWS = 4_000_000, 250_000
+FACT_FILE_ROWS, FACT_LEAST_ROWS = 4_000_000, 50_000
 
 
 class ContractViolation(ValueError):
@@ -118,7 +121,7 @@ def ingest(
 
     observed = [m for m in C.ingest_metrics(source, contract.names)][1:]  # the write counts its rows itself
     if contract.name == FLIGHTS.name:
-        observed += G.quantiles(_layout_columns(source))
+        observed += G.quantiles(_layout_columns(source), SPREAD)
     metrics = write_split(
         source, base, "bronze", name, f"_quarantine_{name}", C.CORRUPT, keep=keep_malformed,
         metrics=observed, validate=before_publish, inputs=inputs, options={"keep_malformed": keep_malformed},
@@ -228,11 +231,13 @@ def run_silver(
     raw = Q.check_drift(read_layer(spark, "bronze", "flights", base), FLIGHTS, warn=log)
     clean = T.clean(raw, strict_dates=strict_dates)
     curve, seen = _curve(spark, base, "bronze", "flights")
-    metrics = silver_metrics()
+    metrics, helpers = silver_metrics(), []
     if curve:
-        metrics.append(curve.cell_quantiles({"FLIGHT_DATE": F.col("FLIGHT_DATE"), "AIRLINE_CODE": F.col("AIRLINE"), "ORIGIN_AIRPORT": F.col("ORIGIN_AIRPORT")}))
+        columns = {"FLIGHT_DATE": F.col("FLIGHT_DATE"), "AIRLINE_CODE": F.col("AIRLINE"), "ORIGIN_AIRPORT": F.col("ORIGIN_AIRPORT")}
+        clean, cells = curve.observed_cells(clean, columns, SPREAD, "_cell")
+        metrics, helpers = [*metrics, cells], ["_cell"]
         options["cuts"] = {k: v for k, v in seen.items() if k.startswith(G.PREFIX)}
-    m = write_layer(clean, base, "silver", "flights", metrics=metrics, overwrite_schema=overwrite_schema, inputs=inputs, options=options)
+    m = write_layer(clean, base, "silver", "flights", metrics=metrics, helpers=helpers, overwrite_schema=overwrite_schema, inputs=inputs, options=options)
     log(f"silver: {m['rows']:,} rows, invalid FLIGHT_DATE {m['invalid_dates']:,}")
     if m["out_of_range"]:
         log(f"[WARN] rows with delay outside the accepted range: {m['out_of_range']:,}")
@@ -249,11 +254,12 @@ def fact_layout(spark: SparkSession, base: str, fact: DataFrame) -> tuple[G.Layo
         return G.Layout(curve, tuple(cells)), metrics["rows"]
     # A clean layer that another tool wrote: two passes over the three columns, with no join.
     columns = {name: F.col(name) for name in FACT_DIMENSIONS}
-    dims = fact.select(*columns)
-    wanted = G.quantiles({name: (F.col(name), kind) for name, kind in FACT_DIMENSIONS.items()})
+    dims = fact.select(*columns, *[c for c in SPREAD_NAMES if c not in columns])
+    wanted = G.quantiles({name: (F.col(name), kind) for name, kind in FACT_DIMENSIONS.items()}, SPREAD)
     counted = dims.agg(F.count(F.lit(1)).alias("rows"), *wanted).first().asDict()
     curve = G.Curve.of(counted, FACT_DIMENSIONS)
-    cells = dims.agg(curve.cell_quantiles(columns)).first()[0]
+    celled, wanted = curve.observed_cells(dims, columns, SPREAD, "_cell")
+    cells = celled.agg(wanted).first()[0]
     return G.Layout(curve, tuple(cells or ())), counted["rows"]
 
 
@@ -268,8 +274,7 @@ def fact_rows(spark: SparkSession, base: str, files: int | None = None) -> DataF
     layout, rows = fact_layout(spark, base, T.fact_measures(flights))
     fact = T.fact(flights, read_layer(spark, "bronze", "airlines", base), check_unique=True)
     columns = {name: F.col(name) for name in FACT_DIMENSIONS}
-    spread = [F.col("FLIGHT_NUMBER"), F.col("DESTINATION_AIRPORT"), F.col("DEPARTURE_DELAY"), F.col("ARRIVAL_DELAY")]
-    return G.deal(fact, layout, columns, files or fact_files(spark, rows), spread)
+    return G.deal(fact, layout, columns, files or fact_files(spark, rows), SPREAD)
 
 
 def run_gold(

@@ -251,6 +251,7 @@ def write_layer(
     evolve: bool = False,
     partition_by: Sequence[str] | None = None,
     metrics: Sequence[Column] = (),
+    helpers: Sequence[str] = (),
     validate: Callable[[dict], None] | None = None,
     cluster_by: Sequence[str] | None = None,
     inputs: Mapping[str, str] | None = None,
@@ -258,7 +259,8 @@ def write_layer(
 ) -> dict:
     """Full refresh of ``layer.table`` (S5, S6); returns the observed metrics.
 
-    ``rows`` is always observed; ``metrics`` adds named aggregate columns.
+    ``rows`` is always observed; ``metrics`` adds named aggregate columns.  Columns named in ``helpers`` are there
+    for the metrics alone and are not written.
     ``validate`` sees the metrics after the data is written and before the version is
     marked as committed (``_SUCCESS``) and the catalog is switched.  If it raises, or the
     process ends there, the version stays uncommitted and no reader picks it.
@@ -271,19 +273,21 @@ def write_layer(
     ensure_layer(spark, base, layer)
     exists = spark.catalog.tableExists(f"{layer}.{table}")
     if evolve and not overwrite_schema:
+        if helpers:
+            raise ValueError("a table that evolves takes no helper columns")
         previous = table_schema(spark, base, layer, table, fmt)
         if previous is not None and schema_diff(previous, df.schema):
             df = conform(df, evolved(previous, df.schema))
             overwrite_schema = bool(schema_diff(previous, df.schema))  # it differs by safe changes alone
     if not overwrite_schema:
-        incoming = df.schema
+        incoming = StructType([f for f in df.schema.fields if f.name not in helpers])
         if partition_by:  # partition columns are stored (and read back) last
             rest = [f for f in incoming.fields if f.name not in partition_by]
             incoming = StructType(rest + [incoming[c] for c in partition_by])
         check_shape(spark, base, layer, table, incoming, fmt)
     target = _new_version(base, layer, table)
     obs = Observation(f"write-{layer}-{table}-{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics).drop(*helpers)
     if cluster_by:
         out = out.sortWithinPartitions(*cluster_by)
     # The job itself leaves no marker: a version counts only once it is validated.
