@@ -41,7 +41,7 @@ def number_of(value: Column, kind: str) -> Column:
     return F.conv(digits, 16, 10).cast("bigint")
 
 
-def looked_at(spread: Sequence[Column]) -> Column:
+def looked_at(spread: Sequence[str]) -> Column:
     """True for one in ``LOOKED_AT`` rows, by a hash: quantiles need no more, and the others cost next to nothing.
 
     Only the places of file boundaries depend on it.
@@ -49,7 +49,7 @@ def looked_at(spread: Sequence[Column]) -> Column:
     return F.pmod(F.xxhash64(*spread), F.lit(LOOKED_AT)) == 0
 
 
-def quantiles(columns: Mapping[str, tuple[Column, str]], spread: Sequence[Column], buckets: int = 1 << BITS) -> list[Column]:
+def quantiles(columns: Mapping[str, tuple[Column, str]], spread: Sequence[str], buckets: int = 1 << BITS) -> list[Column]:
     """Aggregates that cut every named dimension into buckets of about equal rows."""
     at, some = [i / buckets for i in range(1, buckets)], looked_at(spread)
     return [
@@ -101,7 +101,7 @@ class Curve:
             cell = F.when(of, cell)
         return df.withColumns(numbers).withColumns(buckets).withColumn(name, cell).drop(*numbers, *buckets)
 
-    def observed_cells(self, df: DataFrame, columns: Mapping[str, Column], spread: Sequence[Column], name: str) -> tuple[DataFrame, Column]:
+    def observed_cells(self, df: DataFrame, columns: Mapping[str, Column], spread: Sequence[str], name: str) -> tuple[DataFrame, Column]:
         """``df`` with a helper column, and the aggregate of it that tells how rows lie on the curve."""
         at = ", ".join(f"{i / CELL_QUANTILES}D" for i in range(1, CELL_QUANTILES))
         celled = self.with_cell(df, columns, name, looked_at(spread))
@@ -147,7 +147,7 @@ class Layout:
         deal(0, self.curve.cells, 0, files)
         return out
 
-    def file_of(self, cell: Column, files: int, spread: Sequence[Column]) -> Column:
+    def file_of(self, cell: Column, files: int, spread: Sequence[str]) -> Column:
         """The file a row of a cell goes to, from 0; rows of a cell with several files are spread by a hash."""
         spans = self.spans(files)
         # Thousands of literals, folded from one text: as separate expressions they take the analyzer seconds.
@@ -156,7 +156,7 @@ class Layout:
         return (first + F.pmod(F.xxhash64(*spread), wide.cast("bigint"))).cast("int")
 
 
-def deal(df: DataFrame, layout: Layout, columns: Mapping[str, Column], files: int, spread: Sequence[Column]) -> DataFrame:
+def deal(df: DataFrame, layout: Layout, columns: Mapping[str, Column], files: int, spread: Sequence[str]) -> DataFrame:
     """Rows dealt out to ``files`` tasks along the curve: one exchange, no sampling pass."""
     names = df.columns
     celled = layout.curve.with_cell(df, columns, "_cell")

@@ -61,8 +61,7 @@ UNMATCHED_TABLE = "_unmatched_airline_codes"
 #: Dimensions of the fact's files, in the order of the curve, and what sorts rows inside a file.
 FACT_DIMENSIONS = {"FLIGHT_DATE": "date", "AIRLINE_CODE": "text", "ORIGIN_AIRPORT": "text"}
 #: Columns whose hash spreads rows of one cell; raw, clean and fact rows have them all.
-SPREAD_NAMES = ("FLIGHT_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "ARRIVAL_DELAY")
-SPREAD = [F.col(c) for c in SPREAD_NAMES]
+SPREAD = ("FLIGHT_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "ARRIVAL_DELAY")
 #: Rows of a fact file (more files where fewer would leave cores idle, down to the second number).
 FACT_FILE_ROWS, FACT_LEAST_ROWS = 4_000_000, 50_000
 
@@ -254,7 +253,7 @@ def fact_layout(spark: SparkSession, base: str, fact: DataFrame) -> tuple[G.Layo
         return G.Layout(curve, tuple(cells)), metrics["rows"]
     # A clean layer that another tool wrote: two passes over the three columns, with no join.
     columns = {name: F.col(name) for name in FACT_DIMENSIONS}
-    dims = fact.select(*columns, *[c for c in SPREAD_NAMES if c not in columns])
+    dims = fact.select(*columns, *[c for c in SPREAD if c not in columns])
     wanted = G.quantiles({name: (F.col(name), kind) for name, kind in FACT_DIMENSIONS.items()}, SPREAD)
     counted = dims.agg(F.count(F.lit(1)).alias("rows"), *wanted).first().asDict()
     curve = G.Curve.of(counted, FACT_DIMENSIONS)
