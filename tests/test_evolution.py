@@ -54,7 +54,7 @@ def test_no_task_holds_the_hot_code(plain_session, skewed):
     small = dim.select(F.col("IATA_CODE").alias("k"), F.col("AIRLINE").alias("name"))
     usual = _tasks(flights.join(small.hint("shuffle_hash"), F.col("code") == F.col("k"), "left"))
     assert usual[-1] > 2 * usual[len(usual) // 2]  # what the plain shuffle join does
-    assert hot_keys(flights, "code") == ["HOT"]
+    assert hot_keys(flights, "code") == ["HOT", None]
     joined = join_skewed(flights, small, "code", "k")
     tasks = _tasks(joined)
     assert sum(tasks) == N and tasks[-1] <= 2 * tasks[len(tasks) // 2]
@@ -81,7 +81,12 @@ def test_few_rows_and_no_hot_key(spark, skewed):
     none = spark.createDataFrame([], "code string")
     assert hot_keys(none, "code") == [] and join_skewed(none, small, "code", "k").count() == 0
     even = spark.range(4000).select(F.col("id").cast("string").alias("code"))
-    assert hot_keys(even, "code") == [] and join_skewed(even, small, "code", "k").where("name is not null").count() == 4000
+    joined = join_skewed(even, small, "code", "k")
+    assert hot_keys(even, "code") == [] and joined.where("name is not null").count() == 4000
+    assert joined._jdf.queryExecution().executedPlan().toString().count("HashJoin") == 1  # rows are read once
+    nulls = spark.range(50).select(F.lit(None).cast("string").alias("code"))
+    assert hot_keys(nulls, "code") == [None] and join_skewed(nulls, small, "code", "k").count() == 50
+    assert join_skewed(nulls, small, "code", "k", how="inner").count() == 0
 
 
 # -- ranges -----------------------------------------------------------------------

@@ -103,12 +103,12 @@ HOT_SHARE = 0.005
 
 
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Values of ``key`` that hold more than ``share`` of all rows, from the aggregated counts of the key alone."""
+    """Values of ``key`` (null among them) that hold more than ``share`` of all rows, from the aggregated counts of the key alone."""
     seen = Observation(f"keys-{uuid.uuid4().hex[:8]}")
     per = rows.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     per = per.observe(seen, F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
     top = per.orderBy(F.desc("n")).limit(int(1 / share)).collect()
-    return [r["key"] for r in top if r["key"] is not None and r["n"] > share * seen.get["rows"]]
+    return [r["key"] for r in top if r["n"] > share * seen.get["rows"]]
 
 
 def join_skewed(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str = "left", share: float = HOT_SHARE) -> DataFrame:
@@ -117,16 +117,17 @@ def join_skewed(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, how: st
     The dimension's key must be unique, so the rows of the hot keys (fewer than ``1 / share``) are a broadcast of
     proven size: hot rows, and rows without a key, meet them where they lie.  The others are shuffled, and
     no key among them holds more than ``share``.  This needs nothing of the session's settings.  The counts
-    read the key column; rows are read in both branches.
+    read the key column; rows are read in both branches, or once where no key is hot.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"join_skewed joins left or inner, not {how!r}")
     hot = hot_keys(rows, key, share)
     on = F.col(key) == F.col(dim_key)
-    is_hot = F.col(key).isNull() | (F.col(key).isin(hot) if hot else F.lit(False))
-    few = dim.where(F.col(dim_key).isin(hot)) if hot else dim.where(F.lit(False))
-    here = rows.where(is_hot).join(F.broadcast(few), on, how)
-    rest = dim.where(~F.col(dim_key).isin(hot)) if hot else dim
     # A hint, so that no estimate turns the big dimension into a broadcast.
-    there = rows.where(~is_hot).join(rest.hint("shuffle_hash"), on, how)
-    return here.unionByName(there)
+    if not hot:
+        return rows.join(dim.hint("shuffle_hash"), on, how)
+    known = [k for k in hot if k is not None]
+    of_hot = lambda c: F.coalesce(F.col(c).isin(known), F.lit(False)) if known else F.lit(False)
+    here = F.col(key).isNull() | of_hot(key)
+    few, rest = dim.where(of_hot(dim_key)), dim.where(~of_hot(dim_key)).hint("shuffle_hash")
+    return rows.where(here).join(F.broadcast(few), on, how).unionByName(rows.where(~here).join(rest, on, how))
