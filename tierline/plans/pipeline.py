@@ -62,8 +62,8 @@ UNMATCHED_TABLE = "_unmatched_airline_codes"
 FACT_DIMENSIONS = {"FLIGHT_DATE": "date", "AIRLINE_CODE": "text", "ORIGIN_AIRPORT": "text"}
 #: Columns whose hash spreads rows of one cell; raw, clean and fact rows have them all.
 SPREAD = ("FLIGHT_NUMBER", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "DEPARTURE_DELAY", "ARRIVAL_DELAY")
-#: Rows of a fact file (more files where fewer would leave cores idle, down to the second number).
-FACT_FILE_ROWS, FACT_LEAST_ROWS = 4_000_000, 50_000
+#: Rows of a fact file; a fact beyond that is dealt out, and to no fewer files than there are cores.
+FACT_FILE_ROWS = 4_000_000
 
 
 class ContractViolation(ValueError):
@@ -231,7 +231,7 @@ def run_silver(
     clean = T.clean(raw, strict_dates=strict_dates)
     curve, seen = _curve(spark, base, "bronze", "flights")
     metrics, helpers = silver_metrics(), []
-    if curve:
+    if curve and seen["rows"] > FACT_FILE_ROWS:  # a fact of one file has no files to skip
         columns = {"FLIGHT_DATE": F.col("FLIGHT_DATE"), "AIRLINE_CODE": F.col("AIRLINE"), "ORIGIN_AIRPORT": F.col("ORIGIN_AIRPORT")}
         clean, cells = curve.observed_cells(clean, columns, SPREAD, "_cell")
         metrics, helpers = [*metrics, cells], ["_cell"]
@@ -264,14 +264,21 @@ def fact_layout(spark: SparkSession, base: str, fact: DataFrame) -> tuple[G.Layo
 
 def fact_files(spark: SparkSession, rows: int) -> int:
     cores = spark.sparkContext.defaultParallelism
-    return max(1, -(-rows // FACT_FILE_ROWS), min(cores, rows // FACT_LEAST_ROWS))
+    return max(cores, -(-rows // FACT_FILE_ROWS))
 
 
 def fact_rows(spark: SparkSession, base: str, files: int | None = None) -> DataFrame:
-    """The fact as it is written: the dimension joined and the rows dealt out to files along the curve."""
+    """The fact as it is written: the dimension joined and the rows dealt out to files along the curve.
+
+    A fact known to have no more rows than one file is written where its rows lie.
+    """
     flights = read_layer(spark, "silver", "flights", base)
-    layout, rows = fact_layout(spark, base, T.fact_measures(flights))
     fact = T.fact(flights, read_layer(spark, "bronze", "airlines", base), check_unique=True)
+    at = layer_location(spark, base, "silver", "flights")
+    known = read_record(spark, at).get("metrics", {}).get("rows") if at else None
+    if files is None and known is not None and known <= FACT_FILE_ROWS:
+        return fact
+    layout, rows = fact_layout(spark, base, T.fact_measures(flights))
     columns = {name: F.col(name) for name in FACT_DIMENSIONS}
     return G.deal(fact, layout, columns, files or fact_files(spark, rows), SPREAD)
 
@@ -290,7 +297,7 @@ def run_gold(
 
     The fact is dealt out along a curve through date, airline and origin (``operators.layout``), by cut points
     that earlier writes observed: scan and join run once, and filters on any of the three open only the files
-    whose statistics meet them.  ``files`` sets their number.  Every unmatched code is written to
+    whose statistics meet them.  ``files`` sets their number, and deals out small facts too.  Every unmatched code is written to
     ``gold._unmatched_airline_codes``; ``log_codes`` bounds the log line alone.
 
     The preview (P14) reads a few rows of the version just written, not the
