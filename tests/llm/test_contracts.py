@@ -233,6 +233,24 @@ def test_words_one_by_one_are_the_text(vocabulary, tokenizer):
         assert np.frombuffer(words.text(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_ids_equal_the_tokenizer_over_all_code_points(vocabulary, tokenizer):
+    words = packing.WordIds(vocabulary)
+    for at in range(0, 0x110000, 0x8000):
+        # Younger code points take the tokenizer itself; one in 101 of them is enough to see that.
+        points = [c for c in range(at, at + 0x8000) if not 0xD800 <= c <= 0xDFFF and (c % 101 == 0 or not packing.YOUNGER.match(chr(c)))]
+        texts = [f"a{chr(c)}b {chr(c)} {chr(c)}X" for c in points]
+        for t, e in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert np.frombuffer(words.text(t), "<u4").tolist() == e.ids, ascii(t)
+
+
+def test_ids_equal_the_tokenizer_over_random_texts(vocabulary, tokenizer):
+    rng, words = random.Random(7), packing.WordIds(vocabulary)
+    planes = [range(0x20, 0x250), range(0x20, 0x3000), range(0x10000), range(0x32000)]
+    texts = ["".join(chr(c) for c in rng.choices(planes[i % 4], k=12) if not 0xD800 <= c <= 0xDFFF) for i in range(20_000)]
+    for t, e in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(words.text(t), "<u4").tolist() == e.ids, ascii(t)
+
+
 def test_patterns_hold_the_histogram():
     rng = np.random.default_rng(1)
     counts = Counter(rng.integers(1, 65, 5000).tolist())

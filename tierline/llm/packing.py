@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
+import sys
 import unicodedata
 import zlib
 from array import array
@@ -30,6 +32,25 @@ PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
+def _younger() -> re.Pattern[str]:
+    """Code points that Unicode 3.2 does not assign.
+
+    The tokenizer, ``regex`` and Python each follow a later version of their own, so they may differ on
+    what is a letter, a number or a lower case there; up to 3.2 all agree, which a test goes through.
+    """
+    ranges: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.ucd_3_2_0.category(chr(c)) == "Cn":
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]")
+
+
+YOUNGER = _younger()
+
+
 def byte_letters() -> dict[int, str]:
     """Byte-level BPE's letters: printable Latin-1 bytes stand for themselves, others follow 255."""
     out, extra = {}, 256
@@ -68,13 +89,18 @@ class WordIds(Recent):
 
     def text(self, text: str | None) -> bytes:
         text = text or ""
+        if not text.isascii() and YOUNGER.search(text):
+            return self._whole(text)
         low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         # Separators that only Python takes for white space, special tokens, and lower case that would
         # be composed again are left to the tokenizer as a whole.
         if any(c in text for c in ODD) or not unicodedata.is_normalized("NFC", low):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._whole(text)
         return b"".join([self[w] for w in low.split()])
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
 
 _LOADED: dict[str, WordIds] = {}
 
