@@ -1,6 +1,7 @@
 """Toxicity votes, page extraction and the pipeline."""
 
 import random
+import time
 import zlib
 from math import exp
 
@@ -10,6 +11,7 @@ import pytest
 from tests.llm import brute
 from tests.llm.conftest import prose
 from tierline.llm import html_extract as H
+from tierline.llm import html_labels
 from tierline.llm import toxicity as T
 from tierline.llm.html_labels import LABELLED
 
@@ -108,6 +110,14 @@ def test_messages_equal_enumeration(model):
         ("<html><head><title>T</title></head><body></body></html>", ""),
         ('<body><nav><ul><li><a href="/">Home</a></li></ul></nav><article><h1>A&amp;B</h1><p>One\n two<br>three <b>four</b> here.<p>Next &lt;x&gt; words.</article><footer>Foot &copy;</footer>', "A&B\nOne two three four here.\nNext <x> words."),
         ('<body><article><p>First words of the story are here.</p><div class="ad">Buy now and save.</div><script>if (a<b) "</p>"</script><p>Last words of the story.</p><section class="comments"><p>I disagree.</p></section></article>', "First words of the story are here.\nLast words of the story."),
+        ("<body><article><p>one <canvas></canvas>two <audio></audio>three. Words that go on.</p></article>", "one two three. Words that go on."),
+        ('<body><article><p>Press <svg viewBox="0 0 1 1"><g><path d="M0"/></g></svg> to go on with this story.</p></article>', "Press to go on with this story."),
+        ("<body><article><p>The energy is <math><mi>E</mi><mo>=</mo><msup><mi>c</mi><mn>2</mn></msup></math> as known.</p></article>", "The energy is E=c2 as known."),
+        ("<body><article><p>A drawing <svg><text>left open<p>ends at the next paragraph of it.</article>", "A drawing left open\nends at the next paragraph of it."),
+        ("<body><article><p>Shown <svg><foreignObject><p>inside a drawing</p></foreignObject></svg> here.</p></article>", "Shown\ninside a drawing\nhere."),
+        ('<body><article><h2 class="header">Costs of it</h2><p class="story-replies">Answers came in all the week.</p><p class="promo">Buy this now</p><p>More words to read here.</p><p><a href="/x">The whole report</a></p></article>', "Costs of it\nAnswers came in all the week.\nMore words to read here.\nThe whole report"),
+        ("<body><article><h1>Goods</h1><p>What the shop has on offer this week.</p><ul><li>one</li><li><a href=/x>two</a></li></ul><table><tr><th>Year</th><td>1999</td></tr></table></article>", "Goods\nWhat the shop has on offer this week.\none\ntwo\nYear\n1999"),
+        ('<body><article><p>Words of the story to read.</p><p hidden>Hidden words of the story.</p></article><div id="cookie-notice" hidden><p>We use cookies on this site.</p></div>', "Words of the story to read.\nHidden words of the story."),
         ('<body><div class="sidebar"><p>Other things to read.</p></div><main><p>1 < 2 is true, as everybody knows.</p></main><!-- <p>no</p> -->', "1 < 2 is true, as everybody knows."),
     ],
 )
@@ -115,6 +125,30 @@ def test_pages(model, page, text):
     assert model.text(page) == text
 
 
+def test_drawn_pages_that_were_not_trained_on(model):
+    right = total = 0
+    for seed in range(10_000, 10_200):
+        nodes, _ = H.parse(html_labels._Draw(seed).page())
+        state = []
+        for x in nodes:
+            state.append(x.label if x.label is not None else state[x.parent] if x.parent > 0 and x.tag != "body" else 1)
+        p = model.marginals(nodes)
+        own = [i for i, x in enumerate(nodes) if x.chars]
+        right += sum((p[i] > 0.5) == state[i] for i in own)
+        total += len(own)
+    assert right > 0.95 * total and total > 500  # short lists of links alone are what is missed
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a '", "<a \"'", "<div></span>", "<b><hr>", "<td><b><hr>", "<div><li></li>", "<li><ul><div><dt></dt>", "<script></script ", "<a", "<", '<div x="', "<p>"])
+def test_broken_pages_take_time_by_their_length(model, part):
+    took = []
+    for size in (100_000, 400_000):
+        start = time.process_time()
+        model.text(part * (size // len(part)) + ">")
+        took.append(time.process_time() - start)
+    assert took[1] < 12 * took[0] + 0.5  # squares would take 16 times as long
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<article><p>Words that belong to the page itself.</p></article>"), (2, None, None), (1, "u", "<article><p>Words that belong to the page itself.</p></article>"), (3, "v", "<p>" * 3000 + "deep")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'t' as text", "1 as n_chars")

@@ -12,7 +12,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from math import exp, log
 
@@ -25,9 +25,14 @@ from .common import chunks
 # Element groups of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-DROPPED = RAW | frozenset("head svg math canvas object audio video button select option datalist input label map".split())
+#: Never text of a page: what browsers do not show, and the controls of forms.
+DROPPED = RAW | frozenset("head button select option datalist input".split())
+#: Their contents are part of the line they stand in, whatever elements they use.
+FOREIGN = frozenset("math svg".split())
+#: Elements inside FOREIGN that hold HTML again.
+ISLANDS = frozenset("foreignobject annotation-xml".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var img br wbr label button input select option".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var img br wbr label button input select option canvas object audio video map math svg".split()
 )
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
@@ -36,21 +41,21 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 FENCES = frozenset("ul ol dl table tbody thead select".split())
 GROUPS = {
     "article": "article main", "nav": "nav menu", "header": "header", "footer": "footer", "aside": "aside", "form": "form fieldset",
-    "box": "div section center details td th tr table tbody thead tfoot", "text": "p blockquote pre figure figcaption address", "heading": "h1 h2 h3 h4 h5 h6 hgroup",
+    "box": "div section center details", "table": "table", "cell": "td th tr tbody thead tfoot caption", "text": "p blockquote pre figure figcaption address", "heading": "h1 h2 h3 h4 h5 h6 hgroup",
     "list": "ul ol dl", "item": "li dt dd summary", "top": "html body",
 }
 GROUP = {t: g for g, tags in GROUPS.items() for t in tags.split()}
-BOILER = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar side menu nav navbar navigation topbar masthead footer header cookie cookies consent gdpr notice notices alert popup modal overlay toast share sharing social related recommended breadcrumb breadcrumbs newsletter subscribe subscription signup login widget toolbar pagination pager tags meta byline copyright legal disclaimer search skip rail".split()
-)
-TALK = frozenset("comment comments commentlist discussion disqus replies reply respond responses reviews thread".split())
-BODY = frozenset("article content entry post story main body text prose".split())
-
 #: Added to every count of a feature's values.
 SMOOTH = 0.1
-
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden|data-content)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: Elements that a word of a name is smoothed with.
+NAME_SMOOTH = 1.0
+#: A name counts as so many features.
+NAME_WEIGHT = 2.0
+
+NAME_END = re.compile(r"[\s/>]")
+SPECIAL = re.compile("[>\"']")
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 HINT = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
@@ -60,7 +65,7 @@ class Node:
 
     tag: str
     parent: int
-    hint: str = "none"
+    names: frozenset[str] = frozenset()  # words of class, id and role
     hidden: bool = False
     label: int | None = None
     chars: int = 0  # of its own text
@@ -70,35 +75,74 @@ class Node:
     children: list[int] = field(default_factory=list)
 
 
-def _attributes(text: str) -> tuple[str, bool, int | None]:
-    hint, hidden, label = "none", False, None
+def _attributes(text: str) -> tuple[frozenset[str], bool, int | None]:
+    names, hidden, label = set(), False, None
     for m in ATTRIBUTE.finditer(text):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in HINT.findall(value)}
-            if words & TALK:
-                hint = "talk"
-            elif hint != "talk" and words & BOILER:
-                hint = "boiler"
-            elif hint == "none" and words & BODY:
-                hint = "body"
+            names.update(w.lower() for w in HINT.findall(value))
         elif name == "style":
-            hidden |= bool(re.search(r"display\s*:\s*none", value, re.I))
+            hidden |= bool(HIDDEN.search(value))
         elif name == "aria-hidden":
             hidden |= value.lower() == "true"
         elif name == "hidden":
             hidden = True
-        else:
+        elif name == "data-content":
             label = int(value == "1")
-    return hint, hidden, label
+    return frozenset(names), hidden, label
+
+
+class Tags:
+    """Finds where tags end, each character of the page being looked at a bounded number of times."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.ends: dict[int, int] = {}  # place of a special character outside quotes -> end of its tag, or -1
+        self.name_end = self.special = -1
+
+    def read(self, at: int) -> tuple[str, str, int] | None:
+        """Name, attributes and end of the tag whose name starts at ``at``; calls come in page order."""
+        if self.name_end < at:
+            m = NAME_END.search(self.page, at)
+            self.name_end = m.start() if m else len(self.page)
+        name_end = self.name_end
+        if self.special < name_end:
+            m = SPECIAL.search(self.page, name_end)
+            self.special = m.start() if m else len(self.page)
+        end = self._end(self.special)
+        return None if end < 0 else (self.page[at:name_end].lower(), self.page[name_end:end], end + 1)
+
+    def _end(self, at: int) -> int:
+        """The first ``>`` outside quotes from the special character ``at`` on."""
+        page, ends, passed = self.page, self.ends, []
+        while at not in ends:
+            passed.append(at)
+            if at >= len(page):
+                ends[at] = -1
+            elif page[at] == ">":
+                ends[at] = at
+            else:
+                quote = page.find(page[at], at + 1)
+                m = SPECIAL.search(page, quote + 1) if quote >= 0 else None
+                if m is None:
+                    ends[at] = -1
+                else:
+                    at = m.start()
+        for x in passed:
+            ends[x] = ends[at]
+        return ends[at]
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """Block nodes in page order (parents first) and the runs of text ``(node, text)``."""
     nodes, runs = [Node("html", -1)], []
-    open_tags: list[tuple[str, int]] = []  # tag, node that holds its text
+    open_tags: list[tuple[str, int, bool]] = []  # tag, node that holds its text, is a block
+    places: dict[str, list[int]] = defaultdict(list)  # tag -> its places in open_tags
+    blocks: list[int] = []  # places of blocks
+    scopes: list[tuple[int, str]] = []  # places of open FOREIGN elements and of ISLANDS in them
     dropped = links = 0  # open elements of these kinds
     parts: list[str] = []
+    tags = Tags(page)
 
     def flush() -> None:
         if parts:
@@ -110,69 +154,96 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def close(n: int) -> None:
         nonlocal dropped, links
         while len(open_tags) > n:
-            tag, _ = open_tags[-1]
-            if tag not in INLINE:
+            tag, _, block = open_tags[-1]
+            if block:
                 flush()
+                blocks.pop()
             open_tags.pop()
+            places[tag].pop()
+            if scopes and scopes[-1][0] == len(open_tags):
+                scopes.pop()
             dropped -= tag in DROPPED
             links -= tag == "a"
 
+    def last(names: Iterable[str]) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=-1)
+
+    def say(text: str) -> None:
+        if not dropped:
+            text = html.unescape(text)
+            parts.append(text)
+            node = nodes[open_tags[-1][1] if open_tags else 0]
+            n = sum(map(len, text.split()))
+            node.chars += n
+            node.linked += n if links else 0
+
     at, end = 0, len(page)
     while at < end:
-        m = TOKEN.match(page, at)
-        at = m.end()
-        tag = (m[2] or "").lower()
-        if not tag:
-            text = m[0]
-            if not dropped and not (len(text) > 1 and text[0] == "<"):
-                text = html.unescape(text)
-                parts.append(text)
-                node = nodes[open_tags[-1][1] if open_tags else 0]
-                n = sum(map(len, text.split()))
-                node.chars += n
-                node.linked += n if links else 0
+        start = page.find("<", at)
+        if start != at:
+            start = start if start >= 0 else end
+            say(page[at:start])
+            at = start
+            continue
+        if page.startswith("<!--", at):
+            stop = page.find("-->", at + 4)
+            at = stop + 3 if stop >= 0 else end
+            continue
+        if page[at + 1 : at + 2] in ("!", "?"):
+            stop = page.find(">", at + 2)
+            at = stop + 1 if stop >= 0 else end
             continue
-        if m[1]:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == tag:
-                    close(i)
-                    break
+        closing = page[at + 1 : at + 2] == "/"
+        first = page[at + 1 + closing : at + 2 + closing]
+        found = tags.read(at + 1 + closing) if first.isascii() and first.isalpha() else None
+        if found is None:
+            say("<")
+            at += 1
             continue
-        if tag in ("html", "body") and any(t == tag for t, _ in open_tags):
+        tag, attributes, at = found
+        if closing:
+            if places.get(tag):
+                close(places[tag][-1])
             continue
-        if tag == "body":  # an open head ends here
-            close(next((i for i, (t, _) in enumerate(open_tags) if t == "head"), len(open_tags)))
-        if tag in CLOSES_P:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == "p":
-                    close(i)
-                    break
-                if open_tags[i][0] not in INLINE:
-                    break
-        for i in range(len(open_tags) - 1, -1, -1) if tag in SIBLINGS else ():
-            if open_tags[i][0] in FENCES:
-                break
-            if open_tags[i][0] in SIBLINGS[tag]:
-                close(i)
-                break
+        foreign = bool(scopes) and scopes[-1][1] in FOREIGN
+        if foreign and tag in CLOSES_P:  # HTML ends a drawing or formula that was left open
+            close(last(FOREIGN))
+            foreign = bool(scopes) and scopes[-1][1] in FOREIGN
+        if tag in ("html", "body") and places.get(tag):
+            continue
+        if tag == "body" and places.get("head"):  # an open head ends here
+            close(places["head"][0])
+        if tag in CLOSES_P and blocks and open_tags[blocks[-1]][0] == "p":
+            close(blocks[-1])
+        if tag in SIBLINGS:
+            sibling = last(SIBLINGS[tag])
+            if sibling > last(FENCES):
+                close(sibling)
         if tag in RAW:
-            stop = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else end
+            stop = re.compile(rf"</{re.escape(tag)}(?![^\s/>])", re.I).search(page, at)
+            stop = page.find(">", stop.end()) if stop else -1
+            at = stop + 1 if stop >= 0 else end
             continue
-        if tag in VOID:
-            if tag in INLINE:
-                parts.append(" ")
+        inline = tag in INLINE or foreign
+        if tag in VOID or foreign and attributes.endswith("/"):
+            if inline:
+                parts.append(" " if tag in VOID else "")
             else:
                 flush()
             continue
         here = open_tags[-1][1] if open_tags else 0
-        if tag not in INLINE and tag != "html":
+        block = not inline
+        if block and tag != "html":
             flush()
-            hint, hidden, label = _attributes(m[3])
-            nodes.append(Node(tag, here, hint, hidden, label))
+            nodes.append(Node(tag, here, *_attributes(attributes)))
             nodes[here].children.append(len(nodes) - 1)
             here = len(nodes) - 1
-        open_tags.append((tag, here))
+        places[tag].append(len(open_tags))
+        if block:
+            blocks.append(len(open_tags))
+        if tag in FOREIGN or foreign and tag in ISLANDS:
+            scopes.append((len(open_tags), tag))
+        open_tags.append((tag, here, block))
         dropped += tag in DROPPED
         links += tag == "a"
     close(0)
@@ -187,12 +258,19 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, runs
 
 
-def features(x: Node) -> tuple[tuple[str, str], ...]:
+def kind(x: Node) -> str:
+    """Elements that hold lines, entries of lists and tables, and those that hold other elements."""
     group = GROUP.get(x.tag, "box")
+    return "line" if group in ("text", "heading") else "entry" if group in ("item", "cell") else "box"
+
+
+def features(x: Node) -> tuple[tuple[str, str], ...]:
+    if kind(x) == "entry":  # entries of one list are alike: the list tells of all of them, once
+        return ()
     share = x.below_linked / x.below if x.below else 0.0
-    links = "empty" if not x.below else "none" if not share else "few" if share < 0.5 else "many"
+    links = "empty" if not x.below else "none" if not share else "few" if share < 0.2 else "some" if share < 0.8 else "many"
     size = "none" if not x.chars else "short" if x.chars < 25 else "long"
-    return (("tag", group), ("hint", x.hint), ("links", links), ("size", size))
+    return (("tag", GROUP.get(x.tag, "box")), ("links", f"{kind(x)} {links}"), ("size", size), ("hidden", str(x.hidden)))
 
 
 class Model:
@@ -202,6 +280,7 @@ class Model:
         seen: dict = defaultdict(Counter)
         edges: dict = defaultdict(Counter)
         values: dict = defaultdict(set)
+        named: dict = defaultdict(lambda: [0, 0])
         states: Counter = Counter()
         for page in pages:
             nodes, _ = parse(page)
@@ -214,12 +293,28 @@ class Model:
                 for name, value in features(x):
                     seen[name, s][value] += 1
                     values[name].add(value)
+                for word in x.names:
+                    named["", word][s] += 1
+                    named[kind(x), word][s] += 1
                 if x.parent >= 0:
                     edges[GROUP.get(nodes[x.parent].tag, "box"), state[x.parent]][s] += 1
         self.values = {k: set(v) for k, v in values.items()}
         self.seen = {k: dict(v) for k, v in seen.items()}
         self.edges = {k: dict(v) for k, v in edges.items()}
-        self.prior = [log((states[s] + 1) / (sum(states.values()) + 2)) for s in (0, 1)]
+        self.named = {k: tuple(v) for k, v in named.items()}
+        self.share = [(states[s] + 1) / (sum(states.values()) + 2) for s in (0, 1)]
+        self.prior = [log(x) for x in self.share]
+
+    def name(self, of: str, word: str, s: int) -> float:
+        """How much likelier ``word`` is in a name of an element of this kind in state ``s``, as a log.
+
+        Counts of the kind are smoothed by those of the word on all elements, and these by the share of
+        the state, so that a word that was never seen says nothing.
+        """
+        everywhere, here = self.named.get(("", word), (0, 0)), self.named.get((of, word), (0, 0))
+        p = (everywhere[s] + NAME_SMOOTH * self.share[s]) / (sum(everywhere) + NAME_SMOOTH)
+        p = (here[s] + NAME_SMOOTH * p) / (sum(here) + NAME_SMOOTH)
+        return log(p / self.share[s])
 
     def unary(self, x: Node) -> tuple[float, float]:
         out = []
@@ -228,8 +323,11 @@ class Model:
             for name, value in features(x):
                 counts = self.seen.get((name, s), {})
                 total += log((counts.get(value, 0) + SMOOTH) / (sum(counts.values()) + SMOOTH * (len(self.values[name]) + 1)))
+            if x.names:  # words of one element's names tell much the same, hence the mean, not the sum
+                found = [self.name(kind(x), w, s) for w in sorted(x.names) if ("", w) in self.named]
+                total += NAME_WEIGHT * sum(found) / max(1, len(found))
             out.append(total)
-        if x.hidden or x.tag in DROPPED:
+        if x.tag in DROPPED:
             out[1] = -50.0
         return out[0], out[1]
 
@@ -276,7 +374,8 @@ def extract(pages: DataFrame, labelled: list[str], html_col: str = "html") -> Da
 
     ``labelled`` are pages whose elements carry ``data-content`` 0 or 1 for their subtrees; they
     are the training set and bounded by being passed in.  A null or empty page has an empty text.
-    Pages of any length are read whole; broken markup is closed as browsers do.  Repeated rows get equal
+    Pages of any length are read whole, in time that grows with their length; broken markup is closed as
+    browsers do.  Drawings, formulas and players belong to the line they stand in, with the text they hold.  Repeated rows get equal
     results, an empty table gives no rows, further columns are ignored.
     """
     model = Model(labelled)
