@@ -33,21 +33,30 @@ ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def _younger() -> re.Pattern[str]:
-    """Code points that Unicode 3.2 does not assign.
+    """Code points that Unicode 3.2 does not assign, and all from U+10000 on.
 
     The tokenizer, ``regex`` and Python each follow a later version of their own, so they may differ on
     what is a letter, a number or a lower case there; up to 3.2 all agree, which a test goes through.
+    One range past U+FFFF keeps the search at one table look-up a character.
     """
-    ranges: list[list[int]] = []
-    for c in range(sys.maxunicode + 1):
+    ranges = [[0x10000, sys.maxunicode]]
+    for c in range(0x10000):
         if unicodedata.ucd_3_2_0.category(chr(c)) == "Cn":
-            if ranges and ranges[-1][1] == c - 1:
+            if ranges[-1][1] == c - 1:
                 ranges[-1][1] = c
             else:
                 ranges.append([c, c])
     return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) + "]")
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 YOUNGER = _younger()
 
 
@@ -89,7 +98,7 @@ class WordIds(Recent):
 
     def text(self, text: str | None) -> bytes:
         text = text or ""
-        if not text.isascii() and YOUNGER.search(text):
+        if not _latin(text) and YOUNGER.search(text):  # Latin-1 is old as a whole
             return self._whole(text)
         low = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         # Separators that only Python takes for white space, special tokens, and lower case that would
